@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from varloom.llm.byte_bpe import op9_byte_bpe
+from varloom.llm.decontaminate import OP8_SQL, op8_decontaminate
 from varloom.llm.exact_dedup import OP1_SQL, op1_exact_dedup
 
-QUERIES = {"op1_exact_dedup": op1_exact_dedup, "op9_byte_bpe": op9_byte_bpe}
-SQL = {"op1_exact_dedup": OP1_SQL}
+QUERIES = {"op1_exact_dedup": op1_exact_dedup, "op8_decontaminate": op8_decontaminate, "op9_byte_bpe": op9_byte_bpe}
+SQL = {"op1_exact_dedup": OP1_SQL, "op8_decontaminate": OP8_SQL}
