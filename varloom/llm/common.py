@@ -65,7 +65,7 @@ def held_out(id_col: str, modulus: int, remainder: int):
 # ---- words as bytes --------------------------------------------------------------------------------------------------
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-_P = 0x100000001B3 | 1
+_P = 0xD6E8FEB86659FD93
 _POW: dict[str, np.ndarray] = {"p": np.ones(1, np.uint64), "i": np.ones(1, np.uint64)}
 
 
