@@ -7,7 +7,8 @@ from varloom.llm.decontaminate import OP8_SQL, op8_decontaminate
 from varloom.llm.exact_dedup import OP1_SQL, op1_exact_dedup
 from varloom.llm.jaccard_join import OP10_SQL, op10_jaccard_join
 from varloom.llm.language_id import op4_language_id
+from varloom.llm.substring_dedup import OP2_SQL, op2_substring_dedup
 from varloom.llm.toxicity import op6_toxicity
 
-QUERIES = {"op1_exact_dedup": op1_exact_dedup, "op4_language_id": op4_language_id, "op6_toxicity": op6_toxicity, "op8_decontaminate": op8_decontaminate, "op9_byte_bpe": op9_byte_bpe, "op10_jaccard_join": op10_jaccard_join}
-SQL = {"op1_exact_dedup": OP1_SQL, "op8_decontaminate": OP8_SQL, "op10_jaccard_join": OP10_SQL}
+QUERIES = {"op1_exact_dedup": op1_exact_dedup, "op2_substring_dedup": op2_substring_dedup, "op4_language_id": op4_language_id, "op6_toxicity": op6_toxicity, "op8_decontaminate": op8_decontaminate, "op9_byte_bpe": op9_byte_bpe, "op10_jaccard_join": op10_jaccard_join}
+SQL = {"op1_exact_dedup": OP1_SQL, "op2_substring_dedup": OP2_SQL, "op8_decontaminate": OP8_SQL, "op10_jaccard_join": OP10_SQL}
