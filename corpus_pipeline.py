@@ -6,21 +6,40 @@ from pyspark.sql import DataFrame, SparkSession
 
 from varloom.llm.byte_bpe import encode
 from varloom.llm.common import durable, table
+from varloom.llm.decontaminate import drop_contaminated
 from varloom.llm.exact_dedup import drop_copies
+from varloom.llm.jaccard_join import keep_one_of_each
+from varloom.llm.toxicity import drop_toxic
+
+
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier scores at its threshold or above go."""
+    return drop_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the smallest id stays."""
     return drop_copies(docs)
 
 
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each component of the Jaccard join the smallest id stays: sets of five-word shingles, similarity 0.8 or more."""
+    return keep_one_of_each(docs, k=5, percent=80)
+
+
+def leak_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a window of the benchmark go."""
+    return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The last stage: token ids of each document that is left."""
+    """The last stage: token ids of each document that is left, with digests of them and of what they decode to."""
     return encode(docs)
 
 
-STAGES = [("exact_dedup", exact_stage), ("byte_bpe", encode_stage)]
+STAGES = [("toxicity", toxicity_stage), ("exact_dedup", exact_stage), ("jaccard_join", near_stage), ("decontaminate", leak_stage), ("byte_bpe", encode_stage)]
 
-#: The toxicity model can't be said in SQL; tests/llm holds the stages against brute-force versions.
+#: SQL can't express the toxicity model; tests/llm holds each stage against a brute-force version.
 ORACLE_SQL = None
 
 
