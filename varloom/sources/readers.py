@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def lines_of(spark: SparkSession, path: str) -> list[str]:
     """A small file's lines, by Spark's reader so that any store works, in order."""
-    text = spark.read.option("wholetext", True).text(path).first()
+    text = spark.read.text(path, wholetext=True).first()
     return text[0].splitlines() if text else []
 
 
