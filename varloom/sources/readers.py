@@ -21,7 +21,7 @@ def read_variants(spark: SparkSession, paths: str | list[str], info: dict[str, s
     f = F.split("value", "\t")
     pairs = F.when(f[7] != ".", F.transform(F.split(f[7], ";"), lambda x: F.struct(F.split(x, "=", 2)[0].alias("k"), F.get(F.split(x, "=", 2), F.lit(1)).alias("v"))))
     fields = F.map_from_entries(F.coalesce(pairs, F.array().cast("array<struct<k:string,v:string>>")))
-    as_map = fields if info is None else F.struct(*[_typed(fields[k], t).alias(k) for k, t in info.items()])
+    as_map = fields if info is None else F.struct(*[(F.map_contains_key(fields, k) if t == "boolean" else _typed(fields[k], t)).alias(k) for k, t in info.items()])
     filters = F.when(f[6] == ".", F.lit(None)).when(f[6] == "PASS", F.array().cast("array<string>")).otherwise(F.split(f[6], ";"))
     alts = F.when(f[4] == ".", F.array().cast("array<string>")).otherwise(F.split(f[4], ","))
     more = [F.get(f, F.lit(8)).alias("format"), F.slice(f, 10, 1_000_000).alias("samples"), F.input_file_name().alias("source")] if genotypes else []
@@ -29,8 +29,6 @@ def read_variants(spark: SparkSession, paths: str | list[str], info: dict[str, s
 
 
 def _typed(x: Column, t: str) -> Column:
-    if t == "boolean":
-        return x.isNotNull()
     if t.startswith("array<"):
         inner = t[6:-1]
         return F.transform(F.split(x, ","), lambda v: v.try_cast(inner))
