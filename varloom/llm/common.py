@@ -62,6 +62,13 @@ def held_out(id_col: str, modulus: int, remainder: int):
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % modulus == remainder, F.lit(False))
 
 
+def slices(batches, rows: int = 1_000):
+    """The Arrow batches in pieces, so that what is made of a piece stays small."""
+    for b in batches:
+        for at in range(0, len(b), rows):
+            yield b.slice(at, rows)
+
+
 # ---- words as bytes --------------------------------------------------------------------------------------------------
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)

@@ -3,14 +3,17 @@
 Sets are distinct hashed shingles. 1. Equal sets become one class, named by its smallest id. 2. Each class lists the
 tokens of its prefix: tokens are ordered rare first (levels from a count sketch of fixed size over all texts, then by
 hash), and of two sets with overlap of at least a, any two prefixes of n - a + l tokens share l tokens at least.
-3. Classes that share tokens form groups: each is compared with the smallest class that lists the same token, and the
-links that hold make the groups. 4. The matrix keeps, for each token that still spans groups, the groups whose union
-of prefixes holds it with the range of their set sizes. A set queries the groups that aren't smaller than its own; the
-number of its tokens in a group's union bounds the overlap with any member, and only groups at or above the bound are
-opened: their members are compared with it. 5. Links of 3 and 4 give the components; equal sets follow their class.
-
-Nothing lists all pairs of a group: a near copy is compared with one leader for each token, and once groups are
-joined, tokens inside one group are dropped. Comparisons read the sets of the ids in question only.
+3. Each class is compared with the smallest class that lists the same token; the
+links that hold join classes to components. 4. Similar classes, those with the same smallest candidate (their home),
+make a group, apart from components of BLOCK ids or more, which are groups of their own inside the home. The matrix
+keeps, for each token that still spans components, the groups whose union of prefixes holds it with the range of their
+set sizes. The number of a set's tokens in a group's union bounds the overlap with any member, and only groups at or
+above the bound are opened, chunk by chunk: a chunk's full token union bounds the overlap again, and then one pass of
+counts compares all its members. A set doesn't ask its own component, and of two large components the smaller asks.
+5. Links of 3 and 4 give the components; equal sets follow their class.
+
+No row is made for each pair of a group: a near copy is compared with one leader for each token, tokens inside one
+component are dropped, and an asker is dealt to chunks, not to members. Comparisons read the sets of the ids in question only.
 """
 
 from __future__ import annotations
@@ -23,15 +26,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varloom.llm.common import Words, drop_ids, durable, keep_ids, key_rows, table
+from varloom.llm.common import Words, drop_ids, durable, keep_ids, key_rows, slices, table
 from varloom.llm.components import components
 
 #: Words of a shingle; hundredths of the union that the intersection must reach.
 SHINGLE, PERCENT = 4, 85
-#: Tokens that two prefixes must share, for sets large enough.
-SHARED = 8
+#: Tokens that two prefixes must share, for sets large enough; tokens that make two sets similar enough for one home.
+SHARED, HOME = 16, 8
+#: Components of this many ids or more are groups of their own; members of a group that are compared at once, about.
+BLOCK, CHUNK = 64, 128
 #: Counters of the sketch, as a power of two, and the rows that a task hands it on in.
-SKETCH_BITS, SKETCH_ROWS = 18, 32
+SKETCH_BITS, SKETCH_ROWS = 20, 64
 
 
 def shingle_set(text: str | None, k: int = SHINGLE) -> np.ndarray:
@@ -52,7 +57,7 @@ def slot(tokens: np.ndarray) -> np.ndarray:
 def _profile(k: int):
     def run(batches):
         counts = np.zeros(1 << SKETCH_BITS, np.int64)
-        for b in batches:
+        for b in slices(batches):
             sets = [shingle_set(t, k) for t in b.column("text").to_pylist()]
             for s in sets:
                 np.add.at(counts, slot(s), 1)
@@ -65,7 +70,7 @@ def _profile(k: int):
         parts = counts.reshape(SKETCH_ROWS, -1)
         yield pa.RecordBatch.from_pydict({
             "doc_id": pa.nulls(SKETCH_ROWS, pa.int64()), "n": pa.nulls(SKETCH_ROWS, pa.int64()), "set_hash": pa.nulls(SKETCH_ROWS, pa.binary()),
-            "part": pa.array(range(SKETCH_ROWS), pa.int32()), "counts": pa.array([p.astype("<u4").tobytes() for p in parts], pa.binary()),
+            "part": pa.array(range(SKETCH_ROWS), pa.int32()), "counts": pa.array([np.minimum(p, 65_535).astype("<u2").tobytes() for p in parts], pa.binary()),
         })
 
     return run
@@ -76,12 +81,12 @@ def _add_up(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> It
     total = 0
     for b in batches:
         for x in b.column("counts").to_pylist():
-            total = total + np.frombuffer(x, "<u4" if len(x) == 4 * (1 << SKETCH_BITS) // SKETCH_ROWS else "<i8").astype(np.int64)
+            total = total + np.frombuffer(x, "<u2" if len(x) == 2 * (1 << SKETCH_BITS) // SKETCH_ROWS else "<i8").astype(np.int64)
     yield pa.RecordBatch.from_pydict({"part": pa.array([key[0].as_py()], pa.int32()), "counts": pa.array([total.astype("<i8").tobytes()], pa.binary())})
 
 
 def rarity(sketch: DataFrame) -> np.ndarray:
-    """A level for each counter: 0 up to twice the mean, then one more for each doubling."""
+    """A level for each counter: 0 up to half over the mean, then one more for each doubling of the excess."""
     merged = (
         sketch.withColumn("deal", F.pmod(F.xxhash64("counts"), F.lit(64))).groupBy("part", "deal").applyInArrow(_add_up, "part int, counts binary")
         .groupBy("part").applyInArrow(_add_up, "part int, counts binary").collect()
@@ -90,12 +95,13 @@ def rarity(sketch: DataFrame) -> np.ndarray:
     for part, x in merged:
         counts[part] = np.frombuffer(x, "<i8")
     counts = counts.ravel()
-    return np.floor(np.log2(np.maximum(1, counts / max(1.0, counts.mean())))).astype(np.int8)
+    mean = max(1.0, counts.mean())
+    return np.ceil(np.log2(np.maximum(1, (counts - mean) / (mean / 2)))).astype(np.int8)
 
 
 def _prefixes(levels, k: int, percent: int):
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             tokens, sizes, ids, needs = [], [], [], []
             for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
                 s = shingle_set(text, k)
@@ -117,14 +123,76 @@ def _prefixes(levels, k: int, percent: int):
     return run
 
 
+def _sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
+    """(id, tokens) of the documents whose id is in ids."""
+
+    def run(batches):
+        for b in slices(batches):
+            yield pa.RecordBatch.from_pydict({"id": b.column("doc_id"), "tokens": pa.array([shingle_set(t, k).tobytes() for t in b.column("text").to_pylist()], pa.binary())})
+
+    return keep_ids(docs, ids).mapInArrow(run, "id long, tokens binary")
+
+
+class Group:
+    """Members of one chunk of a group, with the union of their tokens."""
+
+    def __init__(self):
+        self.ids, self.gs, self.sets, self.union = [], [], [], None
+
+    def add(self, member: int, g: int, tokens: np.ndarray) -> None:
+        if len(tokens):
+            self.ids.append(member)
+            self.gs.append(g)
+            self.sets.append(tokens)
+
+    def links(self, asker: int, g: int, x: np.ndarray, percent: int) -> list[int]:
+        """One member for each other component that x links with."""
+        if not self.sets or not len(x):
+            return []
+        if self.union is None:
+            flat = np.concatenate(self.sets)
+            self.union, self._at = np.unique(flat, return_inverse=True)
+            self._sizes = np.array([len(s) for s in self.sets])
+            self._starts = np.cumsum(self._sizes) - self._sizes
+        at = np.minimum(np.searchsorted(self.union, x), len(self.union) - 1)
+        at = at[self.union[at] == x]
+        if len(at) < least_overlap(len(x), percent):  # no member can reach the overlap
+            return []
+        mark = np.zeros(len(self.union), np.int32)
+        mark[at] = 1
+        both = np.add.reduceat(mark[self._at], self._starts)
+        found = {}
+        for i in np.flatnonzero(100 * both >= percent * (len(x) + self._sizes - both)):
+            if self.ids[i] != asker and self.gs[i] != g:
+                found.setdefault(self.gs[i], self.ids[i])
+        return list(found.values())
+
+
+def _open(percent: int):
+    """Rows in the order home, block, chunk, members before askers: links (asker, member)."""
+
+    def run(batches):
+        at, group = None, None
+        for b in batches:
+            out = []
+            for *key, asks, member, g, tokens in zip(*(b.column(c).to_pylist() for c in ("home", "block", "chunk", "asks", "id", "g", "tokens"))):
+                if at != key:
+                    at, group = key, Group()
+                x = np.frombuffer(tokens, "<u8")
+                if asks:
+                    out += [(member, y) for y in group.links(member, g, x, percent)]
+                else:
+                    group.add(member, g, x)
+            a, c = zip(*out) if out else ((), ())
+            yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(c, pa.int64())})
+
+    return run
+
+
 def linked_pairs(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
     """Those of the pairs (a, b) whose sets link, as a durable table. pairs: durable and distinct."""
     ids = durable(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "pair-ids")
 
-    def sets(batches):
-        for b in batches:
-            yield pa.RecordBatch.from_pydict({"id": b.column("doc_id"), "tokens": pa.array([shingle_set(t, k).tobytes() for t in b.column("text").to_pylist()], pa.binary())})
-
     def compare(batches):
         for b in batches:
             ok = []
@@ -136,7 +204,7 @@ def linked_pairs(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> Dat
                 ok.append(100 * both >= percent * (len(x) + len(y) - both) and both > 0)
             yield pa.RecordBatch.from_pydict({"a": b.column("a"), "b": b.column("b")}).filter(pa.array(ok, pa.bool_()))
 
-    s = keep_ids(docs, ids).mapInArrow(sets, "id long, tokens binary")
+    s = _sets(docs, ids, k)
     got = pairs.join(s.select(F.col("id").alias("a"), F.col("tokens").alias("x")), "a").join(s.select(F.col("id").alias("b"), F.col("tokens").alias("y")), "b")
     return durable(got.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long").distinct(), "links")
 
@@ -157,33 +225,39 @@ def jaccard_links(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) ->
     listed = durable(listed, "prefixes")
     leads = listed.groupBy("token").agg(F.min("id").alias("lead"), F.max("id").alias("last")).filter("lead < last").drop("last")
     shared = durable(listed.join(leads, "token"), "shared")
-    to_leads = shared.filter("id > lead").groupBy(F.col("id").alias("a"), F.col("lead").alias("b")).agg(F.count(F.lit(1)).alias("c"), F.min("need").alias("need")).filter("c >= need")
-    to_leads = durable(to_leads.select("a", "b"), "lead-pairs")
+    counted = shared.filter("id > lead").groupBy(F.col("id").alias("a"), F.col("lead").alias("b")).agg(F.count(F.lit(1)).alias("c"), F.min("need").alias("need"))
+    counted = durable(counted.filter(f"c >= need or c >= {HOME}"), "lead-counts")
+    to_leads = counted.filter("c >= need").select("a", "b")
     first_links = linked_pairs(docs, to_leads, k, percent)
 
     groups = components(first_links)
     sizes = groups.groupBy("component").agg(F.count(F.lit(1)).alias("weight"))
-    groups = groups.join(sizes, "component").select("id", F.col("component").alias("g"), "weight")
-    held = shared.drop("lead").join(groups, "id", "left").select("token", "id", "n", "need", F.coalesce("g", "id").alias("g"), F.coalesce("weight", F.lit(1)).alias("weight"))
+    joined = groups.join(sizes, "component").select("id", F.col("component").alias("g"), "weight")
+    home = counted.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("home"))
+    home = home.join(home.select(F.col("id").alias("home"), F.col("home").alias("further")), "home", "left").select("id", F.coalesce("further", "home").alias("home"))
+    g, weight = F.coalesce("g", "id"), F.coalesce("weight", F.lit(1))
+    held = shared.drop("lead").join(joined, "id", "left").join(home, "id", "left")
+    held = held.select("token", "id", "n", "need", g.alias("g"), F.coalesce("home", "id").alias("home"), F.when(weight >= BLOCK, g).otherwise(-1).alias("block"), F.when(weight >= BLOCK, weight).otherwise(0).alias("weight"))
     spans = held.groupBy("token").agg(F.min("g").alias("low"), F.max("g").alias("high")).filter("low < high").select("token")
     held = durable(held.join(spans, "token", "left_semi"), "spanning")
-    matrix = held.groupBy("token", "g").agg(F.first("weight").alias("weight"), F.min("n").alias("least"), F.max("n").alias("most"))
+    matrix = held.groupBy("token", "home", "block").agg(F.first("weight").alias("weight"), F.min("n").alias("least"), F.max("n").alias("most"))
     q, m = held.alias("q"), matrix.alias("m")
-    larger = "(m.weight > q.weight or m.weight = q.weight and m.g < q.g)"
+    larger = "(q.block = -1 or m.weight > q.weight or m.weight = q.weight and m.block < q.block) and not (m.block = -1 and q.block <> -1) and m.block <> if(q.block = -1, -2, q.block)"
     may_fit = f"m.most * 100 >= q.n * {percent} and q.n * 100 >= m.least * {percent}"
     opened = (
-        q.join(m, F.expr(f"q.token = m.token and q.g <> m.g and {larger} and {may_fit}"))
-        .groupBy(F.col("q.id").alias("a"), F.col("m.g").alias("g")).agg(F.count(F.lit(1)).alias("c"), F.min("q.need").alias("need")).filter("c >= need").select("a", "g")
-    )
-    opened = durable(opened, "opened")
-    asks = held.join(opened, (held["id"] == opened["a"])).select("token", "a", held["n"].alias("na"), "need", opened["g"].alias("g"))
-    members = held.select("token", "g", F.col("id").alias("b"), F.col("n").alias("nb"))
-    pairs = (
-        asks.join(members, ["token", "g"]).filter(f"na * 100 >= nb * {percent} and nb * 100 >= na * {percent}")
-        .groupBy("a", "b").agg(F.count(F.lit(1)).alias("c"), F.min("need").alias("need")).filter("c >= need").select("a", "b")
-        .join(to_leads, ["a", "b"], "left_anti").join(to_leads.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
+        q.join(m, F.expr(f"q.token = m.token and {larger} and {may_fit}"))
+        .groupBy(F.col("q.id").alias("id"), F.col("m.home").alias("home"), F.col("m.block").alias("block")).agg(F.count(F.lit(1)).alias("c"), F.min("q.need").alias("need")).filter("c >= need")
     )
-    more = linked_pairs(docs, durable(pairs, "member-pairs"), k, percent)
+    places = durable(held.select("id", "g", "home", "block").distinct(), "places")
+    opened = durable(opened.select("id", "home", "block").join(places.select("id", "g"), "id"), "opened")
+    members = places.join(opened.select("home", "block").distinct(), ["home", "block"], "left_semi")
+    chunks = members.groupBy("home", "block").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("chunks"))
+    stay = members.join(chunks, ["home", "block"]).select("id", "g", "home", "block", F.pmod(F.xxhash64("id"), "chunks").alias("chunk"), F.lit(0).alias("asks"))
+    ask = opened.join(chunks, ["home", "block"]).select("id", "g", "home", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), F.lit(1).alias("asks"))
+    roles = durable(stay.unionByName(ask), "roles")
+    sets = _sets(docs, durable(roles.select("id").distinct(), "role-ids"), k)
+    dealt = roles.join(sets, "id").repartition("home", "block", "chunk").sortWithinPartitions("home", "block", "chunk", "asks")
+    more = durable(dealt.select("home", "block", "chunk", "asks", "id", "g", "tokens").mapInArrow(_open(percent), "a long, b long"), "links")
     return profile, first_links.unionByName(more)
 
 
