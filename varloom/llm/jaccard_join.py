@@ -86,7 +86,8 @@ def _add_up(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> It
 
 
 def rarity(sketch: DataFrame) -> np.ndarray:
-    """A level for each counter: 0 up to half over the mean, then one more for each doubling of the excess."""
+    """A level for each counter: 0 up to twice the root of the mean over it (what chance makes of tokens that stand in one
+    text), then one more for each doubling of the excess."""
     merged = (
         sketch.withColumn("deal", F.pmod(F.xxhash64("counts"), F.lit(64))).groupBy("part", "deal").applyInArrow(_add_up, "part int, counts binary")
         .groupBy("part").applyInArrow(_add_up, "part int, counts binary").collect()
@@ -96,7 +97,7 @@ def rarity(sketch: DataFrame) -> np.ndarray:
         counts[part] = np.frombuffer(x, "<i8")
     counts = counts.ravel()
     mean = max(1.0, counts.mean())
-    return np.ceil(np.log2(np.maximum(1, (counts - mean) / (mean / 2)))).astype(np.int8)
+    return np.ceil(np.log2(np.maximum(1, (counts - mean) / (2 * np.sqrt(mean))))).astype(np.int8)
 
 
 def _prefixes(levels, k: int, percent: int):
