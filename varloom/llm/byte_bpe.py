@@ -22,7 +22,7 @@ import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varloom.llm.common import key_rows, table
+from varloom.llm.common import key_rows, slices, table
 
 #: Characters of a chunk and of what it shares with the next.
 CHUNK, OVERLAP = 32_768, 512
@@ -119,20 +119,20 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None,
 
     def whole(batches):
         c = coder(path, pattern)
-        for b in batches:
+        for b in slices(batches):
             encoded = [c.encode_pieces(c.pattern.findall(t)) for t in b.column("text").to_pylist()]
             yield _digest(b.column("doc_id").to_pylist(), encoded, c, with_ids)
 
     def pre_tokenise(batches):
         c = coder(path, pattern)
-        for b in batches:
+        for b in slices(batches):
             last = b.column("last").to_pylist()
             cuts = [array("i", cuts_of(c.pattern, t, e)).tobytes() for t, e in zip(b.column("part").to_pylist(), last)]
             yield pa.RecordBatch.from_pydict({"row": b.column("row"), "start": b.column("start"), "cuts": pa.array(cuts, pa.binary())})
 
     def join_up(batches):
         c = coder(path, pattern)
-        for b in batches:
+        for b in slices(batches):
             encoded = []
             for text, parts in zip(b.column("text").to_pylist(), b.column("parts").to_pylist()):
                 chunks = sorted((p["start"], array("i", p["cuts"]).tolist()) for p in parts)

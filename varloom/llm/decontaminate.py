@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varloom.llm.common import durable, key_rows, runs, table
+from varloom.llm.common import durable, key_rows, runs, slices, table
 
 #: Consecutive words of a window, and words of a shift block.
 WINDOW, BLOCK = 10, 2
@@ -120,7 +120,7 @@ def _each(batch):
 
 def _pass(tables):
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             out = [_scan(tables.value, *row) for row in _each(b)]
             yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id"), "text": b.column("text"), "hit": pa.array([bytes(x[1]) for x in out], pa.binary()), "items": pa.array([sorted(x[2]) for x in out], pa.list_(pa.string()))})
 
@@ -131,7 +131,7 @@ def _last(tables):
     span = pa.struct([("start", pa.int32()), ("end", pa.int32())])
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             out = [_scan(tables.value, *row) for row in _each(b)]
             items = [sorted(x[2]) for x in out]
             hits = [sum(x[1]) for x in out]
@@ -151,7 +151,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
         tables = docs.sparkSession.sparkContext.broadcast(searchers(part, window))
 
         def clean(batches, tables=tables):
-            for b in batches:
+            for b in slices(batches):
                 yield b.filter(pa.array([not any(_scan(tables.value, t, None, None)[1]) for t in b.column(text_col).to_pylist()], pa.bool_()))
 
         docs = docs.mapInArrow(clean, docs.schema)

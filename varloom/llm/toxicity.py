@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from varloom.llm.common import durable, held_out, key_rows, table
+from varloom.llm.common import durable, held_out, key_rows, slices, table
 from varloom.llm.ngrams import Presence, folded, gram_bins
 
 SIZES, BITS = (4, 5), 18
@@ -82,7 +82,7 @@ def train(docs: DataFrame, labels: DataFrame, modulus: int = 3, remainder: int =
 
     def featurise(batches):
         presence = Presence(BITS)
-        for b in batches:
+        for b in slices(batches):
             sets = [presence(gram_bins(folded(t), SIZES, BITS)).astype("<i4") for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id"), "toxic": b.column("toxic"), "n": pa.array([len(s) for s in sets], pa.int64()), "bins": pa.array([s.tobytes() for s in sets], pa.binary())})
 
@@ -107,7 +107,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, modulus: int = 3, remaind
 
     def run(batches):
         presence = Presence(BITS)
-        for b in batches:
+        for b in slices(batches):
             s = _scores(model.value, b.column("text").to_pylist(), presence)
             yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id"), "held_out": b.column("held_out"), "score": pa.array(s, pa.float64()), "predicted": pa.array(s >= threshold).cast(pa.int32())})
 
@@ -121,7 +121,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
 
     def run(batches):
         presence = Presence(BITS)
-        for b in batches:
+        for b in slices(batches):
             yield b.filter(pa.array(_scores(model.value, b.column("text").to_pylist(), presence) < threshold))
 
     return docs.mapInArrow(run, docs.schema)
