@@ -8,8 +8,8 @@ document that holds the anchor (the owner), and a hot owner's segments over many
 runs of confirmed windows are the recurring passages.
 4. Each owner's passages are compiled into an Aho-Corasick automaton over words, with a phrase of 25 words at every
 26th word of a passage: any 50 words of a passage hold a whole phrase. A hot owner's automaton is compiled once for each
-salt. Segments stream through it; from each hit the match grows both ways by comparing words, and counts if it reaches
-50 words. A partition reads its passages, then its segments, row after row; no group is gathered.
+salt. Segments stream through it; where a phrase is found, the hashes of the windows around it tell the passage, and the
+words are compared with it. A partition reads its passages, then its segments, row after row; no group is gathered.
 """
 
 from __future__ import annotations
@@ -115,49 +115,61 @@ class Automaton:
         self.window, self.phrase = window, max(1, window // 2)
         self.stride = window - self.phrase + 1
         self.vocabulary: dict[bytes, int] = {}
-        self.passages: list[tuple[int, np.ndarray]] = []
-        self.at: list[list[tuple[int, int]]] = []
+        self.ids: list[np.ndarray] = []
+        self.firsts: list[int] = []
+        self._hashes: list[np.ndarray] = []
         self._tree = None
 
-    def add(self, first: int, words: list[bytes]) -> None:
-        ids = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words]
-        self.passages.append((first, np.array(ids, np.int64)))
+    def add(self, first: int, passage: Words) -> None:
+        self.ids.append(np.array([self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in passage.data.split(b" ")], np.int64))
+        self.firsts.append(first)
+        self._hashes.append(passage.grams(self.window))
 
     def compile(self) -> None:
-        self._tree, known = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE), {}
-        for p, (_, ids) in enumerate(self.passages):
+        """The automaton of phrases, and where each window stands: its passage and place, in order of window hashes."""
+        self._tree, known = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE), set()
+        for ids in self.ids:
             for t in range(0, len(ids) - self.phrase + 1, self.stride):
-                key = tuple(ids[t : t + self.phrase].tolist())
-                if (k := known.get(key)) is None:
-                    k = known[key] = len(self.at)
-                    self.at.append([])
-                    self._tree.add_word(key, k)
-                self.at[k].append((p, t))
-        if self.at:
+                known.add(tuple(ids[t : t + self.phrase].tolist()))
+        for k, key in enumerate(known):
+            self._tree.add_word(key, k)
+        if known:
             self._tree.make_automaton()
-
-    def covered(self, doc_id: int, words: list[bytes]) -> np.ndarray:
+            hashes = np.concatenate(self._hashes)
+            order = np.argsort(hashes, kind="stable")
+            sizes = [len(h) for h in self._hashes]
+            self._keys, self._passage = hashes[order], np.repeat(np.arange(len(sizes)), sizes)[order]
+            self._place = np.concatenate([np.arange(n) for n in sizes])[order]
+            self._first = np.array(self.firsts, np.int64)
+
+    def covered(self, doc_id: int, segment: Words) -> np.ndarray:
         """Which words lie in a window of a passage that a smaller document has first."""
         if self._tree is None:
             self.compile()
-        out = np.zeros(len(words), bool)
-        if not self.at:
+        n, out = len(segment), np.zeros(len(segment), bool)
+        if not self.ids or n < self.window:
             return out
-        ids = [self.vocabulary.get(w, 0) for w in words]
-        own, done = np.array(ids, np.int64), {}
-        for end, k in self._tree.iter(tuple(ids)):
-            for p, t in self.at[k]:
-                first, theirs = self.passages[p]
-                shift = end - self.phrase + 1 - t  # where the passage's first word would stand
-                if first >= doc_id or done.get((p, shift), -1) > end:
-                    continue
-                a, e = max(0, shift), min(len(own), shift + len(theirs))
-                differ = np.flatnonzero(own[a:e] != theirs[a - shift : e - shift]) + a
-                i = np.searchsorted(differ, end)
-                lo, hi = (int(differ[i - 1]) + 1 if i else a), (int(differ[i]) if i < len(differ) else e)
-                done[p, shift] = hi
-                if hi - lo >= self.window:
-                    out[lo:hi] = True
+        ids = [self.vocabulary.get(w, 0) for w in segment.data.split(b" ")]
+        found = np.zeros(n + 1, np.int64)  # phrases that begin before each word
+        for end, _ in self._tree.iter(tuple(ids)):
+            found[end - self.phrase + 2] = 1
+        found = np.cumsum(found)
+        if not found[-1]:
+            return out
+        own, h = np.array(ids, np.int64), segment.grams(self.window)
+        at = np.minimum(np.searchsorted(self._keys, h), len(self._keys) - 1)
+        starts = np.arange(len(h))
+        holds = found[starts + self.stride] > found[starts]  # a whole phrase begins early enough to end inside
+        ok = holds & (self._keys[at] == h) & (self._first[self._passage[at]] < doc_id)
+        passage, shift = self._passage[at], self._place[at] - starts
+        change = np.flatnonzero((ok[1:] != ok[:-1]) | (passage[1:] != passage[:-1]) | (shift[1:] != shift[:-1])) + 1
+        for s, e in zip([0, *change], [*change, len(h)]):
+            if ok[s]:
+                theirs, end = self.ids[passage[s]], e + self.window - 1
+                same = own[s:end] == theirs[s + shift[s] : end + shift[s]]
+                for a, b in zip(*runs(same)):
+                    if b - a >= self.window:
+                        out[s + a : s + b] = True
         return out
 
 
@@ -172,9 +184,9 @@ def _stream(window: int):
                 if group != (owner, salt):
                     group, automaton = (owner, salt), Automaton(window)
                 if start < 0:
-                    automaton.add(doc_id, text.split(b" "))
+                    automaton.add(doc_id, _segment(text))
                     continue
-                for s, e in zip(*runs(automaton.covered(doc_id, text.split(b" ")))):
+                for s, e in zip(*runs(automaton.covered(doc_id, _segment(text)))):
                     for k, v in zip(out, (doc_id, th, start + int(s), start + int(e))):
                         out[k].append(v)
             yield pa.RecordBatch.from_pydict({k: pa.array(v, pa.int64()) for k, v in out.items()})
