@@ -9,6 +9,7 @@ import pytest
 from tests.llm.helpers import corpus, ordered, table
 from varloom.llm import attention as A
 from varloom.llm import language_id, lm_scoring, toxicity
+from varloom.llm.common import durable
 
 
 def held(i, modulus, remainder):
@@ -140,3 +141,25 @@ def test_lm_probabilities_sum_to_one():
     assert np.bincount(f.class_of, p, 16)[np.unique(f.class_of)] == pytest.approx(1)
     share = np.array([3.0, 0.0])
     assert lm_scoring.mixed(share, np.log(np.array([0.2, 0.1])), 10.0) == pytest.approx(np.log10([lm_scoring.MIX * 0.3 + (1 - lm_scoring.MIX) * 0.2, (1 - lm_scoring.MIX) * 0.1]))
+
+
+def test_lm_is_trained_on_every_window_of_every_text(spark, monkeypatch):
+    """A text that is longer than all others, null ids and repeated rows are learnt from, and one round misses none."""
+    rows = [*corpus(), (910, " ".join(["long"] * 60_000))]
+    sub, frame = lm_scoring.subwords(lm_scoring.public_tokenizers.path(lm_scoring.VOCABULARY)), table(spark, rows)
+    coded = [ids for _, ids, _ in sub.code([lm_scoring.words_of(t) for _, t in rows])]
+    counts = np.bincount(np.concatenate(coded), minlength=sub.n_ids).astype(float)
+    f, kept = A.Folding(counts), {}
+    start = int(f.class_of[sub.end])
+    want = Counter(r.tobytes() for ids in coded for r in A.spans(f.class_of[ids], start, f.pad))
+    monkeypatch.setattr(lm_scoring, "STEPS", 24)  # so few that the texts are dealt over all rounds
+    monkeypatch.setattr(lm_scoring, "durable", lambda df, label, *by: kept.setdefault(label, durable(df, label, *by)))
+    model = lm_scoring.train(frame, f, lm_scoring.public_tokenizers.path(lm_scoring.VOCABULARY), float(counts.sum()))
+    dealt = kept["lm-spans"].collect()
+    width = 2 * (A.OVERLAP + A.SCORED + 1)
+    assert {r.turn for r in dealt} == set(range(A.ROUNDS))
+    assert Counter(bytes(r.spans[i : i + width]) for r in dealt for i in range(0, len(r.spans), width)) == want
+    c = f.class_of[coded[-1]]
+    x, y = A.unspan(A.spans(c, start, f.pad), f.pad)
+    assert (A.windows(c, start, f.pad)[:-1] == x[:-1]).all() and (y.ravel()[: len(c)] == c).all() and (y.ravel()[len(c) :] == -1).all()
+    assert model.log_probs(x, y).sum() / len(c) > A.Attention().log_probs(x, y).sum() / len(c) + 1
