@@ -163,3 +163,9 @@ def test_lm_is_trained_on_every_window_of_every_text(spark, monkeypatch):
     x, y = A.unspan(A.spans(c, start, f.pad), f.pad)
     assert (A.windows(c, start, f.pad)[:-1] == x[:-1]).all() and (y.ravel()[: len(c)] == c).all() and (y.ravel()[len(c) :] == -1).all()
     assert model.log_probs(x, y).sum() / len(c) > A.Attention().log_probs(x, y).sum() / len(c) + 1
+
+
+def test_lm_gives_the_commonest_ids_classes_of_their_own():
+    f = A.Folding(1e6 / np.arange(1, 50_001))
+    own = np.bincount(f.class_of) == 1
+    assert own[:208].all() and (f.class_of[:208] == np.arange(208)).all() and f.class_of.max() == 255 and A.Attention().p["u"].shape[1] == 256
