@@ -51,3 +51,11 @@ def test_entry_imports_without_the_text_operators(tmp_path):
     shutil.copy(f"{root}/__spark_entry__.py", tmp_path)
     code = "import __spark_entry__ as e; q = e.queries(); assert 'pipeline' not in q and len(q) > 50 and set(e.oracle_sql()) <= set(q)"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env=os.environ | {"PYTHONPATH": ""})
+
+
+def test_densify_fill_all_fills_every_site_of_every_sample(spark, data_dir):
+    from varloom.queries.views import Views
+
+    v = Views(spark, data_dir)
+    cells = catalog.QUERIES["q_densify_fill_all"](spark, data_dir)
+    assert cells.count() == cells.select("s", "site_id").distinct().count() == v.sites.count() * v.ref_blocks.select("s").distinct().count()

@@ -474,6 +474,16 @@ def q_densify_fill(v):
     return joins.fill_forward(sites, blocks, []).select("s", "site_id", "block.gq")
 
 
+@query(""", k AS (SELECT s, site_id, position FROM (SELECT DISTINCT s FROM v_ref_blocks) u, v_sites)
+SELECT k.s, k.site_id, b.gq FROM k LEFT JOIN v_ref_blocks b ON k.s = b.s AND k.position BETWEEN b.start_pos AND b.end_pos""", "v_sites", "v_ref_blocks")
+def q_densify_fill_all(v):
+    """q_densify_fill over every site."""
+    b = v.ref_blocks
+    blocks = b.select("s", F.col("start_pos").cast("int").alias("start"), F.col("end_pos").alias("end"), "gq").filter("end >= start")
+    sites = b.select("s").distinct().crossJoin(v.sites.select("site_id", "position"))
+    return joins.fill_forward(sites, blocks, []).select("s", "site_id", "block.gq")
+
+
 @query("""SELECT s, 'remove' AS change FROM v_samples WHERE dataset_id % 2 = 0 AND (dataset_id % 3 <> 0 OR dataset_id % 5 = 0 AND dataset_id % 3 = 0)
 UNION ALL SELECT s, 'add' FROM v_samples WHERE dataset_id % 3 = 0 AND (dataset_id % 2 <> 0 OR dataset_id % 5 = 0)""", "v_samples")
 def q_incremental_sets(v):
