@@ -55,6 +55,16 @@ def test_recalibrated_sites_survive_odd_fields(spark, tmp_path):
     assert [r.filters for r in f.collect()] == [["PASS"], ["Low"], ["q"]]
 
 
+def test_sites_without_a_feature_stay_without_a_score(spark):
+    rows = [(i, float(i % 13), float(i * 7 % 11), i % 2 == 0) for i in range(60)] + [(60, None, 1.0, True), (61, 2.0, float("nan"), True), (62, None, None, False)]
+    schema = "site int, a double, b double, train boolean"
+    got = recalibrate.train_scores(spark.createDataFrame(rows, schema), ["a", "b"], gaussians=2)
+    whole = recalibrate.train_scores(spark.createDataFrame(rows[:60], schema), ["a", "b"], gaussians=2)
+    score = {r.site: r.score for r in got.collect()}
+    assert len(score) == 63 and [i for i, x in score.items() if x is None] == [60, 61, 62]
+    assert all(r.score == pytest.approx(score[r.site], abs=0.5) for r in whole.collect()) and got.columns == ["site", "a", "b", "train", "score"]
+
+
 def test_consequence_json_and_cohort(spark, tmp_path):
     doc = {"input": "chr1\t5\t.\tA\tC\t.", "seq_region_name": "chr1", "most_severe_consequence": "stop_gained", "transcript_consequences": [{"transcript_id": "t1", "gene_id": "g", "biotype": "protein_coding", "canonical": 1, "consequence_terms": ["stop_gained"], "hgvsc": "t:c.1", "cdna_start": "oops", "domains": [{"db": "P", "name": "n"}]}]}
     vep = readers.read_consequences(spark, put(tmp_path / "v.json", [json.dumps(doc)]))

@@ -39,10 +39,12 @@ def train_scores(df: DataFrame, features: list[str], train: str = "train", gauss
     from pyspark.ml.feature import StandardScaler, VectorAssembler
     from pyspark.ml.functions import vector_to_array
 
-    whole = VectorAssembler(inputCols=features, outputCol="_raw", handleInvalid="skip").transform(df)
-    scaler = StandardScaler(inputCol="_raw", outputCol="_x", withMean=True).fit(whole.filter(F.col(train)))
+    # Invalid values are kept as NaN, so every row stays; the models see complete rows alone.
+    whole = VectorAssembler(inputCols=features, outputCol="_raw", handleInvalid="keep").transform(df)
+    complete = ~F.exists(vector_to_array("_raw"), F.isnan)
+    scaler = StandardScaler(inputCol="_raw", outputCol="_x", withMean=True).fit(whole.filter(F.col(train) & complete))
     x = scaler.transform(whole)
-    mix = GaussianMixture(k=gaussians, featuresCol="_x", seed=seed, maxIter=50).fit(x.filter(F.col(train)))
+    mix = GaussianMixture(k=gaussians, featuresCol="_x", seed=seed, maxIter=50).fit(x.filter(F.col(train) & complete))
     v, density = vector_to_array(F.col("_x")), F.lit(0.0)
     import numpy as np
 
@@ -52,4 +54,4 @@ def train_scores(df: DataFrame, features: list[str], train: str = "train", gauss
         d = [v[i] - float(mean[i]) for i in range(len(features))]
         form = sum((d[i] * d[j] * float(inv[i, j]) for i in range(len(d)) for j in range(len(d))), F.lit(0.0))
         density = density + float(w) * F.exp(form * -0.5 - 0.5 * float(det + len(d) * np.log(2 * np.pi)))
-    return x.withColumn(score, F.ln(F.greatest(density, F.lit(1e-300)))).drop("_raw", "_x")
+    return x.withColumn(score, F.when(complete, F.ln(F.greatest(density, F.lit(1e-300))))).drop("_raw", "_x")
