@@ -3,6 +3,7 @@ from collections import defaultdict
 from pyspark.sql import functions as F
 
 from tests.llm.helpers import SPACE, corpus, ordered, rows_of, sha, table
+from varloom.llm import exact_dedup as exact
 from varloom.llm.exact_dedup import drop_copies, exact_dedup
 
 
@@ -32,3 +33,12 @@ def test_empty_table_and_filter_keeps_columns(spark):
     out = drop_copies(docs)
     assert out.columns == docs.columns
     assert rows_of(out, "doc_id") == [(None,), (1,), (2,)]
+
+
+def test_filter_drops_rows_not_ids(spark, monkeypatch):
+    """Of an id on two rows only the copy goes; a null id goes where its text is a copy, and stays where it isn't."""
+    docs = table(spark, [(1, "a b"), (7, "a  b"), (7, "alone"), (None, "a b"), (None, "only here"), (8, "alone")])
+    want = [(None, "only here"), (1, "a b"), (7, "alone")]
+    assert rows_of(drop_copies(docs), "doc_id", "text") == want
+    monkeypatch.setattr(exact, "BROADCAST_IDS", 0)
+    assert rows_of(drop_copies(docs), "doc_id", "text") == want

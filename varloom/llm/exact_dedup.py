@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varloom.llm.common import SPACE_CLASS, drop_ids, durable, key_rows, table
+from varloom.llm.common import BROADCAST_IDS, SPACE_CLASS, durable, key_rows, table
 
 
 def normalised(text: Column) -> Column:
@@ -41,9 +41,14 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs, all columns, without the rows that exact_dedup() doesn't keep."""
-    gone = durable(exact_dedup(docs, id_col, text_col).filter("not kept").select("doc_id").distinct(), "copies")
-    return drop_ids(docs, gone, id_col)
+    """docs, all columns, without the rows that exact_dedup() doesn't keep. A row goes by its id, which may be null, and
+    the digest of its own text, so rows of one id with other texts have verdicts of their own."""
+    digest = lambda sha: F.unhex(sha).alias("_the_digest")
+    gone = durable(exact_dedup(docs, id_col, text_col).filter("not kept").select(F.col("doc_id").alias("_the_id"), digest("text_sha256")).distinct(), "copies")
+    n = BROADCAST_IDS // 4  # a digest takes four times the bytes of an id
+    gone = F.broadcast(gone) if gone.limit(n + 1).count() <= n else gone
+    own = F.unhex(F.sha2(normalised(docs[f"`{text_col}`"].cast("string")), 256))
+    return docs.join(gone, docs[f"`{id_col}`"].cast("long").eqNullSafe(gone["_the_id"]) & (own == gone["_the_digest"]), "left_anti")
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
