@@ -1,3 +1,5 @@
+import hashlib
+
 import numpy as np
 import public_tokenizers
 
@@ -38,3 +40,13 @@ def test_records_hold_all_tokens_and_files_read_back(spark, tmp_path):
 
 def test_empty_table(spark):
     assert training_order(table(spark, [])).count() == 0
+
+
+def test_shards_of_another_key_are_replaced(spark, tmp_path):
+    rows = corpus()
+    for key in (1, 2):
+        out = training_order(table(spark, rows), length=32, shard_rows=50, key=key).cache()
+        files = write_shards(out, str(tmp_path)).collect()
+        assert all(hashlib.sha256(open(f.path, "rb").read()).hexdigest() == f.sha256 for f in files)
+        want = [bytes(r.record) for r in out.orderBy("slot").collect()]
+        assert [x.tobytes() for x in read_slots(str(tmp_path), 0, len(want), 32, 50)] == want

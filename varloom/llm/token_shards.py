@@ -121,19 +121,25 @@ def training_order(docs: DataFrame, path: str | None = None, length: int = LENGT
     return coded.mapInArrow(place, _RECORDS).repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("slot")
 
 
+def _digest(fs, path: str) -> str:
+    with fs.open_input_stream(path) as f:
+        return hashlib.sha256(f.read()).hexdigest()
+
+
 def write_shards(records: DataFrame, folder: str) -> DataFrame:
     """Write each shard as folder/shard-NNNNNNNN.bin, records in slot order; one row per shard: shard, path, first_slot,
     rows, bytes, sha256. folder: a path or URI that pyarrow can write to, shared by all executors.
 
-    A shard appears under its name only when whole; one that is there with its full size isn't written again, so a job
-    that was cut off goes on where it stopped. records: from training_order()."""
+    A shard appears under its name only when whole; one that is there with the same bytes isn't written again, so a job
+    that was cut off goes on where it stopped. Shards of another job, which may have the same size, are replaced; those
+    beyond the last one of this job stay. records: from training_order()."""
     fs, root = pa.fs.FileSystem.from_uri(folder) if "://" in folder else (pa.fs.LocalFileSystem(), folder)
     fs.create_dir(root, recursive=True)
 
     def save(shard: int, rows: list) -> dict:
         fs, root = pa.fs.FileSystem.from_uri(folder) if "://" in folder else (pa.fs.LocalFileSystem(), folder)
         path, data = f"{root}/shard-{shard:08d}.bin", b"".join(r for _, r in rows)
-        if fs.get_file_info(path).size != len(data):
+        if not (fs.get_file_info(path).size == len(data) and _digest(fs, path) == hashlib.sha256(data).hexdigest()):
             draft = f"{root}/.{uuid.uuid4().hex}"
             with fs.open_output_stream(draft) as f:
                 f.write(data)
