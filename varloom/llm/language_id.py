@@ -1,8 +1,10 @@
 """Operator 4, language identification: nearest centroid over TF-IDF character n-grams.
 
 Document frequencies come from every learning text, added up in each task before the shuffle. Centroids are fitted on
-a bounded sample for each language, several clusters by spherical k-means, one language in a task. Prediction is one
-Arrow map with the centroids as a broadcast of bounded size.
+a sample of about PER_LANGUAGE texts of each language, drawn by a hash of the id below a bound that follows from the
+language's count, so no language's rows meet in a task before they are few; several clusters by spherical k-means, one
+language in a task. Prediction is one Arrow map with the centroids as a broadcast of bounded size. Of centroids at the
+same cosine the first counts, in order of language and centroid bytes.
 """
 
 from __future__ import annotations
@@ -10,14 +12,14 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varloom.llm.common import durable, held_out, key_rows, table
+from varloom.llm.common import held_out, table
 from varloom.llm.ngrams import folded, gram_bins
 
 SIZES, BITS = (1, 2, 3), 13
-#: The sample that centroids are fitted on: texts of each language. Languages: more than these are an error.
+#: The sample that centroids are fitted on: about so many texts of each language. Languages: more than these are an error.
 PER_LANGUAGE, LANGUAGES = 500, 1_000
 CLUSTERS, ROUNDS = 4, 12
 #: A text is rejected if its cosine is below this share of the one that 95 % of its language's sample reach.
@@ -30,7 +32,8 @@ def counts(texts: list) -> np.ndarray:
     """Log-damped n-gram counts, a row for each text."""
     out = np.zeros((len(texts), 1 << BITS), np.float32)
     for row, t in zip(out, texts):
-        row += np.bincount(gram_bins(folded(t), SIZES, BITS), minlength=1 << BITS)
+        for bins in gram_bins(folded(t), SIZES, BITS):
+            row += np.bincount(bins, minlength=1 << BITS)
     return np.log1p(out, out=out)
 
 
@@ -75,10 +78,13 @@ def train(rows: DataFrame) -> Model:
     """rows: doc_id, text, lang of the texts that may be learnt from."""
 
     def document_frequency(batches):
-        df, n = np.zeros(1 << BITS, np.int64), 0
+        df, marks, n = np.zeros(1 << BITS, np.int64), np.zeros(1 << BITS, bool), 0
         for b in batches:
             for t in b.column("text").to_pylist():
-                df[np.unique(gram_bins(folded(t), SIZES, BITS))] += 1
+                for bins in gram_bins(folded(t), SIZES, BITS):
+                    marks[bins] = True
+                df += marks
+                marks[:] = False
                 n += 1
         seen = np.flatnonzero(df)
         yield pa.RecordBatch.from_pydict({"bin": pa.array([-1, *seen], pa.int32()), "n": pa.array([n, *df[seen]], pa.int64())})
@@ -89,17 +95,17 @@ def train(rows: DataFrame) -> Model:
     idf = np.full(1 << BITS, np.log(1 + total), np.float32)
     for k, v in df.items():
         idf[k] = np.log((1 + total) / (1 + v)) + 0.1
-    per_lang = rows.select("doc_id", "lang").filter("lang is not null and doc_id is not null").distinct()
-    first = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    picked = durable(per_lang.withColumn("k", first).filter(F.col("k") <= PER_LANGUAGE).select("doc_id"), "lang-ids")
-    if picked.limit(LANGUAGES * PER_LANGUAGE + 1).count() > LANGUAGES * PER_LANGUAGE:
+    sizes = rows.filter("lang is not null").groupBy("lang").count().limit(LANGUAGES + 1).collect()
+    if len(sizes) > LANGUAGES:
         raise ValueError(f"more than {LANGUAGES} languages")
+    below = {lang: min(1.0, PER_LANGUAGE / n) for lang, n in sizes}  # the share of the language's ids that is drawn
+    drawn = F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(1 << 30)) < F.create_map(*[F.lit(x) for kv in below.items() for x in kv])[F.col("lang")] * (1 << 30) if below else F.lit(False)
 
     def centroids(t: pa.Table) -> pa.Table:
         c, cos = cluster(unit(np.vstack([counts(part) for part in (t["text"].to_pylist()[i : i + 128] for i in range(0, len(t), 128))]) * idf), CLUSTERS)
         return pa.table({"lang": [t["lang"][0].as_py()] * len(c), "centroid": pa.array([x.astype("<f4").tobytes() for x in c], pa.binary()), "floor": [REJECT * float(np.quantile(cos, 0.05))] * len(c), "rows": pa.array([len(t)] * len(c), pa.int64())})
 
-    sample = rows.filter("lang is not null").join(F.broadcast(picked), "doc_id", "left_semi").select("lang", "text")
+    sample = rows.filter(F.col("lang").isNotNull() & drawn).select("lang", "text")
     got = sample.groupBy("lang").applyInArrow(centroids, "lang string, centroid binary, floor double, rows long").collect()
     got = sorted(got, key=lambda r: (r["lang"], r["centroid"]))
     usual = max(got, key=lambda r: (r["rows"], r["lang"]))["lang"] if got else None

@@ -1,76 +1,88 @@
 """Operator 6, toxicity: a linear classifier over character n-grams scaled by naive Bayes log-count ratios.
 
-The labels of the learning rows are reduced to a bounded sample of ids, so that texts aren't shuffled to be labelled;
-executors turn the sample's texts into n-gram sets; the driver fits ratios and weights over at most SAMPLE_GRAMS of
-them. Scoring is one Arrow map over all whole texts with the model as a broadcast of fixed size.
+1. The labels of the learning rows give a sample of at most SAMPLE_TOXIC and SAMPLE_CLEAN ids by a hash; their whole
+   texts go to a durable table.
+2. Spark counts the sample texts that hold each n-gram, by label, and keeps the FEATURES n-grams that tell the labels
+   apart best (likelihood ratio). These and their log-count ratios are all that the model knows of a text.
+3. One executor task fits the weights: at most SAMPLE_TOXIC + SAMPLE_CLEAN rows of at most FEATURES numbers each.
+4. One Arrow map scores all whole texts; the broadcast model has FEATURES weights.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from varloom.llm.common import durable, held_out, key_rows, slices, table
-from varloom.llm.ngrams import Presence, folded, gram_bins
+from varloom.llm.ngrams import folded, gram_bins
 
-SIZES, BITS = (4, 5), 18
-#: The sample that the classifier is fitted on: rows of label 1, rows of label 0, and n-grams in all.
-SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_GRAMS = 2_000, 4_000, 20_000_000
-ROUNDS, RATE, DECAY, SMOOTH = 40, 0.1, 1e-4, 0.5
+SIZES, BITS, FEATURES = (4, 5, 6), 20, 2_000
+#: The sample that the classifier is fitted on: rows of label 1 and rows of label 0.
+SAMPLE_TOXIC, SAMPLE_CLEAN = 2_000, 4_000
+ROUNDS, RATE, DECAY, SMOOTH = 60, 0.1, 1e-2, 0.5
 THRESHOLD = 0.7
+#: The bias puts the threshold between two quantiles of the sample's rows, of the clean and of the toxic ones, so far up.
+CLEAN_BELOW, TOXIC_BELOW, UP = 0.998, 0.2, 0.1
+
+
+class Features:
+    """Numbers of the chosen bins that a text has."""
+
+    def __init__(self, bins: np.ndarray):
+        self._number = np.full(1 << BITS, -1, np.int16)
+        self._number[bins] = np.arange(len(bins))
+
+    def __call__(self, text: str | None) -> np.ndarray:
+        out = [np.empty(0, np.int16)]
+        for b in gram_bins(folded(text), SIZES, BITS):
+            k = self._number[b]
+            out.append(np.unique(k[k >= 0]))
+        return np.unique(np.concatenate(out))
 
 
 class Model:
-    """weights: of each bin, ratio included; ratios: log-count ratios; base: share of toxic rows learnt from."""
-
-    def __init__(self, weights: np.ndarray, ratios: np.ndarray, bias: float, base: float):
-        self.weights, self.squares, self.bias, self.base = weights, ratios * ratios, bias, base
-
-    def score(self, bins: np.ndarray) -> float:
-        if not len(bins):
-            return self.base
-        z = self.weights[bins].sum() / np.sqrt(self.squares[bins].sum() + 1) + self.bias
-        return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
-
-
-def fit(bins: list[np.ndarray], labels: np.ndarray, bits: int = BITS) -> Model:
-    """From the distinct bins of each text. With only one label the score is the share of label 1 everywhere."""
-    size, n, pos = 1 << bits, len(labels), int(labels.sum())
-    base = (pos + 1) / (n + 2) if pos == n or pos == 0 else pos / n
-    if pos in (0, n):
-        return Model(np.zeros(size), np.zeros(size), float(np.log(base / (1 - base))), base)
-    counts = np.zeros((2, size))
-    for b, y in zip(bins, labels):
-        counts[y, b] += 1
-    ratios = np.log((counts[1] + SMOOTH) / (pos + 2 * SMOOTH)) - np.log((counts[0] + SMOOTH) / (n - pos + 2 * SMOOTH))
-    ratios[counts.sum(0) == 0] = 0
-    scale = np.array([1 / np.sqrt((ratios[b] ** 2).sum() + 1) for b in bins])
-    balance = np.where(labels == 1, n / (2 * pos), n / (2 * (n - pos)))
+    """bins: chosen n-grams; weights: of each, ratio included; base: share of toxic rows learnt from, for texts without
+    any n-gram at all."""
+
+    def __init__(self, bins: np.ndarray, weights: np.ndarray, bias: float, base: float):
+        self.bins, self.weights, self.bias, self.base = bins, weights, bias, base
+
+    def scorer(self):
+        features = Features(self.bins)
+
+        def score(text: str | None) -> float:
+            if len(folded(text)) < min(SIZES):
+                return self.base
+            z = self.weights[features(text)].sum() + self.bias
+            return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
+
+        return score
+
+
+def fit(rows: list[np.ndarray], labels: np.ndarray, ratios: np.ndarray) -> tuple[np.ndarray, float]:
+    """(weights, bias) of a logistic regression on features of value `ratio`, each label weighing a half; by AdaGrad."""
+    n, pos, size = len(labels), int(labels.sum()), len(ratios)
+    ind, doc = np.concatenate([*rows, np.empty(0, np.int16)]).astype(np.int64), np.repeat(np.arange(n), [len(r) for r in rows])
+    balance = np.where(labels == 1, n / (2 * pos), n / (2 * (n - pos))) / n
     w, bias, g2, gb = np.zeros(size), 0.0, np.full(size, 1e-8), 1e-8
-    cuts = np.searchsorted(np.cumsum([len(b) for b in bins]), np.arange(1_000_000, sum(map(len, bins)), 1_000_000))
-    blocks = [(a, e) for a, e in zip([0, *cuts], [*cuts, n]) if e > a]
     for _ in range(ROUNDS):
-        grad, errors = DECAY * w, 0.0
-        scaled = w * ratios
-        for a, e in blocks:
-            ind, doc = np.concatenate(bins[a:e]), np.repeat(np.arange(e - a), [len(b) for b in bins[a:e]])
-            z = np.bincount(doc, scaled[ind], e - a) * scale[a:e] + bias
-            err = (1 / (1 + np.exp(-z)) - labels[a:e]) * balance[a:e]
-            grad += np.bincount(ind, (err * scale[a:e])[doc], size) * ratios / n
-            errors += err.sum() / n
+        z = np.bincount(doc, (w * ratios)[ind], n) + bias
+        err = (1 / (1 + np.exp(-z)) - labels) * balance
+        grad = DECAY * w + np.bincount(ind, err[doc], size) * ratios
         g2 += grad * grad
         w -= RATE * grad / np.sqrt(g2)
-        gb += errors**2
-        bias -= RATE * errors / np.sqrt(gb)
-    return Model(w * ratios, ratios, float(bias), base)
+        gb += err.sum() ** 2
+        bias -= RATE * err.sum() / np.sqrt(gb)
+    z = np.bincount(doc, (w * ratios)[ind], n)
+    low, high = np.quantile(z[labels == 0], CLEAN_BELOW), np.quantile(z[labels == 1], TOXIC_BELOW)
+    cut = low + UP * (high - low)
+    return w * ratios, float(np.log(THRESHOLD / (1 - THRESHOLD)) - cut)
 
 
-def train(docs: DataFrame, labels: DataFrame, modulus: int = 3, remainder: int = 1) -> Model:
-    """docs: doc_id, text; labels: doc_id, toxic. Rows with the given remainder of crc32(doc_id) are never learnt from.
-
-    Null labels and ids are left out; of repeated labels the greatest counts; a label without a document has no effect."""
+def _sample(docs: DataFrame, labels: DataFrame, modulus: int, remainder: int) -> DataFrame:
+    """Durable table (toxic, text) of the rows that are learnt from."""
     known = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
         .filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out("doc_id", modulus, remainder))
@@ -79,36 +91,71 @@ def train(docs: DataFrame, labels: DataFrame, modulus: int = 3, remainder: int =
     )
     order = F.xxhash64("doc_id")
     picked = known.filter("toxic = 1").orderBy(order, "doc_id").limit(SAMPLE_TOXIC).unionByName(known.filter("toxic = 0").orderBy(order, "doc_id").limit(SAMPLE_CLEAN))
+    return durable(docs.join(F.broadcast(durable(picked, "toxic-ids")), "doc_id").select("toxic", "text"), "toxic-sample")
 
-    def featurise(batches):
-        presence = Presence(BITS)
-        for b in slices(batches):
-            sets = [presence(gram_bins(folded(t), SIZES, BITS)).astype("<i4") for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id"), "toxic": b.column("toxic"), "n": pa.array([len(s) for s in sets], pa.int64()), "bins": pa.array([s.tobytes() for s in sets], pa.binary())})
 
-    rows = docs.join(F.broadcast(durable(picked, "toxic-ids")), "doc_id").mapInArrow(featurise, "doc_id long, toxic int, n long, bins binary")
-    rows = durable(rows, "toxic-sample")
-    so_far = F.sum("n").over(Window.orderBy(order, "doc_id", "n").rowsBetween(Window.unboundedPreceding, 0))  # of a bounded sample
-    got = rows.withColumn("so_far", so_far).filter(F.col("so_far") <= SAMPLE_GRAMS).orderBy(order, "doc_id", "n").select("toxic", "bins").toArrow()
-    return fit([np.frombuffer(x, "<i4") for x in got["bins"].to_pylist()], np.array(got["toxic"].to_pylist(), np.int64))
+def _count(batches):
+    """How many texts of each label hold each bin."""
+    counts, marks = np.zeros((2, 1 << BITS), np.int64), np.zeros(1 << BITS, bool)
+    for b in slices(batches):
+        for toxic, text in zip(b.column("toxic").to_pylist(), b.column("text").to_pylist()):
+            for part in gram_bins(folded(text), SIZES, BITS):
+                marks[part] = True
+            held = np.flatnonzero(marks)
+            counts[int(toxic == 1), held] += 1
+            marks[held] = False
+    some = np.flatnonzero(counts.sum(0))
+    for i in range(0, len(some), 100_000):
+        k = some[i : i + 100_000]
+        yield pa.RecordBatch.from_pydict({"bin": pa.array(k, pa.int32()), "clean": pa.array(counts[0, k]), "toxic": pa.array(counts[1, k])})
+
+
+def train(docs: DataFrame, labels: DataFrame, modulus: int = 3, remainder: int = 1) -> Model:
+    """docs: doc_id, text; labels: doc_id, toxic. Rows with the given remainder of crc32(doc_id) are never learnt from.
+
+    Null labels and ids are left out; of repeated labels the greatest counts; a label without a document has no effect.
+    With only one label the score is the share of label 1 everywhere, with one added to each label's count."""
+    sample = _sample(docs, labels, modulus, remainder)
+    n = dict(map(tuple, sample.groupBy((F.col("toxic") == 1).cast("int")).count().collect()))
+    pos, neg = n.get(1, 0), n.get(0, 0)
+    if not pos or not neg:
+        base = (pos + 1) / (pos + neg + 2)
+        return Model(np.empty(0, np.int64), np.empty(0), float(np.log(base / (1 - base))), base)
+    counts = sample.mapInArrow(_count, "bin int, clean long, toxic long").groupBy("bin").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    due = lambda side, share: F.when(F.col(side) > 0, F.col(side) * F.ln(F.col(side) / ((F.col("clean") + F.col("toxic")) * share))).otherwise(0.0)
+    gain = due("toxic", pos / (pos + neg)) + due("clean", neg / (pos + neg))
+    best = np.array(counts.orderBy(F.round(gain, 9).desc(), "bin").limit(FEATURES).select("bin", "clean", "toxic").collect(), float).reshape(-1, 3)
+    bins = best[:, 0].astype(np.int64)
+    ratios = np.log((best[:, 2] + SMOOTH) / (pos + 2 * SMOOTH)) - np.log((best[:, 1] + SMOOTH) / (neg + 2 * SMOOTH))
+
+    def describe(batches):
+        features = Features(bins)
+        for b in slices(batches):
+            yield pa.RecordBatch.from_pydict({"toxic": b.column("toxic"), "held": pa.array([features(t).tobytes() for t in b.column("text").to_pylist()], pa.binary())})
 
+    def fit_all(batches):
+        rows = sorted((x["held"], int(x["toxic"] == 1)) for b in batches for x in b.to_pylist())  # in one order, however they were dealt
+        weights, bias = fit([np.frombuffer(h, np.int16) for h, _ in rows], np.array([t for _, t in rows]), ratios)
+        yield pa.RecordBatch.from_pydict({"weights": pa.array([weights.tobytes()], pa.binary()), "bias": pa.array([bias])})
 
-def _scores(model: Model, texts: list, presence: Presence) -> np.ndarray:
-    return np.array([model.score(presence(gram_bins(folded(t), SIZES, BITS))) for t in texts], float)
+    got = sample.mapInArrow(describe, "toxic int, held binary").repartition(1).mapInArrow(fit_all, "weights binary, bias double").first()
+    return Model(bins, np.frombuffer(got["weights"]), got["bias"], pos / (pos + neg))
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, modulus: int = 3, remainder: int = 1, threshold: float = THRESHOLD) -> DataFrame:
     """One row per row of docs: doc_id, held_out, score (0 to 1), predicted (1 if score >= threshold).
 
-    A null text counts as empty; a text without n-grams scores the share of toxic rows in the sample, below the
-    threshold unless most of the sample is toxic. Without any label the score is 0.5. Repeated rows get equal scores."""
+    A null text counts as empty; a text too short for an n-gram scores the share of toxic rows in the sample, below the
+    threshold unless most of the sample is toxic. Without any label the score is 0.5. Repeated rows get equal scores; a
+    null id isn't held out and its row is scored. Very long texts are read whole, part by part. An empty table gives an
+    empty result; other columns of docs are not read."""
     rows = key_rows(docs, "doc_id", "text")
     model = docs.sparkSession.sparkContext.broadcast(train(rows, labels, modulus, remainder))
 
     def run(batches):
-        presence = Presence(BITS)
+        score = model.value.scorer()
         for b in slices(batches):
-            s = _scores(model.value, b.column("text").to_pylist(), presence)
+            s = np.array([score(t) for t in b.column("text").to_pylist()], float)
             yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id"), "held_out": b.column("held_out"), "score": pa.array(s, pa.float64()), "predicted": pa.array(s >= threshold).cast(pa.int32())})
 
     rows = rows.select("doc_id", held_out("doc_id", modulus, remainder).alias("held_out"), "text")
@@ -116,13 +163,14 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, modulus: int = 3, remaind
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """docs, all columns, without the rows that score at least the threshold."""
+    """docs, all columns, without the rows that score at least the threshold (see score_toxicity() for nulls, empty and
+    very long texts, ties and missing labels). Repeated rows go or stay alike; an empty table stays empty."""
     model = docs.sparkSession.sparkContext.broadcast(train(key_rows(docs, "doc_id", "text"), labels))
 
     def run(batches):
-        presence = Presence(BITS)
+        score = model.value.scorer()
         for b in slices(batches):
-            yield b.filter(pa.array(_scores(model.value, b.column("text").to_pylist(), presence) < threshold))
+            yield b.filter(pa.array([score(t) < threshold for t in b.column("text").to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 
