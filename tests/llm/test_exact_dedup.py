@@ -22,8 +22,8 @@ def brute(rows):
 
 def test_matches_brute_force_even_with_a_colliding_hash(spark):
     rows = corpus()
-    for weak in (F.md5, lambda c: F.substring(F.md5(c), 1, 1)):
-        got = rows_of(exact_dedup(table(spark, rows), hash128=weak), "doc_id", "keep_id", "group_size", "kept", "text_sha256")
+    for weak in (exact.hash128, lambda c: F.substring(F.md5(c), 1, 1)):
+        got = rows_of(exact_dedup(table(spark, rows), content_hash=weak), "doc_id", "keep_id", "group_size", "kept", "text_sha256")
         assert got == brute(rows)
 
 
@@ -42,3 +42,14 @@ def test_filter_drops_rows_not_ids(spark, monkeypatch):
     assert rows_of(drop_copies(docs), "doc_id", "text") == want
     monkeypatch.setattr(exact, "BROADCAST_IDS", 0)
     assert rows_of(drop_copies(docs), "doc_id", "text") == want
+
+
+def test_the_hash_makes_the_groups_and_hot_groups_are_joined_apart(spark, monkeypatch):
+    """A hash that tells all rows apart finds no copies; groups beyond the broadcast bound give the same result."""
+    from varloom.llm import common
+
+    rows = [(i, "same text") for i in range(1_100)] + [(i, f"text {i % 7}") for i in range(2_000, 2_020)]
+    assert all(r.kept for r in exact_dedup(table(spark, rows), content_hash=lambda c: F.uuid()).collect())
+    monkeypatch.setattr(common, "BROADCAST_KEYS", 0)
+    got = rows_of(exact_dedup(table(spark, rows)), "doc_id", "keep_id", "group_size", "kept", "text_sha256")
+    assert got == brute(rows)

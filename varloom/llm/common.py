@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 SPACE_CLASS = r"[\x20\x09-\x0D]+"
 #: Ids that drop_ids() and keep_ids() broadcast at most: 2 million longs are 16 MB. Beyond it they join by shuffle.
 BROADCAST_IDS = 2_000_000
+#: Rows of a keyed table that join_keyed() broadcasts whole; and, of a larger one, at most so many of the hottest keys.
+BROADCAST_KEYS, HOT_KEYS = 250_000, 10_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,8 +21,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a folder of the warehouse where that is unset, as in local tests."""
-    return spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints"
+    """The folder in spark.checkpoint.dir. Where that is unset, a folder of the warehouse, in local mode only."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints"
+    return folder
 
 
 def durable(df: DataFrame, label: str, *by: str) -> DataFrame:
@@ -58,6 +65,20 @@ def keep_ids(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFra
     return _by_ids(docs, ids, id_col, "left_semi")
 
 
+def join_keyed(left: DataFrame, right: DataFrame, by: list[str], size: str, how: str = "inner") -> DataFrame:
+    """left joined with right (durable; one row for each key, none of them null), inner or left. size: a column of right
+    that bounds how many rows of left have the key.
+
+    A small right is broadcast. Of a larger one the hottest keys are, HOT_KEYS of them at most since their sizes share
+    one total, so that no key's rows of left meet in one task; left is read twice then."""
+    n, total = right.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    if n <= BROADCAST_KEYS:
+        return left.join(F.broadcast(right), by, how)
+    hot = F.broadcast(right.filter(F.col(size) > max(1_000, total // HOT_KEYS)))
+    cold = right.filter(F.col(size) <= max(1_000, total // HOT_KEYS))
+    return left.join(hot, by).unionByName(left.join(hot, by, "left_anti").join(cold, by, how))
+
+
 def held_out(id_col: str, modulus: int, remainder: int):
     """Column: crc32 of the id as text leaves this remainder. A null id isn't held out."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % modulus == remainder, F.lit(False))
