@@ -1,10 +1,11 @@
 """Operator 9, byte-level BPE: overlapping chunks are pre-tokenised, stitched, and their pieces encoded.
 
-A text of up to `chunk` characters is one chunk and needs no shuffle. A longer one is cut by Spark into chunks that
-overlap; they are dealt over all tasks, pre-tokenised apart, and one row per text then gathers the cuts alone. Two
+Every text is cut into chunks that overlap, which are pre-tokenised apart and stitched; a short text is one chunk. Two
 scans of the pattern that share one cut agree from there on, since the pattern looks only ahead: the stitch follows
 one chunk's cuts until the next chunk has the same cut inside the overlap. Where no cut is shared (a run of one class
-longer than the overlap) the text is scanned on from the last sure cut until it meets the next chunk's cuts.
+longer than the overlap) the text is scanned on from the last sure cut until it meets the next chunk's cuts. The chunks
+of a text of more than `spread` characters are dealt over all tasks; those of other texts stay in the text's task, so
+that nothing is shuffled for them.
 """
 
 from __future__ import annotations
@@ -24,8 +25,8 @@ from pyspark.sql import functions as F
 
 from varloom.llm.common import key_rows, slices, table
 
-#: Characters of a chunk and of what it shares with the next.
-CHUNK, OVERLAP = 32_768, 512
+#: Characters of a chunk and of what it shares with the next; of texts whose chunks are dealt over tasks, at least.
+CHUNK, OVERLAP, SPREAD = 4_096, 256, 131_072
 #: A cut this close to a chunk's end may differ from the whole text's: the pattern looks at most this far ahead of a match.
 UNSURE = 4
 #: Pieces whose ids a worker remembers; beyond it, it forgets them all.
@@ -95,6 +96,12 @@ def stitch(pattern, text: str, chunks: list[tuple[int, list[int]]]) -> list[int]
     return out
 
 
+def chunks_of(text: str, chunk: int, overlap: int):
+    """(start, part, whether it is the last)."""
+    for start in range(0, max(1, len(text) - overlap), chunk - overlap):
+        yield start, text[start : start + chunk], start + chunk >= len(text)
+
+
 def pieces_of(text: str, cuts: list[int]) -> list[str]:
     return [text[a:b] for a, b in zip([0, *cuts], cuts)]
 
@@ -108,26 +115,37 @@ def _digest(doc_ids: list, encoded: list[bytes], c: Coder, with_ids: bool) -> pa
     return pa.RecordBatch.from_pydict(cols)
 
 
-def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK, overlap: int = OVERLAP, with_ids: bool = True) -> DataFrame:
+def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK, overlap: int = OVERLAP, spread: int = SPREAD, with_ids: bool = True) -> DataFrame:
     """One row per row of docs: doc_id, n_tokens, ids_sha256, decoded_sha256 and, if wanted, ids (binary, <u4).
 
     A null or empty text has no ids. Repeated rows give repeated results; ids of rows may be null. Rows that repeat an
-    id with long texts are kept apart by a row key. An empty table gives an empty result."""
+    id with long texts are kept apart by a row key. An empty table gives an empty result; other columns of docs are not
+    read. overlap must be less than chunk."""
     path, pattern = path or public_tokenizers.path("byte_bpe_50k.tiktoken"), pattern or public_tokenizers.PATTERN
     rows = key_rows(docs, id_col, text_col).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * with_ids
 
-    def whole(batches):
+    def at_once(batches):
         c = coder(path, pattern)
         for b in slices(batches):
-            encoded = [c.encode_pieces(c.pattern.findall(t)) for t in b.column("text").to_pylist()]
+            encoded = []
+            for t in b.column("text").to_pylist():
+                cuts = stitch(c.pattern, t, [(start, cuts_of(c.pattern, part, last)) for start, part, last in chunks_of(t, chunk, overlap)])
+                encoded.append(c.encode_pieces(pieces_of(t, cuts)))
             yield _digest(b.column("doc_id").to_pylist(), encoded, c, with_ids)
 
+    def cut_up(batches):
+        for b in batches:
+            for row, t in zip(b.column("row").to_pylist(), b.column("text").to_pylist()):
+                got = list(chunks_of(t, chunk, overlap))
+                for i in range(0, len(got), 1_000):
+                    starts, parts, last = zip(*got[i : i + 1_000])
+                    yield pa.RecordBatch.from_pydict({"row": pa.array([row] * len(starts), pa.string()), "start": pa.array(starts, pa.int32()), "part": pa.array(parts, pa.string()), "last": pa.array(last, pa.bool_())})
+
     def pre_tokenise(batches):
         c = coder(path, pattern)
         for b in slices(batches):
-            last = b.column("last").to_pylist()
-            cuts = [array("i", cuts_of(c.pattern, t, e)).tobytes() for t, e in zip(b.column("part").to_pylist(), last)]
+            cuts = [array("i", cuts_of(c.pattern, t, e)).tobytes() for t, e in zip(b.column("part").to_pylist(), b.column("last").to_pylist())]
             yield pa.RecordBatch.from_pydict({"row": b.column("row"), "start": b.column("start"), "cuts": pa.array(cuts, pa.binary())})
 
     def join_up(batches):
@@ -140,14 +158,12 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None,
             yield _digest(b.column("doc_id").to_pylist(), encoded, c, with_ids)
 
     size = F.length("text")
-    short = rows.filter(size <= chunk).mapInArrow(whole, schema)
-    long = rows.filter(size > chunk).select("doc_id", "text", F.md5(F.concat_ws("|", "doc_id", "text")).alias("row"))
-    starts = F.sequence(F.lit(0), (size - F.lit(overlap + 1)).cast("int"), F.lit(chunk - overlap))
+    short = rows.filter(size <= spread).mapInArrow(at_once, schema)
+    key = F.sha2(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit("|"), F.col("text")), 256)  # no id reads as null
+    long = rows.filter(size > spread).select("doc_id", "text", key.alias("row"))
     chunks = (
-        long.dropDuplicates(["row"]).select("row", "text", F.explode(starts).alias("start"))
-        .select("row", "start", F.expr(f"substring(text, start + 1, {chunk})").alias("part"), (F.col("start") + chunk >= size).alias("last"))
-        .repartition("row", "start")
-        .mapInArrow(pre_tokenise, "row string, start int, cuts binary")
+        long.dropDuplicates(["row"]).select("row", "text").mapInArrow(cut_up, "row string, start int, part string, last boolean")
+        .repartition("row", "start").mapInArrow(pre_tokenise, "row string, start int, cuts binary")
         .groupBy("row").agg(F.collect_list(F.struct("start", "cuts")).alias("parts"))  # as many as one text has chunks
     )
     joined = long.join(chunks, "row").select("doc_id", "text", "parts").mapInArrow(join_up, schema)
