@@ -79,3 +79,19 @@ def test_filter_keeps_one_of_each(spark):
     docs = table(spark, [(4, "a b c d e f"), (2, "a b c d e f"), (7, "q r s t u v"), (8, None), (9, None)])
     out = J.keep_one_of_each(docs)
     assert out.columns == docs.columns and rows_of(out, "doc_id") == [(2,), (7,), (8,), (9,)]
+
+
+def test_an_id_on_rows_of_very_different_length(spark):
+    rng = random.Random(4)
+    long = words(rng, 120, 5000)
+    rows = [(1, "a b c d e f g h"), (1, " ".join(long)), (2, " ".join([*long[:-2], "x"])), (3, "a b c d e f g h i"), (0, " ".join(["q", *long]))]
+    check(spark, rows)
+
+
+def test_hot_classes_are_joined_apart(spark, monkeypatch):
+    from varloom.llm import common
+
+    monkeypatch.setattr(common, "BROADCAST_KEYS", 0)
+    rows = [(i, "a b c d e f") for i in range(1, 1_200)] + [(0, None), (5_000, "u v w x y z"), (5_001, "u v w x y z")]
+    got = rows_of(J.jaccard_components(table(spark, rows)), "doc_id", "n_shingles", "component_id")
+    assert got == ordered([(0, 0, 0), (5_000, 3, 5_000), (5_001, 3, 5_000), *[(i, 3, 1) for i in range(1, 1_200)]])

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varloom.llm.common import Words, drop_ids, durable, keep_ids, key_rows, slices, table
+from varloom.llm.common import Words, drop_ids, durable, join_keyed, keep_ids, key_rows, slices, table
 from varloom.llm.components import components
 
 #: Words of a shingle; hundredths of the union that the intersection must reach.
@@ -103,7 +103,7 @@ def rarity(sketch: DataFrame) -> np.ndarray:
 def _prefixes(levels, k: int, percent: int):
     def run(batches):
         for b in slices(batches):
-            tokens, sizes, ids, needs = [], [], [], []
+            tokens, ids = [], []
             for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
                 s = shingle_set(text, k)
                 n = len(s)
@@ -112,14 +112,9 @@ def _prefixes(levels, k: int, percent: int):
                 a = least_overlap(n, percent)
                 p = s[np.argsort(levels.value[slot(s)], kind="stable")][: n - a + min(SHARED, a)]
                 tokens.append(p)
-                sizes.append(n)
                 ids.append(doc_id)
-                needs.append(min(SHARED, least_overlap(a, percent)))  # partners have a tokens at least
-            rep = [len(p) for p in tokens]
-            yield pa.RecordBatch.from_pydict({
-                "token": pa.array(np.concatenate([*tokens, np.empty(0, np.uint64)]).view(np.int64)), "id": pa.array(np.repeat(np.array(ids, np.int64), rep)),
-                "n": pa.array(np.repeat(np.array(sizes, np.int32), rep)), "need": pa.array(np.repeat(np.array(needs, np.int32), rep)),
-            })
+            token = np.concatenate([*tokens, np.empty(0, np.uint64)]).view(np.int64)
+            yield pa.RecordBatch.from_pydict({"token": pa.array(token), "id": pa.array(np.repeat(np.array(ids, np.int64), [len(p) for p in tokens]))})
 
     return run
 
@@ -210,8 +205,9 @@ def linked_pairs(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> Dat
     return durable(got.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long").distinct(), "links")
 
 
-def jaccard_links(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """(profile, links): profile has doc_id, n, set_hash of every row; links has pairs of class names that link.
+def jaccard_links(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(profile, classes, links): profile has doc_id, n, set_hash of every row; classes the first id and size of each
+    set_hash; links has pairs of class names that link.
 
     The links suffice for the components: each linked pair of classes is a link or inside one component."""
     docs = key_rows(docs, "doc_id", "text")
@@ -219,15 +215,19 @@ def jaccard_links(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) ->
     profile = both.filter("part is null").select("doc_id", "n", "set_hash")
     levels = docs.sparkSession.sparkContext.broadcast(rarity(both.filter("part is not null").select("part", "counts")))
     known = profile.filter("n > 0 and doc_id is not null")
-    classes = known.groupBy("set_hash").agg(F.min("doc_id").alias("first"))
-    copies = durable(known.join(classes, "set_hash").filter("doc_id > first").select("doc_id").distinct().join(classes.select(F.col("first").alias("doc_id")), "doc_id", "left_anti"), "copies")
+    classes = durable(known.groupBy("set_hash").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("size")), "classes")
+    copies = durable(known.select("doc_id").distinct().join(classes.select(F.col("first").alias("doc_id")), "doc_id", "left_anti"), "copies")
 
-    listed = drop_ids(docs.filter("doc_id is not null"), copies).mapInArrow(_prefixes(levels, k, percent), "token long, id long, n int, need int")
+    listed = drop_ids(docs.filter("doc_id is not null"), copies).mapInArrow(_prefixes(levels, k, percent), "token long, id long")
     listed = durable(listed, "prefixes")
     leads = listed.groupBy("token").agg(F.min("id").alias("lead"), F.max("id").alias("last")).filter("lead < last").drop("last")
     shared = durable(listed.join(leads, "token"), "shared")
-    counted = shared.filter("id > lead").groupBy(F.col("id").alias("a"), F.col("lead").alias("b")).agg(F.count(F.lit(1)).alias("c"), F.min("need").alias("need"))
-    counted = durable(counted.filter(f"c >= need or c >= {HOME}"), "lead-counts")
+    # what an id's tokens need not carry: sizes of its set, or of both where the id repeats, and how many tokens a partner shares
+    least = lambda n: F.floor((n * percent + 99) / 100)
+    sized = known.groupBy(F.col("doc_id").alias("id")).agg(F.min("n").cast("int").alias("n"), F.max("n").cast("int").alias("n2"))
+    sized = durable(sized.withColumn("need", F.least(F.lit(SHARED), least(least(F.col("n")))).cast("int")), "sizes")  # partners have least(n) tokens at least
+    counted = shared.filter("id > lead").groupBy(F.col("id").alias("a"), F.col("lead").alias("b")).agg(F.count(F.lit(1)).alias("c"))
+    counted = durable(counted.join(sized.select(F.col("id").alias("a"), "need"), "a").filter(f"c >= need or c >= {HOME}"), "lead-counts")
     to_leads = counted.filter("c >= need").select("a", "b")
     first_links = linked_pairs(docs, to_leads, k, percent)
 
@@ -237,14 +237,15 @@ def jaccard_links(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) ->
     home = counted.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("home"))
     home = home.join(home.select(F.col("id").alias("home"), F.col("home").alias("further")), "home", "left").select("id", F.coalesce("further", "home").alias("home"))
     g, weight = F.coalesce("g", "id"), F.coalesce("weight", F.lit(1))
-    held = shared.drop("lead").join(joined, "id", "left").join(home, "id", "left")
-    held = held.select("token", "id", "n", "need", g.alias("g"), F.coalesce("home", "id").alias("home"), F.when(weight >= BLOCK, g).otherwise(-1).alias("block"), F.when(weight >= BLOCK, weight).otherwise(0).alias("weight"))
+    own = sized.join(joined, "id", "left").join(home, "id", "left")
+    own = own.select("id", "n", "n2", "need", g.alias("g"), F.coalesce("home", "id").alias("home"), F.when(weight >= BLOCK, g).otherwise(-1).alias("block"), F.when(weight >= BLOCK, weight).otherwise(0).alias("weight"))
+    held = shared.select("token", "id").join(own, "id")
     spans = held.groupBy("token").agg(F.min("g").alias("low"), F.max("g").alias("high")).filter("low < high").select("token")
     held = durable(held.join(spans, "token", "left_semi"), "spanning")
-    matrix = held.groupBy("token", "home", "block").agg(F.first("weight").alias("weight"), F.min("n").alias("least"), F.max("n").alias("most"))
+    matrix = held.groupBy("token", "home", "block").agg(F.first("weight").alias("weight"), F.min("n").alias("least"), F.max("n2").alias("most"))
     q, m = held.alias("q"), matrix.alias("m")
     larger = "(q.block = -1 or m.weight > q.weight or m.weight = q.weight and m.block < q.block) and not (m.block = -1 and q.block <> -1) and m.block <> if(q.block = -1, -2, q.block)"
-    may_fit = f"m.most * 100 >= q.n * {percent} and q.n * 100 >= m.least * {percent}"
+    may_fit = f"m.most * 100 >= q.n * {percent} and q.n2 * 100 >= m.least * {percent}"
     opened = (
         q.join(m, F.expr(f"q.token = m.token and {larger} and {may_fit}"))
         .groupBy(F.col("q.id").alias("id"), F.col("m.home").alias("home"), F.col("m.block").alias("block")).agg(F.count(F.lit(1)).alias("c"), F.min("q.need").alias("need")).filter("c >= need")
@@ -259,22 +260,23 @@ def jaccard_links(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) ->
     sets = _sets(docs, durable(roles.select("id").distinct(), "role-ids"), k)
     dealt = roles.join(sets, "id").repartition("home", "block", "chunk").sortWithinPartitions("home", "block", "chunk", "asks")
     more = durable(dealt.select("home", "block", "chunk", "asks", "id", "g", "tokens").mapInArrow(_open(percent), "a long, b long"), "links")
-    return profile, first_links.unionByName(more)
+    return profile, classes, first_links.unionByName(more)
 
 
 def jaccard_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One row per row of docs (doc_id, text): doc_id, n_shingles, component_id.
 
     A null or wordless text has an empty set and is its own component. Rows that repeat an id are one node: a link of
-    either is a link of the id. A null id takes no part and its component is null. Equal sets always link."""
-    profile, links = jaccard_links(docs, k, percent)
+    either is a link of the id. A null id takes no part and its component is null. Equal sets always link. An empty table
+    gives an empty result; other columns of docs are not read; very long texts count whole. Shingles are compared as 64-bit
+    hashes of their words, sets as digests or sorted lists of these."""
+    profile, classes, links = jaccard_links(docs, k, percent)
     known = profile.filter("n > 0 and doc_id is not null")
-    classes = known.groupBy("set_hash").agg(F.min("doc_id").alias("first"))
     repeats = known.select("doc_id", "set_hash").distinct().groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("doc_id")
-    ties = known.join(repeats, "doc_id", "left_semi").join(classes, "set_hash").select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
+    ties = join_keyed(known.join(repeats, "doc_id", "left_semi"), classes, ["set_hash"], "size").select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
     found = components(links.unionByName(ties))
     return (
-        profile.join(classes, "set_hash", "left")
+        join_keyed(profile, classes, ["set_hash"], "size", "left")
         .select("doc_id", "n", F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("first")).otherwise(F.col("doc_id")).alias("class"))
         .join(found.withColumnRenamed("id", "class"), "class", "left")
         .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "class").alias("component_id"))
@@ -282,7 +284,8 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT
 
 
 def keep_one_of_each(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """docs, all columns, with only the smallest id of each component."""
+    """docs, all columns, with only the smallest id of each component. Rows without words or with a null id stay; rows that
+    repeat the id that stays all stay; an empty table stays empty."""
     gone = jaccard_components(docs, k, percent).filter("component_id < doc_id").select("doc_id").distinct()
     return drop_ids(docs, durable(gone, "near-copies"))
 
