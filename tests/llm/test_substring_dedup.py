@@ -48,3 +48,47 @@ def test_one_passage_in_all_texts_and_periodic_text(spark):
 
 def test_empty_table(spark):
     assert S.substring_dedup(table(spark, [])).count() == 0
+
+
+def test_the_result_hangs_on_the_automaton(spark):
+    """Without patterns, or with wrong ones, nothing is found."""
+    rows = corpus()
+    gone = lambda: sum(r.n_removed for r in S.substring_dedup(table(spark, rows)).collect())
+    assert gone() > 0
+    a = S.Automaton(6)
+    a.add(1, S.Words("a b c d e f g h i j"))
+    hit = lambda text, doc=2: S.runs(a.covered(doc, S.Words(text)))
+    assert [x.tolist() for x in hit("x a b c d e f g y")] == [[1], [8]]
+    assert [x.tolist() for x in hit("x a b c d e y")] == [[], []] and [x.tolist() for x in hit("a b c d e f", 1)] == [[], []]
+    wrong = S.Automaton(6)
+    wrong.add(1, S.Words("a b c d e f g h i j"))
+    wrong._places = {tuple(reversed(k)): v for k, v in wrong._places.items()}
+    assert not wrong.covered(2, S.Words("x a b c d e f g y")).any()
+    empty = S.Automaton(6)
+    empty.add(1, S.Words("a b c d e f g h i j"))
+    empty._places = {}
+    assert not empty.covered(2, S.Words("x a b c d e f g y")).any()
+
+
+def test_automaton_against_brute_force():
+    import random
+
+    import numpy as np
+
+    rng = random.Random(9)
+    for trial in range(300):
+        window = rng.choice([2, 3, 5, 8])
+        alphabet = rng.choice(["ab", "abc", "abcdefgh"])
+        passages = [(rng.randrange(6), [rng.choice(alphabet) for _ in range(rng.randrange(window, 25))]) for _ in range(rng.randrange(1, 5))]
+        doc_id, text = rng.randrange(7), [rng.choice(alphabet) for _ in range(rng.randrange(1, 40))]
+        if rng.random() < 0.5:
+            text += rng.choice(passages)[1]
+        a = S.Automaton(window)
+        for first, p in passages:
+            a.add(first, S.Words(" ".join(p)))
+        want = np.zeros(len(text), bool)
+        known = {tuple(p[k : k + window]) for first, p in passages if first < doc_id for k in range(len(p) - window + 1)}
+        for k in range(len(text) - window + 1):
+            if tuple(text[k : k + window]) in known:
+                want[k : k + window] = True
+        assert (a.covered(doc_id, S.Words(" ".join(text))) == want).all()

@@ -8,8 +8,12 @@ document that holds the anchor (the owner), and a hot owner's segments over many
 runs of confirmed windows are the recurring passages.
 4. Each owner's passages are compiled into an Aho-Corasick automaton over words, with a phrase of 25 words at every
 26th word of a passage: any 50 words of a passage hold a whole phrase. A hot owner's automaton is compiled once for each
-salt. Segments stream through it; where a phrase is found, the hashes of the windows around it tell the passage, and the
-words are compared with it. A partition reads its passages, then its segments, row after row; no group is gathered.
+salt. All segments stream through their owner's automaton; each hit is a phrase with the places in passages where it
+stands, and the words on both sides are compared with the passage there. Nothing is found but through a hit. A partition
+reads its passages, then its segments, row after row; no group is gathered.
+
+Documents reach the automata by their anchors: a stretch without recurring anchors holds no window that recurs, so no
+automaton could report in it.
 """
 
 from __future__ import annotations
@@ -22,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varloom.llm.common import Words, drop_ids, durable, keep_ids, key_rows, runs, table, window_min
+from varloom.llm.common import HOT_KEYS, Words, drop_ids, durable, keep_ids, key_rows, runs, table, window_min
 
 WINDOW = 50
 #: Anchors of one owner that one salt holds, about; a segment has some dozens.
@@ -109,67 +113,60 @@ def _passages(window: int):
 
 
 class Automaton:
-    """Passages, each with the document that has it first."""
+    """Passages, each with the document that has it first, behind the phrases that they hold.
+
+    A phrase of a passage with the words around it, as far as a window with the phrase can reach, is a place. Places
+    with equal words are one place, of the least document, so that a periodic passage has few."""
 
     def __init__(self, window: int):
         self.window, self.phrase = window, max(1, window // 2)
         self.stride = window - self.phrase + 1
         self.vocabulary: dict[bytes, int] = {}
-        self.ids: list[np.ndarray] = []
-        self.firsts: list[int] = []
-        self._hashes: list[np.ndarray] = []
+        self._places: dict[tuple, dict] = {}
         self._tree = None
 
     def add(self, first: int, passage: Words) -> None:
-        self.ids.append(np.array([self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in passage.data.split(b" ")], np.int64))
-        self.firsts.append(first)
-        self._hashes.append(passage.grams(self.window))
+        ids = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in passage.data.split(b" ")]
+        reach = self.window - self.phrase
+        for t in range(0, len(ids) - self.phrase + 1, self.stride):
+            before = min(reach, t)
+            words = tuple(ids[t - before : t + self.window])
+            places = self._places.setdefault(tuple(ids[t : t + self.phrase]), {})
+            places[before, words] = min(first, places.get((before, words), first))
 
     def compile(self) -> None:
-        """The automaton of phrases, and where each window stands: its passage and place, in order of window hashes."""
-        self._tree, known = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE), set()
-        for ids in self.ids:
-            for t in range(0, len(ids) - self.phrase + 1, self.stride):
-                known.add(tuple(ids[t : t + self.phrase].tolist()))
-        for k, key in enumerate(known):
-            self._tree.add_word(key, k)
-        if known:
+        self._tree = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+        for phrase, places in self._places.items():
+            self._tree.add_word(phrase, [(before, np.array(words, np.int64), first) for (before, words), first in places.items()])
+        if self._places:
             self._tree.make_automaton()
-            hashes = np.concatenate(self._hashes)
-            order = np.argsort(hashes, kind="stable")
-            sizes = [len(h) for h in self._hashes]
-            self._keys, self._passage = hashes[order], np.repeat(np.arange(len(sizes)), sizes)[order]
-            self._place = np.concatenate([np.arange(n) for n in sizes])[order]
-            self._first = np.array(self.firsts, np.int64)
 
     def covered(self, doc_id: int, segment: Words) -> np.ndarray:
         """Which words lie in a window of a passage that a smaller document has first."""
         if self._tree is None:
             self.compile()
         n, out = len(segment), np.zeros(len(segment), bool)
-        if not self.ids or n < self.window:
+        if not self._places or n < self.window:
             return out
         ids = [self.vocabulary.get(w, 0) for w in segment.data.split(b" ")]
-        found = np.zeros(n + 1, np.int64)  # phrases that begin before each word
-        for end, _ in self._tree.iter(tuple(ids)):
-            found[end - self.phrase + 2] = 1
-        found = np.cumsum(found)
-        if not found[-1]:
-            return out
-        own, h = np.array(ids, np.int64), segment.grams(self.window)
-        at = np.minimum(np.searchsorted(self._keys, h), len(self._keys) - 1)
-        starts = np.arange(len(h))
-        holds = found[starts + self.stride] > found[starts]  # a whole phrase begins early enough to end inside
-        ok = holds & (self._keys[at] == h) & (self._first[self._passage[at]] < doc_id)
-        passage, shift = self._passage[at], self._place[at] - starts
-        change = np.flatnonzero((ok[1:] != ok[:-1]) | (passage[1:] != passage[:-1]) | (shift[1:] != shift[:-1])) + 1
-        for s, e in zip([0, *change], [*change, len(h)]):
-            if ok[s]:
-                theirs, end = self.ids[passage[s]], e + self.window - 1
-                same = own[s:end] == theirs[s + shift[s] : end + shift[s]]
-                for a, b in zip(*runs(same)):
-                    if b - a >= self.window:
-                        out[s + a : s + b] = True
+        own, reach = np.array(ids, np.int64), self.window - self.phrase
+        for end, places in self._tree.iter(tuple(ids)):
+            at = end - self.phrase + 1
+            around = out[max(0, at - reach) : at + self.window]
+            for before, words, first in places:
+                if first >= doc_id:
+                    continue
+                if around.all():  # no window with this phrase has more to give
+                    break
+                low = max(0, at - before)
+                theirs = words[before - (at - low) :]
+                differ = np.flatnonzero(own[low : low + len(theirs)] != theirs[: n - low])
+                left = differ[differ < at - low]
+                right = differ[differ >= at - low]
+                s = low + (int(left[-1]) + 1 if len(left) else 0)
+                e = low + (int(right[0]) if len(right) else min(len(theirs), n - low))
+                if e - s >= self.window:
+                    out[s:e] = True
         return out
 
 
@@ -200,8 +197,11 @@ def repeated_runs(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     anchors = durable(named.mapInArrow(_anchors(window), "anchor long, doc_id long"), "anchors")
     owners = anchors.groupBy("anchor").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last")).filter("owner < last").drop("last")
     marks = durable(anchors.join(owners, "anchor"), "recurring")
-    salts = marks.groupBy("owner").agg(F.ceil(F.count(F.lit(1)) / SALT_ANCHORS).alias("salts"))
-    lists = marks.join(salts, "owner").groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "owner", "salts")).alias("marks"))  # one document's
+    # only owners above the bound have salts, HOT_KEYS of them at most, so that their table is broadcast
+    bound = max(SALT_ANCHORS, marks.count() // HOT_KEYS)
+    salts = marks.groupBy("owner").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > bound).select("owner", F.ceil(F.col("c") / SALT_ANCHORS).alias("salts"))
+    dealt = marks.join(F.broadcast(salts), "owner", "left").withColumn("salts", F.coalesce("salts", F.lit(1).cast("long")))
+    lists = dealt.groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "owner", "salts")).alias("marks"))  # one document's
     ids = durable(marks.select("doc_id").distinct(), "recurring-ids")
     holders = keep_ids(named, ids).join(lists, "doc_id")
     segments = durable(holders.select("doc_id", "th", "text", "marks").mapInArrow(_segments(window), "owner long, salts long, doc_id long, th long, start int, text binary"), "segments")
@@ -230,7 +230,8 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id
 
     A null text has no words. A null id comes after all others: its rows lose nothing and take nothing from others.
     Rows that repeat an id don't count against each other. Texts shorter than the window stay whole. The rest of a text
-    from which all is removed is empty."""
+    from which all is removed is empty. An empty table gives an empty result; other columns of docs are not read; very
+    long texts are read whole."""
     rows = key_rows(docs, id_col, text_col).select("doc_id", "text", F.xxhash64("text").alias("th"))
     gone = repeated_runs(rows, window)
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text
