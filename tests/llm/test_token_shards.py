@@ -50,3 +50,19 @@ def test_shards_of_another_key_are_replaced(spark, tmp_path):
         assert all(hashlib.sha256(open(f.path, "rb").read()).hexdigest() == f.sha256 for f in files)
         want = [bytes(r.record) for r in out.orderBy("slot").collect()]
         assert [x.tobytes() for x in read_slots(str(tmp_path), 0, len(want), 32, 50)] == want
+
+
+def test_every_slot_by_brute_force_however_the_table_is_dealt(spark):
+    rows = corpus()
+    enc, end = encoding(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    numbered = []
+    for i, t in sorted(rows, key=lambda r: (r[0] is not None, r[0], hashlib.blake2b((r[1] or "").encode(), digest_size=16).digest())):
+        ids = [*enc.encode_ordinary(t or ""), end]
+        for part in range(-(-len(ids) // 32)):
+            held = ids[32 * part : 32 * part + 32]
+            numbered.append((i, part, len(held), np.array(held + [end] * (32 - len(held)), "<u2").tobytes()))
+    slots = Feistel(len(numbered), 5).slots(np.arange(len(numbered))).tolist()
+    want = sorted((slot, slot // 50, *x) for slot, x in zip(slots, numbered))
+    for dealt in (table(spark, rows).coalesce(1), table(spark, rows[::-1]).repartition(7)):
+        out = training_order(dealt, length=32, shard_rows=50, key=5)
+        assert sorted((r.slot, r.shard, r.doc_id, r.part, r.n_tokens, bytes(r.record)) for r in out.collect()) == want

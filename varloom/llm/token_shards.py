@@ -1,8 +1,9 @@
 """Operator 3, token-id output: training-order materialisation.
 
 Texts become token ids, an end id closes each, and a text is cut into sequences of a fixed number of ids (the last is
-padded). Sequences are numbered in scan order: a task numbers its own, and the tasks' totals, one number each, shift
-them. A keyed Feistel permutation of [0, N), by walking cycles of the next power of four, gives each sequence its slot in
+padded). Sequences are numbered by (doc_id, digest of the text, part): ranges of that order are sorted, a task numbers
+its own range, and the ranges' totals, one number each, shift them. So the numbers follow from the documents alone, not
+from how they were partitioned. A keyed Feistel permutation of [0, N), by walking cycles of the next power of four, gives each sequence its slot in
 the training order. Slots are cut into ranges of `shard_rows`; each range is one partition, sorted by slot, and can be
 written as one file of records of a fixed stride, so that a reader finds a slot by multiplication and can resume.
 """
@@ -16,6 +17,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 import public_tokenizers
 import tiktoken
@@ -77,23 +79,37 @@ def training_order(docs: DataFrame, path: str | None = None, length: int = LENGT
 
     Slots are 0 to N - 1 without gaps; a shard holds slots [shard * shard_rows, (shard + 1) * shard_rows) as one sorted
     partition. A null or empty text is one sequence with the end id alone. Null ids stay; repeated rows each have their
-    sequences. An empty table gives an empty result. Tokens are kept in a table of the shared folder, so lost executors
-    change no number."""
+    sequences. An empty table gives an empty result; other columns of docs are not read; very long texts are cut, not cut
+    off. The same documents have the same slots on any cluster: null ids come first, and rows of equal id and text have
+    equal records. Tokens are kept in a table of the shared folder, so lost executors change no number."""
     path = path or public_tokenizers.path("byte_bpe_50k.tiktoken")
     kind, stride = id_type(path), length * np.dtype(id_type(path)).itemsize
 
     def encode(batches):
-        (enc, end), pid, so_far = encoding(path), TaskContext.get().partitionId(), 0
+        enc, end = encoding(path)
         for b in batches:
-            ids = [np.array([*enc.encode_ordinary(t or ""), end], kind) for t in b.column("text").to_pylist()]
-            n = np.array([len(x) for x in ids], np.int64)
+            texts = [t or "" for t in b.column("text").to_pylist()]
+            ids = [np.array([*enc.encode_ordinary(t), end], kind).tobytes() for t in texts]
+            digest = [hashlib.blake2b(t.encode("utf-8"), digest_size=16).digest() for t in texts]
+            yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id"), "digest": pa.array(digest, pa.binary()), "ids": pa.array(ids, pa.binary())})
+
+    def number(batches):
+        pid, so_far = TaskContext.get().partitionId(), 0
+        for b in batches:
+            n = pc.binary_length(b.column("ids")).to_numpy().astype(np.int64) // np.dtype(kind).itemsize
             parts = -(-n // length)
             local = so_far + np.cumsum(parts) - parts
             so_far += int(parts.sum())
-            yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id"), "pid": pa.array(np.full(len(n), pid), pa.int32()), "local": pa.array(local), "parts": pa.array(parts), "ids": pa.array([x.tobytes() for x in ids], pa.binary())})
-
-    coded = durable(key_rows(docs, id_col, text_col).mapInArrow(encode, "doc_id long, pid int, local long, parts long, ids binary"), "token-ids")
-    totals = sorted(map(tuple, coded.groupBy("pid").agg(F.sum("parts")).collect()))  # a number for each task
+            yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id"), "pid": pa.array(np.full(len(n), pid), pa.int32()), "local": pa.array(local), "parts": pa.array(parts), "ids": b.column("ids")})
+
+    coded = key_rows(docs, id_col, text_col).mapInArrow(encode, "doc_id long, digest binary, ids binary")
+    ranges = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bounds = key_rows(docs, id_col, text_col).agg(F.percentile_approx("doc_id", [i / ranges for i in range(1, ranges)], 100 * ranges)).first()[0] if ranges > 1 else None
+    # ranges by the quantiles of the ids alone, since repartitionByRange() would encode all texts once more for its sample
+    at = F.aggregate(F.array(*map(F.lit, sorted(set(bounds)))), F.lit(0), lambda n, x: n + F.when(F.col("doc_id") > x, 1).otherwise(0)) if bounds else F.lit(0)
+    coded = coded.repartitionById(ranges, at).sortWithinPartitions("doc_id", "digest")
+    coded = durable(coded.mapInArrow(number, "doc_id long, pid int, local long, parts long, ids binary"), "token-ids")
+    totals = sorted(map(tuple, coded.groupBy("pid").agg(F.sum("parts")).collect()))  # a number for each range
     starts, n = {}, 0
     for pid, m in totals:
         starts[pid], n = n, n + m
