@@ -12,7 +12,12 @@ from varloom.llm.html_text import extract, render
     ('a &lt; b &amp;&#x41; <!-- <b>no</b> --> c<script>var t="</p>";</script>d', "a < b &A cde"[:-1]),
     ("<head><title>T</title><body>b", "b"), ("<p>one two\n three <b> four</b>five</p>", "one two three fourfive"),
     ("<dl><dt>t<dd>d</dl>", "t\n    d"), ("<blockquote>q<p>r</blockquote>", "    q\n\n    r"), ("a<!-->b", "ab"), ("<p title='>'>x", "x"), ("x<y z", "x"), ("1 < 2", "1 < 2"),
-    ("<select><option>a</select>b", "b"), ("<img alt='pic'> t", "pic t"), ("<textarea>a\n b</textarea>", "a\n b"), ("</p>x", "x"),
+    ("<select><option>a<option>c</select>b", "a b"), ("<select><option>a<option selected>c</select>", "c"), ("<select multiple><optgroup><option>a<option>c</select>", "a c"), ("<datalist><option>a</datalist>b", "b"),
+    ("<svg><title>no</title><text>seen</text></svg>", "seen"), ("<math><mi>x</mi><mo>=</mo><mn>2</mn></math>", "x=2"), ("<dialog>no</dialog><dialog open>yes</dialog>", "yes"),
+    ("<style>.a, p#b, em{display:none} @media print{.c{display:none}} .d .e{display:none}</style><i class='z a'>1</i><p id=b>2</p><div id=b>3</div><em>4</em><i class=c>5</i><i class=e>6</i>", "3\n56"),
+    ("<style media=print>.a{display:none}</style><i class=a>1</i>", "1"), ("<table><tr><td rowspan=2>a<td>b<tr><td>c</table>", "a  b\n   c"), ("<table><tr>t<td>a</table>", "t\na"),
+    ("<table><tr><td rowspan=2 colspan=2>a<td>b<tr><td>c<tr><td>d<td>e<td>f</table>", "a     b\n      c\nd  e  f"), ("<table><tr><td>a<td><table><tr><td>1<td>2<tr><td>3</table><td>z</table>", "a  1  2  z\n   3"),
+    ("<table><tr><td colspan=1000>wide<td>x<tr><td>1</table>", "wide  x\n1"), ("<img alt='pic'> t", "pic t"), ("<textarea>a\n b</textarea>", "a\n b"), ("</p>x", "x"),
 ])
 def test_render(page, text):
     assert render(page) == text
@@ -24,6 +29,23 @@ def test_deep_and_long_pages_do_not_fail():
     assert render("<p>" + "w " * 200_000).count("w") == 200_000
 
 
+def test_work_follows_the_length_of_a_page():
+    import time
+
+    took = []
+    for n in (10_000, 80_000):
+        began = time.process_time()
+        for page in ("<div>" * n, "<p><button>" + "<div>" * n, "<b>" * n + "</i>" * n, "<table><tr><td>" + "<li>x" * n, "<ul><li>" * n):
+            render(page)
+        took.append(time.process_time() - began)
+    assert took[1] < 30 * max(took[0], 0.02)  # eight times the length
+
+
+def test_clashing_columns(spark):
+    pages = spark.createDataFrame([(1, "<p>a", "old", 7, "x")], "page_id long, html string, text string, n_chars int, text_sha256 string")
+    assert [(r.page_id, r.text, r.n_chars) for r in extract(pages).collect()] == [(1, "a", 1)]
+
+
 def test_table_of_pages(spark):
     pages = spark.createDataFrame([(1, "u", "<p>a"), (1, "u", "<p>a"), (None, None, None), (2, "u", "")], "page_id long, url string, html string")
     got = sorted((r.page_id or 0, r.text, r.n_chars, r.n_lines) for r in extract(pages).collect())

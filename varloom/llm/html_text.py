@@ -2,7 +2,12 @@
 
 A page goes through three steps inside one Arrow map, with nothing shuffled: a tokenizer (tags, character references,
 comments, raw text elements), a tree builder with implied start and end tags, and a renderer that leaves out what
-isn't visible and sets blocks, lists, preformatted text and aligned table cells. No step recurses over the page.
+isn't visible and sets blocks, lists, preformatted text and aligned table cells. No step recurses over the page, and
+none looks through the open elements for a tag: their places are kept by name, so work follows the page's length.
+
+Visible is what no hidden attribute, inline style or simple rule of a style element (a tag, class or id with
+display: none or visibility: hidden, outside at-rules) hides; rules don't override each other. A select shows its
+chosen option, a list box all; a dialog counts if it is open; the words of svg and math count; details count as open.
 """
 
 from __future__ import annotations
@@ -22,7 +27,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style xmp iframe noembed noframes noscript textarea title".split())
 REFERENCES_IN = frozenset("textarea title".split())
 #: Never drawn.
-HIDDEN = frozenset("head script style template noscript iframe noembed noframes title meta link base datalist object audio video canvas svg math param source track area map select option optgroup dialog".split())
+HIDDEN = frozenset("head script style template noscript iframe noembed noframes title meta link base datalist object audio video canvas defs symbol desc metadata annotation annotation-xml param source track area map".split())
 BLOCK = frozenset(
     "html body address article aside blockquote center details dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr legend li main menu nav ol p pre search section summary table caption ul xmp listing".split()
 )
@@ -43,9 +48,14 @@ CLOSES: dict[str, tuple[set, set]] = {
 _HEAD_ONLY = frozenset("base link meta noscript script style template title".split())
 
 _TAG = re.compile(r"<(?:(!--)|(/?)([a-zA-Z][^\s/>]*)|([!?/]))", re.S)
-_ATTRIBUTE = re.compile(r"""[\s/]*(>|[^\s/>][^\s/>=]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]*))?""", re.S)
+_ATTRIBUTE = re.compile(r"""[\s/]*(?:(>)|([^\s/>][^\s/>=]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]*))?)""", re.S)
 _COMMENT_END = re.compile(r"--!?>")
 _SPACES = re.compile(r"[ \t\n\r\f]+")
+_COMMENT, _BRACE, _SELECTOR = re.compile(r"/\*.*?(?:\*/|$)", re.S), re.compile(r"[{}]"), re.compile(r"([a-z][a-z0-9]*)?(?:([.#])([\w-]+))?", re.I)
+#: Columns that a line is indented by at most.
+INDENT = 100
+#: The standard's greatest spans of a cell.
+COLSPAN, ROWSPAN = 1_000, 65_534
 _UNSEEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\b", re.I)
 
 
@@ -83,10 +93,10 @@ def tokens(page: str):
                 if not a:
                     return  # the page ends inside a tag
                 at = a.end()
-                if a[1] == ">":
+                if a[1]:
                     break
-                value = a[2] or ""
-                attrs.setdefault(a[1].lower(), _entities.unescape(value[1:-1] if value[:1] in "\"'" and value[-1:] == value[:1] and len(value) > 1 else value))
+                value = a[3] or ""
+                attrs.setdefault(a[2].lower(), _entities.unescape(value[1:-1] if value[:1] in "\"'" and value[-1:] == value[:1] and len(value) > 1 else value))
             yield ("end" if slash else "start"), name, attrs
             if not slash and name in RAW:
                 if name not in raw_end:
@@ -97,72 +107,122 @@ def tokens(page: str):
                 at = stop
 
 
-def build(page: str) -> Node:
-    """The tree of a page, with the elements that HTML implies."""
-    root = Node("html", {})
-    stack = [root]
+class _Open:
+    """The open elements, and where those of each name stand."""
+
+    def __init__(self, root: Node):
+        self.stack, self.at = [root], {root.tag: [0]}
+
+    def push(self, node: Node) -> None:
+        self.stack[-1].children.append(node)
+        self.at.setdefault(node.tag, []).append(len(self.stack))
+        self.stack.append(node)
+
+    def cut(self, n: int) -> None:
+        """Close all but the first n."""
+        while len(self.stack) > n:
+            self.at[self.stack.pop().tag].pop()
 
-    def close(wanted: set, wall: set) -> None:
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in wanted:
-                del stack[i:]
-                return close(wanted, wall)
-            if stack[i].tag in wall:
-                return None
-        return None
+    def last(self, tags) -> int:
+        return max((self.at[t][-1] for t in tags if self.at.get(t)), default=-1)
 
-    def open_(tag: str, attrs: dict) -> None:
-        node = Node(tag, attrs)
-        stack[-1].children.append(node)
-        stack.append(node)
+    def close(self, wanted: set, wall: set) -> None:
+        """Close the wanted elements that no wall stands above, with all inside them."""
+        while (i := self.last(wanted)) > 0 and i > self.last(wall):
+            self.cut(i)
 
+
+_PARTS_OF_TABLE = ("table", "thead", "tbody", "tfoot", "tr")
+
+
+def build(page: str) -> tuple[Node, list[str]]:
+    """The tree of a page, with the elements that HTML implies, and the texts of its style elements."""
+    root, styles = Node("html", {}), []
+    open_ = _Open(root)
+    stack, at = open_.stack, open_.at
     for kind, name, attrs in tokens(page):
         if kind == "text":
             if stack[-1].tag == "head" and name.strip():
-                stack.pop()
+                open_.cut(len(stack) - 1)
             if name:
                 stack[-1].children.append(name)
+            if stack[-1].tag == "style" and stack[-1].attrs.get("media", "all").lower() in ("", "all", "screen"):
+                styles.append(name)
         elif kind == "start":
-            if name in ("html", "body") and any(x.tag == name for x in stack):
+            if name in ("html", "body") and at.get(name):
                 for k, v in attrs.items():
-                    next(x for x in stack if x.tag == name).attrs.setdefault(k, v)
+                    stack[at[name][0]].attrs.setdefault(k, v)
                 continue
             if stack[-1].tag == "head" and name not in _HEAD_ONLY:
-                stack.pop()
+                open_.cut(len(stack) - 1)
             if name in CLOSES:
-                close(*CLOSES[name])
+                open_.close(*CLOSES[name])
             if name in BLOCK:  # a block ends an open paragraph
-                close({"p"}, _INLINE_WALL | {"button", "object"})
+                open_.close({"p"}, _INLINE_WALL | {"button", "object"})
                 if name in HEADINGS and stack[-1].tag in HEADINGS:
-                    stack.pop()
-            if name in ("td", "th") and stack[-1].tag not in ("tr",) and any(x.tag == "table" for x in stack):
+                    open_.cut(len(stack) - 1)
+            if name in ("td", "th") and stack[-1].tag != "tr" and at.get("table"):
                 if stack[-1].tag == "table":
-                    open_("tbody", {})
-                open_("tr", {})
+                    open_.push(Node("tbody", {}))
+                open_.push(Node("tr", {}))
             elif name == "tr" and stack[-1].tag == "table":
-                open_("tbody", {})
-            open_(name, attrs)
+                open_.push(Node("tbody", {}))
+            open_.push(Node(name, attrs))
             if name in VOID:
-                stack.pop()
+                open_.cut(len(stack) - 1)
         elif name == "br":
             stack[-1].children.append(Node("br", {}))
-        elif name == "p" and not any(x.tag == "p" for x in stack):
+        elif name == "p" and not at.get("p"):
             stack[-1].children.append(Node("p", {}))
         elif name not in ("html", "body"):
-            wall = _WALL if name not in ("table", "thead", "tbody", "tfoot", "tr") else set()
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == name:
-                    del stack[i:]
-                    break
-                if stack[i].tag in wall or (stack[i].tag in ("td", "th") and name not in ("table", "thead", "tbody", "tfoot", "tr", "td", "th")):
-                    break
-    return root
+            wall = () if name in _PARTS_OF_TABLE else ("table",) if name in ("td", "th") else ("table", "td", "th")
+            i = open_.last((name,))
+            if i > 0 and i > open_.last(w for w in wall if w != name):
+                open_.cut(i)
+    return root, styles
+
+
+def hiding_rules(styles: list[str]) -> set[tuple]:
+    """(tag or "", . or # or "", name or "") of the simple selectors that hide what they fit."""
+    out = set()
+    for css in styles:
+        css, depth, start, opened = _COMMENT.sub(" ", css), 0, 0, 0
+        for m in _BRACE.finditer(css):
+            if m[0] == "{":
+                opened, depth = (m.end() if not depth else opened), depth + 1
+                continue
+            depth = max(0, depth - 1)
+            if not depth:
+                names, body = css[start : max(start, opened - 1)].strip(), css[opened : m.start()]
+                start = m.end()
+                if not names.startswith("@") and "{" not in body and _UNSEEN.search(body):
+                    for one in names.split(","):
+                        if (s := _SELECTOR.fullmatch(one.strip())) and s[0]:
+                            out.add(((s[1] or "").lower(), s[2] or "", s[3] or ""))
+    return out
+
+
+def visible(node: Node, rules: set = frozenset()) -> bool:
+    a = node.attrs
+    if node.tag in HIDDEN or "hidden" in a or (node.tag == "input" and a.get("type", "").lower() == "hidden") or (node.tag == "dialog" and "open" not in a):
+        return False
+    if rules:
+        own = [("", ""), *((".", c) for c in a.get("class", "").split()), *([("#", a["id"])] if "id" in a else [])]
+        if any((t, *x) in rules for t in (node.tag, "") for x in own):
+            return False
+    return not _UNSEEN.search(a.get("style", ""))
 
 
-def visible(node: Node) -> bool:
-    if node.tag in HIDDEN or "hidden" in node.attrs or (node.tag == "input" and node.attrs.get("type", "").lower() == "hidden"):
-        return False
-    return not _UNSEEN.search(node.attrs.get("style", ""))
+def _shown_options(select: Node, rules: set) -> list[Node]:
+    """The option that a select shows, or all of a list box."""
+    options = []
+    for x in select.children:
+        for o in [x, *x.children] if isinstance(x, Node) and visible(x, rules) else ():
+            if isinstance(o, Node) and o.tag == "option" and visible(o, rules):
+                options.append(o)
+    if "multiple" in select.attrs or re.fullmatch(r"0*([2-9]|[1-9]\d+)", select.attrs.get("size", "")):
+        return options
+    return ([o for o in options if "selected" in o.attrs][-1:] or [o for o in options if "disabled" not in o.attrs][:1]) if options else []
 
 
 class _Flow:
@@ -195,7 +255,7 @@ class _Flow:
             if self.gap and self.lines and self.lines[-1]:
                 self.lines.append("")
             self.gap = False
-            self.lines.append((" " * max(0, self.indent - len(self.mark)) + self.mark + line).rstrip(" "))
+            self.lines.append((" " * max(0, min(self.indent, INDENT) - len(self.mark)) + self.mark + line).rstrip(" "))
             self.mark = ""
 
     def block(self, spaced: bool) -> None:
@@ -213,49 +273,68 @@ class _Flow:
         return "\n".join(self.lines)
 
 
-def _rows(table_: Node):
-    """(caption or None, rows of visible cells), in order; nested tables aren't entered."""
+def _rows(table_: Node, rules: set):
+    """(what stands before the table, rows of visible cells), in order; nested tables aren't entered."""
     captions, rows, todo = [], [], list(reversed(table_.children))
     while todo:
         x = todo.pop()
         if isinstance(x, str):
             if x.strip():
                 captions.append(x)
-        elif not visible(x):
+        elif not visible(x, rules):
             continue
         elif x.tag in ("thead", "tbody", "tfoot", "colgroup"):
             todo += reversed(x.children)
         elif x.tag == "tr":
-            rows.append([c for c in x.children if isinstance(c, Node) and visible(c)])
+            cells = [c for c in x.children if isinstance(c, Node) and c.tag in ("td", "th") and visible(c, rules)]
+            captions += [c for c in x.children if c not in cells and (c.strip() if isinstance(c, str) else visible(c, rules))]  # as browsers do
+            rows.append(cells)
         else:
             captions.append(x)
     return captions, rows
 
 
-def _align(rows: list[list[tuple[str, int]]]) -> str:
-    """Cells in columns of equal width, two spaces between; a cell's further lines stay in its column."""
-    grid, width = [], []
+def _align(rows: list[list[tuple[str, int, int]]]) -> list[str]:
+    """Lines of the cells (text, columns, rows) in columns of equal width, two spaces between; a cell's further lines stay
+    in its column, and a column that no cell begins in takes no room."""
+    placed, busy = [], {}
     for cells in rows:
-        row = []
-        for text, span in cells:
-            row += [text.split("\n")] + [[""]] * (span - 1)
-            if span == 1:
-                width += [0] * (len(row) - len(width))
-                width[len(row) - 1] = max(width[len(row) - 1], *map(len, row[-1]))
-        width += [0] * (len(row) - len(width))
-        grid.append(row)
+        col, row, more = 0, [], {}
+        for text, across, down in cells:
+            while busy.get(col, 0) > 0:
+                col += 1
+            row.append((col, across, text.split("\n")))
+            if down > 1:
+                more |= dict.fromkeys(range(col, col + across), down)
+            col += across
+        busy = {c: n - 1 for c, n in (busy | more).items() if n > 1}
+        placed.append(row)
+    placed = [row for row in placed if any(any(t) for _, _, t in row)]
+    width: dict[int, int] = {}
+    for row in placed:
+        for col, across, text in row:
+            width[col] = max(width.get(col, 0), *(map(len, text) if across == 1 else [0]))
+    starts, at = {}, 0
+    for col in sorted(width):
+        starts[col], at = at, at + width[col] + 2
     lines = []
-    for row in grid:
-        for i in range(max(map(len, row), default=0)):
-            lines.append("  ".join((c[i] if i < len(c) else "").ljust(w) for c, w in zip(row, width)).rstrip(" "))
-    return "\n".join(lines)
+    for row in placed:
+        for i in range(max((len(t) for _, _, t in row), default=0)):
+            line = ""
+            for col, _, text in row:
+                if i < len(text) and text[i]:
+                    line = line.ljust(starts[col]) if not line or len(line) + 2 <= starts[col] else line + "  "
+                    line += text[i]
+            lines.append(line.rstrip(" "))
+    return lines
 
 
 def render(page: str | None) -> str:
     """The visible text of a page. Work on open elements is kept on a list, so depth isn't bounded by the interpreter."""
     if not page:
         return ""
-    root, out = build(page), _Flow()
+    (root, styles), out = build(page), _Flow()
+    rules = hiding_rules(styles)
     # frames: (flow, steps); a step is a node, a text or a function to call when its turn comes
     todo: list = [(out, root, False, None)]
     while todo:
@@ -264,12 +343,12 @@ def render(page: str | None) -> str:
             x()
         elif isinstance(x, str):
             flow.text(x, keep)
-        elif visible(x):
-            _enter(todo, flow, x, keep, lists)
+        elif visible(x, rules):
+            _enter(todo, flow, x, keep, lists, rules)
     return out.done()
 
 
-def _enter(todo: list, flow: _Flow, x: Node, keep: bool, lists: list | None) -> None:
+def _enter(todo: list, flow: _Flow, x: Node, keep: bool, lists: list | None, rules: set) -> None:
     tag = x.tag
     if tag == "br":
         flow.end_line(True)
@@ -284,7 +363,11 @@ def _enter(todo: list, flow: _Flow, x: Node, keep: bool, lists: list | None) ->
             flow.text(x.attrs.get("value", ""), False)
         return
     if tag == "table":
-        _enter_table(todo, flow, x, lists)
+        _enter_table(todo, flow, x, lists, rules)
+        return
+    if tag == "select":
+        shown = [c for o in _shown_options(x, rules) for c in [o.attrs.get("label") or " ".join(c for c in o.children if isinstance(c, str)), " "]]
+        todo += [(flow, c, False, lists) for c in reversed(shown)]
         return
     block, spaced = tag in BLOCK, tag in SPACED and not (tag in ("ul", "ol", "menu") and lists)
     steps: list = []
@@ -293,9 +376,9 @@ def _enter(todo: list, flow: _Flow, x: Node, keep: bool, lists: list | None) ->
         steps.append(lambda: flow.block(spaced))
     if tag in ("ul", "ol", "menu"):
         start = x.attrs.get("start", "1")
-        lists = [*(lists or []), [tag == "ol", int(start) if re.fullmatch(r"-?\d{1,9}", start) else 1]]
+        lists = [tag == "ol", int(start) if re.fullmatch(r"-?\d{1,9}", start) else 1]  # the innermost list's kind and next number
     elif tag == "li":
-        own = lists[-1] if lists else [False, 1]
+        own = lists or [False, 1]
         value = x.attrs.get("value", "")
         if own[0] and re.fullmatch(r"-?\d{1,9}", value):
             own[1] = int(value)
@@ -323,15 +406,18 @@ def _outdent(flow: _Flow, by: int) -> None:
     flow.indent -= by
 
 
-def _enter_table(todo: list, flow: _Flow, x: Node, lists: list | None) -> None:
-    captions, rows = _rows(x)
+def _span(x: Node, name: str, most: int) -> int:
+    text = x.attrs.get(name, "").strip()
+    return min(most, int(text)) if re.fullmatch(r"0*[1-9]\d{0,8}", text) else most if name == "rowspan" and re.fullmatch(r"0+", text) else 1
+
+
+def _enter_table(todo: list, flow: _Flow, x: Node, lists: list | None, rules: set) -> None:
+    captions, rows = _rows(x, rules)
     flow.block(True)
     cells = [[(_Flow(), c) for c in row] for row in rows]
 
     def finish() -> None:
-        made = [[(f.done(), min(100, int(c.attrs["colspan"])) if re.fullmatch(r"[1-9]\d{0,3}", c.attrs.get("colspan", "")) else 1) for f, c in row] for row in cells]
-        made = [row for row in made if any(t for t, _ in row)]
-        for line in _align(made).split("\n") if made else ():
+        for line in _align([[(f.done(), _span(c, "colspan", COLSPAN), _span(c, "rowspan", ROWSPAN)) for f, c in row] for row in cells]):
             flow.parts.append(line)
             flow.end_line(True)
         flow.block(True)
@@ -348,7 +434,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -
     """One row per row of pages: page_id, text, n_chars, n_lines, text_sha256.
 
     A null or empty page has an empty text. Broken markup never fails: it is mended as browsers do, or read as text.
-    Repeated rows give repeated results; a null id stays null."""
+    Repeated rows give repeated results; a null id stays null. Other columns, whatever their names, are not read; an empty
+    table gives an empty result."""
     rows = pages.select(F.col(f"`{id_col}`").cast("long").alias("page_id"), F.col(f"`{html_col}`").cast("string").alias("html"))
 
     def run(batches):
