@@ -79,14 +79,27 @@ def test_toxicity_without_labels(spark):
     assert toxicity.score_toxicity(table(spark, []), none).count() == 0
 
 
+def slow(model, x, classes=None):
+    """log p of every class at every scored place, from hidden() and the heads, in float64."""
+    h = model.hidden(x)[0].astype(float)
+    g = h @ model.p["u"] + model.p["bu"] + model.off_group
+    inner = np.einsum("nd,gdm->ngm", h, model.p["u2"].astype(float)) + model.p["bu2"] + model.off
+    norm = lambda a: a - a.max(-1, keepdims=True) - np.log(np.exp(a - a.max(-1, keepdims=True)).sum(-1, keepdims=True))
+    return (norm(g)[:, :, None] + norm(inner)).reshape(len(h), -1)
+
+
 def test_attention_gradients_and_fast_scoring():
     rng = np.random.default_rng(0)
-    m = A.Attention(seed=1)
+    n = A.GROUPS * A.MEMBERS
+    used = rng.random(n) < 0.8
+    m = A.Attention(seed=1, used=used)
     m.p = {k: v.astype(np.float64) for k, v in m.p.items()}
-    x, y = rng.integers(0, A.CLASSES + 1, (3, A.OVERLAP + A.SCORED)).astype(np.int16), rng.integers(-1, A.CLASSES, (3, A.SCORED))
+    some = np.flatnonzero(used)
+    x, y = rng.integers(0, n + 1, (3, A.OVERLAP + A.SCORED)).astype(np.int16), rng.choice(some, (3, A.SCORED))
+    y[0, :5] = -1
     _, g = m.gradients(x, y)
     for name in m.p:
-        at = tuple(rng.integers(0, s) for s in m.p[name].shape) if name != "e" else (int(x[0, A.OVERLAP]), 2)
+        at = (int(x[0, A.OVERLAP]), 2) if name == "e" else (int(y[1, 3]) // A.MEMBERS, *(0,) * (m.p[name].ndim - 1)) if name in ("u2", "bu2") else tuple(rng.integers(0, s) for s in m.p[name].shape)
         old = m.p[name][at]
         side = []
         for d in (1e-4, -1e-4):
@@ -94,17 +107,17 @@ def test_attention_gradients_and_fast_scoring():
             side.append(m.gradients(x, y)[0])
         m.p[name][at] = old
         assert (side[0] - side[1]) / 2e-4 == pytest.approx(float(g[name][at]), abs=2e-4)
-    f = A.Attention(seed=1)
-    logits = f.forward(x)
-    lp = logits - logits.max(1, keepdims=True)
-    lp -= np.log(np.exp(lp).sum(1, keepdims=True))
-    t = y.ravel()
-    assert f.log_probs(x, y).ravel() == pytest.approx(np.where(t >= 0, lp[np.arange(len(t)), np.maximum(t, 0)], 0), abs=1e-4)
+    f = A.Attention(seed=1, used=used)
+    lp, begins = f.log_probs(x, y, 3)
+    every, t = slow(f, x), y.ravel()
+    assert lp.ravel() == pytest.approx(np.where(t >= 0, every[np.arange(len(t)), np.maximum(t, 0)], 0), abs=1e-4)
+    assert begins.ravel() == pytest.approx(np.where(t >= 0, np.log(np.exp(every[:, : 3 * A.MEMBERS]).sum(1)), 0), abs=1e-4)
+    assert np.exp(every).sum(1) == pytest.approx(1) and np.exp(every[:, ~used]).max() == 0
 
 
 def test_windows_score_each_token_once_and_see_no_future():
     c = np.arange(70, dtype=np.int16)
-    x = A.windows(c, 99, A.CLASSES)
+    x = A.windows(c, 99, A.GROUPS * A.MEMBERS)
     assert x.shape == (3, A.OVERLAP + A.SCORED) and x[0, A.OVERLAP] == 99
     for j, row in enumerate(x):
         for k in range(A.SCORED):
@@ -115,7 +128,7 @@ def test_windows_score_each_token_once_and_see_no_future():
     y = np.full((1, A.SCORED), 5)
     a, b = x[1:2].copy(), x[1:2].copy()
     b[0, A.OVERLAP + 10 :] = 7
-    assert f.log_probs(a, y)[0, :10] == pytest.approx(f.log_probs(b, y)[0, :10], abs=1e-5)
+    assert f.log_probs(a, y)[0][0, :10] == pytest.approx(f.log_probs(b, y)[0][0, :10], abs=1e-5)
 
 
 def test_lm_base_scores(spark, monkeypatch):
@@ -134,26 +147,87 @@ def test_lm_base_scores(spark, monkeypatch):
 
 
 def test_lm_probabilities_sum_to_one():
-    """Over all words of a small vocabulary, the mixture at one place sums to less than one, and close to it over pieces."""
-    counts = np.arange(50.0)
-    f = A.Folding(counts, 16, 8)
-    p = np.exp(f.log_in)
-    assert np.bincount(f.class_of, p, 16)[np.unique(f.class_of)] == pytest.approx(1)
-    share = np.array([3.0, 0.0])
-    assert lm_scoring.mixed(share, np.log(np.array([0.2, 0.1])), 10.0) == pytest.approx(np.log10([lm_scoring.MIX * 0.3 + (1 - lm_scoring.MIX) * 0.2, (1 - lm_scoring.MIX) * 0.1]))
-
-
-def test_lm_is_trained_on_every_window_of_every_text(spark, monkeypatch):
+    """Over all strings of subwords of a toy vocabulary and the end, the words' probabilities and what is left to longer
+    words sum to one, at a text's start and inside it; so does the mixture."""
+    begins = np.array([True, True, True, False, False, True])  # the last is the end
+    f = A.Folding(np.array([5.0, 3, 2, 4, 1, 2]), begins, 4, 2)
+    assert np.bincount(f.class_of, np.exp(f.log_in), 8)[f.used] == pytest.approx(1)
+    m = A.Attention(seed=3, groups=4, members=2, used=f.used)
+    start = int(f.class_of[5])
+
+    def at(ids):
+        """log p of each id after these, and that a word begins there."""
+        c = np.append(f.class_of[ids], 0)
+        place = len(ids)
+        x = A.windows(c, start, f.pad)
+        every = slow(m, x)[place]
+        return every[f.class_of] + f.log_in, np.log(np.exp(every[: f.first * 2]).sum())
+
+    for context in ([], [0, 3, 1], [0, 3, 4, 4, 2] * 6):
+        p, b = at(context)
+        total = math.exp(p[5] - b)  # the end
+        todo = [((i,), p[i] - b) for i in (0, 1, 2)]
+        for word, lp in todo:
+            q, closed = at([*context, *word])
+            total += math.exp(lp + closed)
+            if len(word) < 4:
+                todo += [((*word, i), lp + q[i]) for i in (3, 4)]
+            else:
+                total += math.exp(lp) * (1 - math.exp(closed))
+        assert total == pytest.approx(1, abs=1e-5)
+    counts = np.array([4.0, 1, 1, 2, 2])
+    w = lm_scoring.Weights(counts.sum(), 5, 2, 2)
+    model_p = np.array([0.1, 0.2, 0.1, 0.1, 0.1, 0.3, 0.1])  # two words that were never seen
+    assert (10 ** w.mixed(np.append(counts, [0, 0]), np.log(model_p))).sum() == pytest.approx(1)
+
+
+def test_lm_scores_by_brute_force(spark, monkeypatch):
+    """Every text's score from plain loops over its subwords, with a model that wasn't trained."""
+    monkeypatch.setattr(lm_scoring, "COMMON_WORDS", 40)
+    monkeypatch.setattr(lm_scoring, "train", lambda rows, folding, path, tokens: A.Attention(seed=5, used=folding.used))
+    rows = corpus(n=20)[:34] + [(901, None), (902, "w1 " * 90 + "neverseen"), (None, "w1 w2")]
+    got = {r.doc_id: r.score for r in lm_scoring.score_texts(table(spark, rows)).collect()}
+    path = lm_scoring.public_tokenizers.path(lm_scoring.VOCABULARY)
+    sub = lm_scoring.Subwords(path)
+    tokens = lambda t: (t or "").encode().lower().split()
+    c = Counter(x for i, t in rows if not held(i, 10, 0) for x in tokens(t))
+    ends = sum(not held(i, 10, 0) for i, _ in rows)
+    ids = np.zeros(sub.n_ids)
+    for word, n in c.items():
+        for k in sub._core.encode_single_piece(b" " + word):
+            ids[k] += n
+    ids[sub.end] = ends
+    f, total, values = A.Folding(ids, sub.begins), sum(c.values()) + ends, [*c.values(), ends]
+    d = values.count(1) / (values.count(1) + 2 * values.count(2)) if values.count(1) and values.count(2) else 0.5
+    rest = 1 - lm_scoring.SEEN * (1 - d * len(values) / total)
+    m, start = A.Attention(seed=5, used=f.used), int(f.class_of[sub.end])
+    for i, t in rows[::3] + rows[-3:]:
+        pieces = [sub._core.encode_single_piece(b" " + w) for w in tokens(t)] + [[sub.end]]
+        flat = [k for p in pieces for k in p]
+        every = slow(m, A.windows(f.class_of[flat], start, f.pad))
+        first = np.log(np.exp(every[:, : f.first * A.MEMBERS]).sum(1))
+        at, score = 0, 0.0
+        for w, p in zip([*tokens(t), None], pieces):
+            lp = sum(every[at + j, f.class_of[k]] + f.log_in[k] for j, k in enumerate(p)) - first[at]
+            at += len(p)
+            lp += first[at] if w is not None else 0
+            n = ends if w is None else c[w]
+            score += math.log10(lm_scoring.SEEN * max(0, n - d) / total + rest * math.exp(lp))
+        assert got[i] == pytest.approx(score, rel=1e-4), i
+
+
+def test_lm_is_trained_on_windows_of_every_text(spark, monkeypatch):
     """A text that is longer than all others, null ids and repeated rows are learnt from, and one round misses none."""
     rows = [*corpus(), (910, " ".join(["long"] * 60_000))]
     sub, frame = lm_scoring.subwords(lm_scoring.public_tokenizers.path(lm_scoring.VOCABULARY)), table(spark, rows)
     coded = [ids for _, ids, _ in sub.code([lm_scoring.words_of(t) for _, t in rows])]
     counts = np.bincount(np.concatenate(coded), minlength=sub.n_ids).astype(float)
-    f, kept = A.Folding(counts), {}
+    f, kept = A.Folding(counts, sub.begins), {}
     start = int(f.class_of[sub.end])
     want = Counter(r.tobytes() for ids in coded for r in A.spans(f.class_of[ids], start, f.pad))
+    monkeypatch.setattr(lm_scoring, "DRAWN", 1.0)
     monkeypatch.setattr(lm_scoring, "STEPS", 24)  # so few that the texts are dealt over all rounds
-    monkeypatch.setattr(lm_scoring, "durable", lambda df, label, *by: kept.setdefault(label, durable(df, label, *by)))
+    monkeypatch.setattr(lm_scoring, "durable", lambda df, label, *by: kept.__setitem__(label, durable(df, label, *by)) or kept[label])
     model = lm_scoring.train(frame, f, lm_scoring.public_tokenizers.path(lm_scoring.VOCABULARY), float(counts.sum()))
     dealt = kept["lm-spans"].collect()
     width = 2 * (A.OVERLAP + A.SCORED + 1)
@@ -162,10 +236,20 @@ def test_lm_is_trained_on_every_window_of_every_text(spark, monkeypatch):
     c = f.class_of[coded[-1]]
     x, y = A.unspan(A.spans(c, start, f.pad), f.pad)
     assert (A.windows(c, start, f.pad)[:-1] == x[:-1]).all() and (y.ravel()[: len(c)] == c).all() and (y.ravel()[len(c) :] == -1).all()
-    assert model.log_probs(x, y).sum() / len(c) > A.Attention().log_probs(x, y).sum() / len(c) + 1
+    assert model.log_probs(x, y)[0].sum() / len(c) > A.Attention(used=f.used).log_probs(x, y)[0].sum() / len(c) + 1
+    monkeypatch.setattr(lm_scoring, "DRAWN", 0.25)  # where windows are drawn, about this share of them is, from all rows
+    monkeypatch.setattr(lm_scoring, "STEPS", 1)
+    lm_scoring.train(frame.repartition(9), f, lm_scoring.public_tokenizers.path(lm_scoring.VOCABULARY), float(counts.sum()))
+    drawn = Counter(bytes(r.spans[i : i + width]) for r in kept["lm-spans"].collect() for i in range(0, len(r.spans), width))
+    assert not drawn - want and 0.15 < sum(drawn.values()) / sum(want.values()) < 0.35
 
 
 def test_lm_gives_the_commonest_ids_classes_of_their_own():
-    f = A.Folding(1e6 / np.arange(1, 50_001))
-    own = np.bincount(f.class_of) == 1
-    assert own[:208].all() and (f.class_of[:208] == np.arange(208)).all() and f.class_of.max() == 255 and A.Attention().p["u"].shape[1] == 256
+    counts, begins = 1e6 / np.arange(1, 50_001), np.arange(50_000) % 3 > 0
+    f = A.Folding(counts, begins)
+    own, n = np.bincount(f.class_of, minlength=1024), f.first * A.MEMBERS
+    for kind, a, b in ((begins, 0, n), (~begins, n, 1024)):
+        single = int((b - a) * A.SINGLE)
+        ids = np.flatnonzero(kind)
+        assert (f.class_of[ids] >= a).all() and (f.class_of[ids] < b).all()
+        assert (own[a : a + single] == 1).all() and (f.class_of[ids[:single]] == a + np.arange(single)).all() and (own[a:b] > 0).all()
