@@ -224,7 +224,13 @@ def test_lm_is_trained_on_windows_of_every_text(spark, monkeypatch):
     counts = np.bincount(np.concatenate(coded), minlength=sub.n_ids).astype(float)
     f, kept = A.Folding(counts, sub.begins), {}
     start = int(f.class_of[sub.end])
-    want = Counter(r.tobytes() for ids in coded for r in A.spans(f.class_of[ids], start, f.pad))
+    want = Counter()
+    for _, t in rows:
+        w = lm_scoring.words_of(t)
+        for k in range(0, len(w) + 1, lm_scoring.PART):
+            ids = sub.code([w[k : k + lm_scoring.PART]])[0][1]
+            last = k + lm_scoring.PART > len(w)
+            want.update(r.tobytes() for r in A.spans(f.class_of[ids if last else ids[:-1]], f.pad if k else start, f.pad))
     monkeypatch.setattr(lm_scoring, "DRAWN", 1.0)
     monkeypatch.setattr(lm_scoring, "STEPS", 24)  # so few that the texts are dealt over all rounds
     monkeypatch.setattr(lm_scoring, "durable", lambda df, label, *by: kept.__setitem__(label, durable(df, label, *by)) or kept[label])
@@ -241,7 +247,7 @@ def test_lm_is_trained_on_windows_of_every_text(spark, monkeypatch):
     monkeypatch.setattr(lm_scoring, "STEPS", 1)
     lm_scoring.train(frame.repartition(9), f, lm_scoring.public_tokenizers.path(lm_scoring.VOCABULARY), float(counts.sum()))
     drawn = Counter(bytes(r.spans[i : i + width]) for r in kept["lm-spans"].collect() for i in range(0, len(r.spans), width))
-    assert not drawn - want and 0.15 < sum(drawn.values()) / sum(want.values()) < 0.35
+    assert not drawn - want and 0.1 < sum(drawn.values()) / sum(want.values()) < 0.4
 
 
 def test_lm_gives_the_commonest_ids_classes_of_their_own():
