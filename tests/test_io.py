@@ -136,7 +136,7 @@ def test_stages():
     assert stages.run(all_, ["c"], {"a": True}, done.__contains__) == ["a", "c"] == log
     with pytest.raises(ValueError):
         stages.order([make("x", requires=["x"])], ["x"])
-    cfg = stages.load_config("[workflow]\nwrite_vcf_for_datasets = ['d']\n[a.b]\nc = 1")
+    cfg = stages.load_config("[workflow]\nwrite_vcf = ['d']\n[a.b]\nc = 1")
     assert stages.retrieve(cfg, ["a", "b", "c"]) == 1 and stages.retrieve(cfg, ["no"], 5) == 5 and stages.dataset_wanted("d", cfg) and not stages.dataset_wanted("e", cfg)
     with pytest.raises(KeyError):
         stages.retrieve(cfg, ["no"])

@@ -70,9 +70,9 @@ def test_intervals(spark):
     groomed = intervals.groom([("chr1", 5, 60), ("chrY", 1, 10), ("chrM", 1, 5)])
     assert groomed[0] == ("chr1", 1, 60) and groomed[-1] == ("chrM", 1, 16569) and groomed[-2] == ("chrY", 1, 57227415)
     assert intervals.overlap((1, 5), (5, 9)) == 0 and intervals.overlap((1, 6), (5, 9)) == 1
-    assert intervals.polish([("chr1", 1, 100)], {"chr1": (40, 50)}, [("chr1", 1, 10), ("chr1", 91, 100)]) == [("chr1", 11, 39), ("chr1", 51, 90)]
+    assert intervals.polish([("chr1", 1, 100)], {"chr1": (40, 50)}, [("chr1", 1, 10), ("chr1", 91, 100)]) == [("chr1", 10, 40), ("chr1", 50, 91)]
     pieces = intervals.split_intervals(spark.createDataFrame([("chr1", 1, 10), ("chr1", 20, 20)], "contig string, start int, end int"), 4)
-    assert sorted((r.start, r.end) for r in pieces.collect()) == [(1, 4), (5, 8), (9, 10), (20, 20)]
+    assert sorted((r.start, r.end) for r in pieces.collect()) == [(1, 4), (4, 7), (7, 10), (20, 20)]
 
 
 def test_liftover(spark):
@@ -157,6 +157,9 @@ def test_allele_counts_leave_out_unknown_quality(cells):
 def test_all_info(cells):
     r = info.compute_info(cells, ["locus"], site=True).first()
     assert r.AC == [1, 1] and r.AS_pab_max == pytest.approx([1.0, 1.0]) and r.AS_lowqual == [False, False] and r.lowqual is False and r.QUALapprox == 480
+    assert r.AS_SB_TABLE == [[20, 25], [18, 21], [12, 14]] and "AS_SB" not in r
+    only = info.compute_info(cells, ["locus"], site=True, quasi=False).first()
+    assert only.AC == [1, 1] and only.AC_raw == [1, 3]
     assert "AS_lowqual" not in info.compute_info(cells, ["locus"], site=True, quasi=False).columns
     with pytest.raises(ValueError):
         info.compute_info(cells, ["locus"], quasi=False)
@@ -184,3 +187,39 @@ def test_split_entries(spark):
     c = spark.createDataFrame([(1, "a", [0, 2], (0, 1, False), [5, 7], 4)], f"locus int, s string, LA array<int>, LGT {CALL}, LAD array<int>, n_alleles int")
     got = {r.a_index: (tuple(r.GT)[:2], r.AD) for r in split.split_entries(c, ["locus"]).collect()}
     assert got == {1: ((0, 0), [12, 0]), 2: ((0, 1), [5, 7]), 3: ((0, 0), [12, 0])}
+
+
+def test_arrays_have_an_element_for_each_alternate_allele(cells):
+    own = cells.filter(F.array_contains("LA", 2) & ~F.array_contains("LA", 1)).withColumns({"LA": F.array(F.lit(0), F.lit(3)), "alleles": F.array(*map(F.lit, "ACGT")), "n_alleles": F.lit(4)})
+    if own.count():
+        r = info.compute_info(own, ["locus"]).first()
+        assert all(len(r[c]) == 3 for c in ("AC", "AC_raw", "AS_QUALapprox", "AS_lowqual", "AS_pab_max", "AS_FS")) and len(r.AS_SB_TABLE) == 4 and r.AS_QUALapprox[:2] == [0, 0] and r.AS_SB_TABLE[1] is None
+
+
+def test_matrix_from_long_orders_fills_and_takes_repeated_cells_once(spark):
+    cells_ = spark.createDataFrame([(1, "c", 3), (1, "a", 1), (1, "a", 2), (2, "d", 4)], "site int, s string, x int")
+    cols = spark.createDataFrame([(10, "a"), (20, "b"), (30, "c"), (40, "d")], "col_idx int, s string")
+    got = {r.site: [e and e.x for e in r.entries] for r in MatrixFrame.from_long(cells_, cols, ["site"], ["x"]).rows.collect()}
+    assert got == {1: [1, None, 3, None], 2: [None, None, None, 4]}
+
+
+def test_sparse_cohort(spark):
+    from varloom.operators.sparse import SparseFrame
+
+    v = [("chr1", 10, ["A", "C"], "a", [0, 1], (0, 1, False), [5, 5], 50, 10), ("chr1", 10, ["AT", "G"], "b", [0, 1], (1, 1, False), [0, 9], 60, 9), ("chr2", 10, ["A", "C"], "a", [0, 1], (0, 0, False), [9, 0], 50, 9)]
+    ddl = f"contig string, position int, alleles array<string>, s string, LA array<int>, LGT {CALL}, LAD array<int>, GQ int, DP int"
+    blocks = spark.createDataFrame([("chr1", 5, 20, "c", 30, 7), ("chr2", 5, 20, "b", 30, 7)], "contig string, start int, end int, s string, GQ int, DP int")
+    cols = spark.createDataFrame([(0, "a"), (1, "c")], "col_idx int, s string")
+    frame = lambda rows: spark.createDataFrame(rows, ddl)
+    one = SparseFrame(frame([v[0], v[2]]), blocks.filter("s = 'c'"), cols)
+    two = SparseFrame(frame([v[1]]), blocks.filter("s = 'b'"), spark.createDataFrame([(0, "b")], "col_idx int, s string"))
+    both = one.combine(two)
+    got = {(r.contig, r.position, r.s): (r.alleles, r.LA, r.GQ) for r in both.variants.collect()}
+    assert got[("chr1", 10, "a")] == (["AT", "CT", "G"], [0, 1], 50) and got[("chr1", 10, "b")] == (["AT", "CT", "G"], [0, 2], 60)
+    with pytest.raises(ValueError):
+        one.combine(one)
+    dense = both.dense().rows.collect()
+    assert [(r.contig, r.position, r.site_dp, r.ANS) for r in dense] == [("chr1", 10, 26, 6)]  # nobody carries chr2's
+    assert [e and (e.LGT.a0, e.LGT.a1) for e in dense[0].entries] == [(0, 1), (0, 0), (1, 1)]
+    left = both.remove(spark.createDataFrame([("b",)], "s string")).variants.collect()
+    assert [(r.contig, r.alleles, r.LA) for r in left] == [("chr1", ["AT", "CT"], [0, 1])]

@@ -83,12 +83,12 @@ def alt_only(qc: DataFrame) -> DataFrame:
 def variants_of_interest(rows: DataFrame, genes: list[str], terms: list[str], callset_af: float = 0.01, population_af: float = 0.01, gq: float = 35) -> DataFrame:
     """Distinct CHROM, POS, REF, ALT and the terms that let it in, of rare, well-called variants of the genes.
 
-    rows: contig, position, ref, alt, gene_ids, AF, population_AF, gq_mean, transcript_consequences. Missing
-    frequencies don't pass. Without genes there is nothing to look for, which is an error."""
+    rows: contig, position, ref, alt, gene_ids, AF, population_AF, gq_mean (to be above gq), transcript_consequences.
+    Missing frequencies don't pass. Without genes there is nothing to look for, which is an error."""
     if not genes:
         raise ValueError("no genes are given")
     wanted = F.array(*[F.lit(t) for t in terms])
-    kept = rows.filter(F.arrays_overlap("gene_ids", F.array(*[F.lit(g) for g in genes])) & (F.col("AF") < callset_af) & (F.col("population_AF") < population_af) & (F.col("gq_mean") >= gq))
+    kept = rows.filter(F.arrays_overlap("gene_ids", F.array(*[F.lit(g) for g in genes])) & (F.col("AF") < callset_af) & (F.col("population_AF") < population_af) & (F.col("gq_mean") > gq))
     each = kept.select("contig", "position", "ref", "alt", F.explode("transcript_consequences").alias("c"))
     each = each.filter(F.arrays_overlap(F.col("c.consequence_terms"), wanted))
     return each.select(F.col("contig").alias("CHROM"), F.col("position").alias("POS"), F.col("ref").alias("REF"), F.col("alt").alias("ALT"), F.array_join(sorted_set(F.array_intersect(F.col("c.consequence_terms"), wanted)), ",").alias("FILTER_CRITERIA")).distinct()

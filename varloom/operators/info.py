@@ -4,6 +4,8 @@ Entries have local alleles: LA lists the site's alleles that the sample's call (
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -72,6 +74,14 @@ def allele_info(cells: DataFrame, keys: list[str]) -> DataFrame:
     return _finish(each.groupBy(*keys, "allele").agg(*_aggregates(each, "AS_", None)), "AS_")
 
 
+def every_allele(per_allele: DataFrame, sites: DataFrame, keys: list[str]) -> DataFrame:
+    """per_allele with a row for each alternate allele of the sites (keys, n_alleles), listed by some entry or not, so that
+    arrays made of it have an element for each: sums and counts of none are 0, other statistics missing."""
+    all_ = sites.filter("n_alleles > 1").select(*keys, F.explode(F.sequence(F.lit(1), F.col("n_alleles") - 1)).alias("allele"))
+    zero = [f for f in per_allele.columns if f in ("AS_QUALapprox", "AS_VarDP", "AS_QD") or re.fullmatch(r"AC(_.*)?", f)]
+    return all_.join(per_allele, [*keys, "allele"], "left").withColumns({f: F.coalesce(f, F.lit(0).cast(per_allele.schema[f].dataType)) for f in zero})
+
+
 def strand_table(per_allele: DataFrame, keys: list[str]) -> DataFrame:
     """AS_SB_TABLE: the reference counts summed over alternate alleles, then each allele's own; with AS_FS and AS_SOR."""
     rows = F.sort_array(F.collect_list(F.struct("allele", F.col("AS_SB").alias("sb"))))
@@ -80,8 +90,7 @@ def strand_table(per_allele: DataFrame, keys: list[str]) -> DataFrame:
     ref = F.array(*[F.aggregate(known, F.lit(0), add(i)) for i in (0, 1)])
     table = F.concat(F.array(ref), F.transform(F.col("rows.sb"), lambda x: F.slice(x, 3, 2)))
     t = per_allele.groupBy(*keys).agg(rows.alias("rows")).withColumn("AS_SB_TABLE", table)
-    over = lambda f: F.transform(F.slice("AS_SB_TABLE", 2, F.size("AS_SB_TABLE") - 1), lambda x: f(F.concat(F.col("AS_SB_TABLE")[0], x)))
-    return t.withColumns({"AS_FS": over(fisher_strand), "AS_SOR": over(strand_odds)}).drop("rows")
+    return _strand_statistics(t).drop("rows")
 
 
 def collect_alleles(per_allele: DataFrame, keys: list[str]) -> DataFrame:
@@ -101,10 +110,23 @@ def true_allele_info(cells: DataFrame, keys: list[str]) -> DataFrame:
     aggs = [F.sum(f).alias(f) for f in AS_SUMS] + [F.sum(f).cast("int").alias(f) for f in AS_INT_SUMS]
     aggs += [median(F.get(F.col(f), F.lit(0))).alias(f.replace("_RAW", "")) for f in AS_MEDIANS]
     aggs += [F.array(*[F.sum(F.get(F.col("AS_SB_TABLE"), F.lit(i))) for i in (0, 1)]).cast("array<int>").alias("AS_SB_TABLE"), F.sum("_ad").alias("_ad")]
-    out = each.groupBy(*keys, "allele").agg(*aggs)
+    out = each.groupBy(*keys, "allele").agg(*aggs)  # allele 0 has the reference's strands
     return out.withColumns({"AS_MQ": ratio(F.col("AS_RAW_MQ"), F.col("_ad"), root=True), "AS_QD": ratio(F.col("AS_QUALapprox"), F.col("AS_VarDP"))}).drop("AS_RAW_MQ", "_ad")
 
 
+def true_strand_table(per_allele: DataFrame, sites: DataFrame, keys: list[str]) -> DataFrame:
+    """AS_SB_TABLE from true_allele_info(): the reference's strands, then each alternate allele's; with AS_FS and AS_SOR."""
+    all_ = sites.select(*keys, F.explode(F.sequence(F.lit(0), F.col("n_alleles") - 1)).alias("allele"))
+    rows = F.sort_array(F.collect_list(F.struct("allele", F.col("AS_SB_TABLE").alias("sb"))))
+    t = all_.join(per_allele.select(*keys, "allele", "AS_SB_TABLE"), [*keys, "allele"], "left").groupBy(*keys).agg(rows.alias("rows")).withColumn("AS_SB_TABLE", F.col("rows.sb"))
+    return _strand_statistics(t).drop("rows")
+
+
+def _strand_statistics(t: DataFrame) -> DataFrame:
+    over = lambda f: F.transform(F.slice("AS_SB_TABLE", 2, F.size("AS_SB_TABLE") - 1), lambda x: f(F.concat(F.col("AS_SB_TABLE")[0], x)))
+    return t.withColumns({"AS_FS": over(fisher_strand), "AS_SOR": over(strand_odds)})
+
+
 def allele_counts(cells: DataFrame, keys: list[str], groups: dict[str, Column] | None = None) -> DataFrame:
     """AC (of high-quality genotypes) and AC_raw (of those whose quality is known) per (keys, allele), per sample group."""
     each = by_allele(cells).withColumn("_adj", adj(F.col("LGT"), F.col("GQ"), F.col("DP"), F.col("LAD")))
@@ -124,28 +146,34 @@ def balance_p(cells: DataFrame, keys: list[str]) -> DataFrame:
     return each.groupBy(*keys, "allele").agg(F.max(binomial_p(F.col("_k"), F.col("_n"))).alias("AS_pab_max"))
 
 
-def compute_info(cells: DataFrame, keys: list[str], site: bool = False, allele_specific: bool = False, quasi: bool = True, indel_prior: int = 40, partitions: int | None = None) -> DataFrame:
+def compute_info(cells: DataFrame, keys: list[str], site: bool = False, allele_specific: bool = False, quasi: bool = True, indel_prior: int = 40, partitions: int | None = None, groups: dict[str, Column] | None = None) -> DataFrame:
     """All statistics of a site: cells have keys, alleles, n_alleles and the entry fields. One row per site.
 
-    Quality flags follow the statistics that are asked for; with site statistics alone only the site flag is made."""
+    Arrays have an element for each alternate allele, listed or not. With true allele statistics, quasi ones go to a
+    struct quasi_info. AC and AC_raw are always made, for each group of samples (name: test) too; the site flag comes with
+    site statistics, the allele flags with allele statistics, as without them there is no quality to judge by."""
     if not (site or allele_specific or quasi):
         raise ValueError("ask for one kind of statistics at least")
-    sites = cells.select(*keys, "alleles").distinct()
-    parts = []
+    sites = cells.select(*keys, "alleles", "n_alleles").distinct()
+    arrays = lambda per: collect_alleles(every_allele(per, sites, keys), keys)
+    info = sites
+    if quasi:
+        per = allele_info(cells, keys)
+        listed = arrays(per.drop("AS_SB")).join(strand_table(every_allele(per, sites, keys), keys), keys)
+        if allele_specific:
+            listed = listed.select(*keys, F.struct(*[c for c in listed.columns if c not in keys]).alias("quasi_info"))
+        info = info.join(listed, keys, "left")
+    if allele_specific:
+        per = true_allele_info(cells, keys)
+        info = info.join(arrays(per.filter("allele > 0").drop("AS_SB_TABLE")), keys, "left").join(true_strand_table(per, sites, keys), keys, "left")
     if quasi or allele_specific:
-        per = allele_info(cells, keys) if quasi and not allele_specific else true_allele_info(cells, keys).filter("allele > 0")
-        merged = per.join(allele_counts(cells, keys), [*keys, "allele"], "left").join(balance_p(cells, keys), [*keys, "allele"], "left")
-        parts.append(collect_alleles(merged, keys))
-        if quasi and not allele_specific:
-            parts.append(strand_table(per, keys))
+        info = info.join(arrays(balance_p(cells, keys)), keys, "left")
     if site:
-        parts.append(site_info(cells, keys))
-    out = sites
-    for p in parts:
-        out = out.join(p, keys, "left")
+        info = info.join(site_info(cells, keys), keys, "left")
+    info = info.join(arrays(allele_counts(cells, keys, groups)), keys, "left").drop("n_alleles")
     snv, indel = 60, 30 + indel_prior
-    if "AS_QUALapprox" in out.columns:
-        out = out.withColumn("AS_lowqual", lowqual_by_allele(F.col("alleles"), F.col("AS_QUALapprox"), snv, indel))
+    if quasi or allele_specific:
+        info = info.withColumn("AS_lowqual", lowqual_by_allele(F.col("alleles"), F.col("AS_QUALapprox"), snv, indel))
     if site:
-        out = out.withColumn("lowqual", lowqual(F.col("alleles"), F.col("QUALapprox"), snv, indel))
-    return out.coalesce(partitions) if partitions else out
+        info = info.withColumn("lowqual", lowqual(F.col("alleles"), F.col("QUALapprox"), snv, indel))
+    return info.coalesce(partitions) if partitions else info

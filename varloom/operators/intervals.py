@@ -32,7 +32,7 @@ def balanced_intervals(sites: DataFrame, n: int, per_bin: int = 10_000) -> DataF
 
 def per_contig(cuts: list[tuple[str, int, str, int]], lengths: dict[str, int] | None = None) -> list[tuple[str, int, int]]:
     """(contig, start, end) from balanced cuts: one that crosses contigs is split, the first of a contig starts at 1, the
-    last ends at the contig's length, and gaps between neighbours are closed."""
+    last ends at the contig's length, and where a gap would be left between neighbours the first reaches up to the second."""
     lengths = lengths or GRCH38_LENGTHS
     order = list(lengths)
     flat: list[list] = []
@@ -45,6 +45,8 @@ def per_contig(cuts: list[tuple[str, int, str, int]], lengths: dict[str, int] |
             x[1] = 1
         if i == len(flat) - 1 or flat[i + 1][0] != x[0]:
             x[2] = lengths[x[0]]
+        else:
+            x[2] = max(x[2], flat[i + 1][1] - 1)
     return [tuple(x) for x in flat]
 
 
@@ -69,29 +71,28 @@ def overlap_length(s1: Column, e1: Column, s2: Column, e2: Column) -> Column:
 
 
 def split_intervals(intervals: DataFrame, largest: int) -> DataFrame:
-    """Each (contig, start, end) in pieces of at most `largest` bases, as many as needed and of equal steps."""
-    steps = F.greatest(F.lit(1), F.ceil((F.col("end") - F.col("start") + 1) / largest))
-    each = intervals.withColumn("_i", F.explode(F.sequence(F.lit(0).cast("long"), steps - 1)))
-    start = F.col("start") + F.col("_i") * largest
-    return each.select("contig", start.cast("int").alias("start"), F.least(F.col("end"), start + largest - 1).cast("int").alias("end"))
+    """Each (contig, start, end) in even pieces, as many as keep each to about `largest`; a piece begins where the one
+    before ends, and the last takes what is left over."""
+    size = F.col("end") - F.col("start")
+    each = intervals.withColumn("_n", F.greatest(F.lit(1), F.ceil(size / largest)).cast("int")).withColumn("_step", F.floor(size / F.col("_n")).cast("int"))
+    each = each.withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
+    start = F.col("start") + F.col("_i") * F.col("_step")
+    return each.select("contig", start.cast("int").alias("start"), F.when(F.col("_i") == F.col("_n") - 1, F.col("end")).otherwise(start + F.col("_step")).cast("int").alias("end"))
 
 
 def polish(intervals: list[tuple[str, int, int]], centromeres: dict[str, tuple[int, int]], telomeres: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
-    """The intervals without telomeres and centromeres; one that spans a centromere becomes two."""
-    cuts: dict[str, list[tuple[int, int]]] = {}
-    for c, s, e in [*telomeres, *((c, *x) for c, x in centromeres.items())]:
-        cuts.setdefault(c, []).append((s, e))
+    """The intervals without telomeres and centromeres, whose edges stay: a telomere from base 1 on moves the start to its
+    end, another the end to its start; a centromere leaves what reaches out of it on either side."""
     out = []
     for contig, start, end in intervals:
-        at = start
-        for s, e in sorted(cuts.get(contig, [])):
-            if e < at or s > end:
-                continue
-            if s > at:
-                out.append((contig, at, s - 1))
-            at = max(at, e + 1)
-        if at <= end:
-            out.append((contig, at, end))
+        low, high = start, end
+        for _, s, e in (t for t in telomeres if t[0] == contig and overlap(t[1:], (start, end))):
+            low, high = (e, high) if s == 1 else (low, s)
+        s, e = centromeres.get(contig, (0, 0))
+        if not overlap((s, e), (start, end)):
+            out.append((contig, low, high))
+            continue
+        out += [(contig, low, s)] * (s > start) + [(contig, e, high)] * (end > e)
     return out
 
 

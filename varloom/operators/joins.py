@@ -11,10 +11,10 @@ FEW_INTERVALS = 64
 
 def lookup(df: DataFrame, right: DataFrame, key: list[str], name: str, pick: list[Column] | None = None, fields: list[str] | None = None) -> DataFrame:
     """df with a struct `name` of right's fields, NULL on a miss. Never more rows than df has: of several matches the
-    first by `pick` (else the least row) counts, found by an aggregate that starts before the shuffle."""
+    first by `pick` (else by a hash of the fields) counts, found by an aggregate that starts before the shuffle."""
     fields = fields or [c for c in right.columns if c not in key]
     body = F.struct(*fields)
-    order = F.struct(*(pick or fields))
+    order = F.struct(*(pick or [F.xxhash64(*fields)]))
     one = right.groupBy(*key).agg(F.min_by(body, order).alias(name))
     return df.join(one, key, "left")
 
@@ -51,10 +51,11 @@ def interval_lookup(df: DataFrame, segments: DataFrame, contig: str, position: s
 def densify(sites: DataFrame, blocks: DataFrame, samples: DataFrame | None = None, by: list[str] | None = None) -> DataFrame:
     """For each (site, sample), the reference block that covers the site, if any.
 
-    sites: by + position and more; blocks: by + s, start, end and fields; blocks of a sample don't overlap.
+    sites: by + position and more; blocks: by + s, start, end and fields; blocks of a sample don't overlap. by: contig,
+    unless neither has it.
     Blocks are cut at bins of the position and joined by (by, bin) with the exact test, so the work is spread over
     samples and bins alike and only covered cells make rows; no sample's blocks meet in one task."""
-    by, size = by or [], 10_000
+    by, size = by or [c for c in ("contig",) if c in sites.columns or c in blocks.columns], 10_000
     b = blocks.withColumn("_bin", F.explode(F.sequence(F.floor(F.col("start") / size), F.floor(F.col("end") / size))))
     p = sites.withColumn("_bin", F.floor(F.col("position") / size))
     out = p.join(b, [*by, "_bin"]).filter(F.col("position").between(F.col("start"), F.col("end"))).drop("_bin")
@@ -90,6 +91,11 @@ def check_removals(n: int, confirmed: bool, threshold: int = 20) -> None:
         raise ValueError(f"{n} samples would go (threshold {threshold}); confirm to go on")
 
 
+def analysis_by_id(analyses: DataFrame, analysis_id, id_col: str = "id", status: str = "status"):
+    """The row of a completed analysis, or None."""
+    return analyses.filter((F.col(id_col) == analysis_id) & (F.upper(status) == "COMPLETED")).first()
+
+
 def latest(analyses: DataFrame, by: list[str], stamp: str = "timestamp") -> DataFrame:
     """Of each group the analysis with the greatest timestamp text."""
     rest = [c for c in analyses.columns if c not in by]

@@ -25,11 +25,17 @@ class MatrixFrame:
 
     @classmethod
     def from_long(cls, cells: DataFrame, cols: DataFrame, keys: list[str], entry: list[str]) -> MatrixFrame:
-        """From one row per (keys, s): each row's entries sorted by col_idx, a NULL-field entry where a cell is absent."""
-        order = cells.join(cols.select("s", "col_idx"), "s")
-        held = order.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("col_idx", F.struct(*entry)))).alias("by_col"))
-        idx = [r[0] for r in cols.select("col_idx").orderBy("col_idx").collect()]  # the column axis
-        rows = held.select(*keys, F.transform(F.array(*[F.lit(i) for i in idx]), lambda i: F.col("by_col")[i]).alias("entries"))
+        """From one row per (keys, s): each row's entries sorted by col_idx, NULL where a cell is absent; of a repeated
+        cell the least entry stays."""
+        n = cols.count()  # the column axis
+        place = cols.select("s", (F.row_number().over(Window.orderBy("col_idx")) - 1).alias("_pos"))
+        cell = F.struct("_pos", F.struct(*entry).alias("e"))
+        held = cells.join(place, "s").groupBy(*keys).agg(F.array_sort(F.collect_list(cell)).alias("_cells"))
+        # one pass: the cells in order of columns, with as many absent ones before each as columns were skipped
+        absent = lambda k: F.array_repeat(F.lit(None).cast(held.schema["_cells"].dataType.elementType["e"].dataType), k)
+        before = lambda i: F.when(i > 0, F.get("_cells", i - 1)["_pos"]).otherwise(-1)
+        filled = F.flatten(F.transform("_cells", lambda x, i: F.when(x["_pos"] > before(i), F.concat(absent(x["_pos"] - before(i) - 1), F.array(x["e"]))).otherwise(absent(F.lit(0)))))  # of a repeated cell one stays
+        rows = held.select(*keys, F.concat(filled, absent(F.lit(n) - 1 - F.element_at("_cells", -1)["_pos"])).alias("entries"))
         return cls(rows, cols)
 
     def long(self) -> DataFrame:
@@ -48,6 +54,9 @@ class MatrixFrame:
     def annotate_rows(self, **fields: Column) -> MatrixFrame:
         return MatrixFrame(self.rows.withColumns(fields), self.cols, self.globals)
 
+    def annotate_cols(self, **fields: Column) -> MatrixFrame:
+        return MatrixFrame(self.rows, self.cols.withColumns(fields), self.globals)
+
     def annotate_globals(self, **values) -> MatrixFrame:
         return MatrixFrame(self.rows, self.cols, self.globals | values)
 

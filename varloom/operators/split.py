@@ -19,19 +19,27 @@ def split_sites(sites: DataFrame) -> DataFrame:
 
 def split_entries(cells: DataFrame, keys: list[str]) -> DataFrame:
     """Entries for each allele of the site: GT with this allele as 1, AD as [all others, this]. A sample that doesn't list
-    the allele has no depth for it and keeps its other calls as reference."""
+    the allele has no depth for it and keeps its other calls as reference. Likelihoods LPL of local genotypes, if there,
+    become PL of 0/0, 0/1 and 1/1: the least of the genotypes that turn into each, missing where the allele isn't listed."""
     each = cells.withColumn("a_index", F.explode(F.sequence(F.lit(1), F.col("n_alleles") - 1)))
     place = F.array_position("LA", F.col("a_index"))
     own = F.when(place > 0, F.get("LAD", (place - 1).cast("int"))).otherwise(F.lit(0))
     ad = F.when(F.col("LAD").isNotNull(), F.array(total(F.col("LAD")) - own, own))
-    rest = [c for c in cells.columns if c not in ("LA", "LGT", "LAD", "n_alleles", *keys)]
+    rest = [c for c in cells.columns if c not in ("LA", "LGT", "LAD", "LPL", "n_alleles", *keys)]
+    if "LPL" in cells.columns:
+        n = F.size("LA")
+        high = lambda g: F.floor((F.sqrt(g * 8 + 1) - 1) / 2)  # noqa: E731  of genotype number g the greater allele
+        low = lambda g: g - high(g) * (high(g) + 1) / 2
+        turns = lambda g: (high(g) == place - 1).cast("int") + (low(g) == place - 1).cast("int")
+        least = lambda k: F.array_min(F.transform(F.filter(F.sequence(F.lit(0), (n * (n + 1) / 2 - 1).cast("int")), lambda g: turns(g) == k), lambda g: F.get("LPL", g)))
+        rest = [*rest, F.when((place > 0) & F.col("LPL").isNotNull(), F.array(least(0), least(1), least(2))).alias("PL")]
     return each.select(*keys, "a_index", downcode(global_call(F.col("LGT"), F.col("LA")), F.col("a_index")).alias("GT"), ad.alias("AD"), *rest)
 
 
 def combine(samples: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(sites, entries) from one row per (contig, position, s, ref, alts, GT, AD): the site's alleles are the longest
-    reference and all alternates in order, and each sample keeps only its own alleles, by index. One shuffle by site,
-    whatever the number of samples; alleles are gathered, samples aren't."""
+    reference and all alternates in order, and each sample keeps only its own alleles, by index, and its other fields. One
+    shuffle by site, whatever the number of samples; alleles are gathered, samples aren't."""
     key = ["contig", "position"]
     longest = samples.groupBy(*key).agg(F.max_by("ref", F.length("ref")).alias("site_ref"))
     wide = samples.join(longest, key)
@@ -40,7 +48,8 @@ def combine(samples: DataFrame) -> tuple[DataFrame, DataFrame]:
     sites = alleles.select(*key, F.concat(F.array("site_ref"), "alts").alias("alleles"))
     cells = wide.join(sites, key)
     la = F.concat(F.array(F.lit(0)), F.transform("_alts", lambda a: (F.array_position("alleles", a) - 1).cast("int")))
-    return sites, cells.select(*key, "s", la.alias("LA"), F.col("GT").alias("LGT"), F.col("AD").alias("LAD"))
+    rest = [c for c in samples.columns if c not in (*key, "s", "ref", "alts", "GT", "AD")]
+    return sites, cells.select(*key, "s", la.alias("LA"), F.col("GT").alias("LGT"), F.col("AD").alias("LAD"), *rest)
 
 
 def remove_samples(sites: DataFrame, entries: DataFrame, gone: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame]:

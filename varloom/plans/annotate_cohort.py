@@ -24,16 +24,16 @@ def population_frequencies(gnomad: DataFrame, index: dict[str, int], populations
 def annotate(rows: DataFrame, vep: DataFrame, recalibrated: DataFrame | None = None, clinvar: DataFrame | None = None, reference: DataFrame | None = None, gnomad: DataFrame | None = None) -> DataFrame:
     """rows: KEY, info, filters, AC, AF, AN. Each table is projected to what is used before its join, and no lookup makes
     rows. Recalibrated info replaces the row's info whole."""
-    out = lookup(rows, vep.select(*KEY, "vep"), KEY, "_vep", pick=[F.to_json("vep")]).withColumn("vep", F.col("_vep.vep")).drop("_vep")
+    out = lookup(rows, vep.select(*KEY, "vep"), KEY, "_vep").withColumn("vep", F.col("_vep.vep")).drop("_vep")
     if recalibrated is not None:
-        out = lookup(out, recalibrated, KEY, "_site", pick=[F.to_json(F.struct("info", "filters"))])
+        out = lookup(out, recalibrated, KEY, "_site", pick=[F.xxhash64("filters"), F.xxhash64(F.map_entries("info"))])
         out = out.withColumns({"info": F.col("_site.info"), "filters": without_pass(F.coalesce("_site.filters", F.array().cast("array<string>")))}).drop("_site")
     if clinvar is not None:
         out = lookup(out, clinvar.select(*KEY, F.col("info.ALLELEID").alias("allele_id"), F.array_join("info.CLNSIG", ",").alias("clinical_significance"), "gold_stars"), KEY, "clinvar")
     if reference is not None:
-        out = lookup(out, reference, KEY, "ref_data", pick=[F.to_json(F.struct(*[c for c in reference.columns if c not in KEY]))])
+        out = lookup(out, reference, KEY, "ref_data")
     if gnomad is not None:
-        out = lookup(out, gnomad, KEY, "gnomad", pick=[F.to_json(F.struct(*[c for c in gnomad.columns if c not in KEY]))])
+        out = lookup(out, gnomad, KEY, "gnomad")
     ref, alt = F.col("alleles")[0], F.col("alleles")[1]
     contig, pos = F.col("contig"), F.col("position")
     xpos = va.xpos(contig, pos)

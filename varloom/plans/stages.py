@@ -68,7 +68,7 @@ def retrieve(config: dict, path: list[str], default=_NONE):
     return at
 
 
-def dataset_wanted(dataset: str, config: dict, lists: tuple[str, ...] = ("write_mt_for_datasets", "create_es_index_for_datasets", "write_vcf_for_datasets")) -> bool:
+def dataset_wanted(dataset: str, config: dict, lists: tuple[str, ...] = ("write_mt_for_datasets", "create_es_index_for_datasets", "write_vcf")) -> bool:
     """Whether any of the lists names the dataset."""
     return any(dataset in retrieve(config, ["workflow", x], []) for x in lists)
 

@@ -9,6 +9,7 @@ from varloom.functions import calls, consequences, stats, variants
 from varloom.functions.nulls import cap_int32, or_missing, sorted_set
 from varloom.operators import genotypes, info, intervals, joins, split
 from varloom.operators.matrix import MatrixFrame
+from varloom.plans import recalibrate
 from varloom.queries.views import Views, with_views
 
 QUERIES, SQL = {}, {}
@@ -175,7 +176,7 @@ def q_clinvar_struct(v):
 @query("SELECT site_id, CASE WHEN site_id % 3 = 0 THEN 'LowQual' WHEN site_id % 3 = 1 THEN '' ELSE 'LowQual,Tranche' END AS filters FROM v_sites", "v_sites")
 def q_filters_minus_pass(v):
     held = F.when(F.col("site_id") % 3 == 0, F.array(F.lit("PASS"), F.lit("LowQual"))).when(F.col("site_id") % 3 == 1, F.array(F.lit("PASS"))).otherwise(F.array(F.lit("Tranche"), F.lit("LowQual")))
-    return v.sites.select("site_id", joined(sorted_set(F.filter(held, lambda f: f != "PASS"))).alias("filters"))
+    return v.sites.select("site_id", joined(sorted_set(recalibrate.without_pass(held))).alias("filters"))
 
 
 SHORT = "regexp_replace(contig, '^chr', '')"
@@ -251,7 +252,7 @@ def q_explode_csq(v):
 w AS (SELECT *, CASE WHEN term1 IN ('stop_gained', 'missense_variant') AND term2 = 'frameshift_variant' THEN 'frameshift_variant,' || term1 WHEN term2 = 'frameshift_variant' THEN term2 WHEN term1 IN ('stop_gained', 'missense_variant') THEN term1 END AS crit FROM v_csq)
 SELECT DISTINCT contig AS "CHROM", position AS "POS", ref AS "REF", alt AS "ALT", crit AS "FILTER_CRITERIA"
 FROM v_sites JOIN g USING (site_id) JOIN q USING (site_id) JOIN r USING (site_id) JOIN w USING (site_id)
-WHERE CAST(ac AS DOUBLE) / nullif(an, 0) < 0.6 AND r.gold_stars / 5.0 < 0.5 AND gq_mean >= 35 AND crit IS NOT NULL""", "v_sites", "v_entries", "v_ref_lookup", "v_csq")
+WHERE CAST(ac AS DOUBLE) / nullif(an, 0) < 0.6 AND r.gold_stars / 5.0 < 0.5 AND gq_mean > 35 AND crit IS NOT NULL""", "v_sites", "v_entries", "v_ref_lookup", "v_csq")
 def q_interest_full(v):
     rows = looked_up(v).join(genotypes.alt_only(qc(v)), "site_id").join(transcripts(v), "site_id")
     rows = rows.select("contig", "position", "ref", "alt", "AF", (F.col("hit.gold_stars") / 5.0).alias("population_AF"), "gq_mean", F.col("t").alias("transcript_consequences"), consequences.gene_set(F.col("t")).alias("gene_ids"))
@@ -357,12 +358,11 @@ def q_ac_raw_adj(v):
     return info.allele_counts(sparse(v), ["locus_id"]).select("locus_id", "allele", F.col("AC").alias("ac"), F.col("AC_raw").alias("ac_raw"))
 
 
-SB = "b AS (SELECT site_id, s, ad_ref AS sb0, dp - 6 AS sb1, ad_alt * 2 AS sb2, gq % 30 AS sb3 FROM v_entries WHERE dp >= 6 AND gq IS NOT NULL)"
+SB = "b AS (SELECT site_id, s, ad_ref AS sb0, dp - 6 AS sb1, ad_alt * 2 AS sb2, gq % 30 AS sb3 FROM v_entries)"
 
 
 def sb(v):
-    e = v.entries.filter("dp >= 6 and gq is not null")
-    return e.select("site_id", "s", F.array(F.col("ad_ref"), F.col("dp") - 6, F.col("ad_alt") * 2, F.col("gq") % 30).alias("sb"))
+    return v.entries.select("site_id", "s", F.array(F.col("ad_ref"), F.col("dp") - 6, F.col("ad_alt") * 2, F.col("gq") % 30).alias("sb"))
 
 
 @query(f", {SB} SELECT site_id, s, {SOR} FROM b", "v_entries")
@@ -373,23 +373,19 @@ def q_sor(v):
 AT = "lgamma(r + 1) + lgamma(n - r + 1) + lgamma(c + 1) + lgamma(n - c + 1) - lgamma(n + 1) - lgamma({0} + 1) - lgamma(r - {0} + 1) - lgamma(c - {0} + 1) - lgamma(n - r - c + {0} + 1)"
 
 
-@query(f""", {SB}, d AS (SELECT DISTINCT sb0, sb1, sb2, sb3 FROM b), t AS (SELECT *, sb0 + sb1 AS r, sb0 + sb2 AS c, sb0 + sb1 + sb2 + sb3 AS n FROM d),
+@query(f""", {SB}, d AS (SELECT DISTINCT sb0, sb1, sb2, sb3 FROM b), t AS (SELECT d.*, sb0 + sb1 AS r, sb0 + sb2 AS c, sb0 + sb1 + sb2 + sb3 AS n FROM d WHERE sb0 + sb1 + sb2 + sb3 IS NOT NULL),
 p AS (SELECT sb0, sb1, sb2, sb3, n, sum(CASE WHEN {AT.format('x')} <= {AT.format('sb0')} + 1e-7 THEN exp({AT.format('x')}) ELSE 0 END) AS p FROM t, unnest(range(greatest(0, r + c - n), least(r, c) + 1)) AS u(x) GROUP BY sb0, sb1, sb2, sb3, n)
-SELECT sb0, sb1, sb2, sb3, CASE WHEN n > 4 THEN round(greatest(0, -10 * log10(least(1, p))), 5) END AS fs FROM p""", "v_entries")
+SELECT sb0, sb1, sb2, sb3, CASE WHEN n > 4 THEN round(greatest(0, -10 * log10(least(1, p))), 5) END AS fs FROM p UNION ALL SELECT sb0, sb1, sb2, sb3, NULL FROM d WHERE sb0 + sb1 + sb2 + sb3 IS NULL""", "v_entries")
 def q_fs(v):
     d = sb(v).select("sb").distinct()
     return d.select(*[F.col("sb")[i].alias(f"sb{i}") for i in range(4)], F.round(stats.fisher_strand(F.col("sb")), 5).alias("fs"))
 
 
-@query(f""", {X}, h AS (SELECT locus_id, allele, ad_alt AS k, ad_ref + ad_alt AS n FROM x WHERE n_alt = 1),
+@query(f""", {X}, h AS (SELECT locus_id, a AS allele, CASE WHEN a = allele THEN ad_alt ELSE 0 END AS k, ad_ref + ad_alt AS n FROM x, unnest([1, 2, 3]) AS u(a) WHERE n_alt = 1),
 d AS (SELECT DISTINCT k, n FROM h), p AS (SELECT k, n, CASE WHEN 2 * k = n THEN 1.0 ELSE least(1.0, 2 * sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) - n * ln(2)))) END AS p FROM d, unnest(range(0, least(k, n - k) + 1)) AS u(i) GROUP BY k, n)
 SELECT locus_id, allele, round(max(p) + 1e-9, 6) AS pab_max FROM h JOIN p USING (k, n) GROUP BY locus_id, allele""", "v_entries")
 def q_pab_max(v):
-    own = sparse(v)
-    listed = info.by_allele(own.filter(calls.is_het(F.col("LGT")))).select("locus_id", "allele").distinct()
-    carried = info.balance_p(own.withColumn("locus_id", F.struct("locus_id", F.col("LA")[1].alias("a"))), ["locus_id"])
-    carried = carried.filter(F.col("locus_id.a") == F.col("allele")).select(F.col("locus_id.locus_id").alias("locus_id"), "allele", "AS_pab_max")
-    return listed.join(carried, ["locus_id", "allele"]).select("locus_id", "allele", F.round(F.col("AS_pab_max") + 1e-9, 6).alias("pab_max"))
+    return info.balance_p(sparse(v), ["locus_id"]).select("locus_id", "allele", F.round(F.col("AS_pab_max") + 1e-9, 6).alias("pab_max"))
 
 
 @query(""", q AS (SELECT site_id, contig, ref, alt, site_id % 90 AS qual FROM v_sites) SELECT site_id, qual < CASE WHEN length(ref) = length(alt) AND length(ref) = 1 AND ref <> alt THEN 60 WHEN length(ref) <> length(alt) THEN 70 ELSE 70 END AS lowqual FROM q""", "v_sites")
@@ -453,7 +449,8 @@ def q_overlap(v):
     return v.orders.select("o_orderkey", "o_custkey", intervals.overlap_length(a, a + 40, b, b + 30).cast("long").alias("shared"))
 
 
-@query("SELECT contig, CAST(position + i * 7 AS INT) AS start, CAST(least(position + site_id % 40, position + i * 7 + 6) AS INT) AS \"end\" FROM v_sites, unnest(range(0, CAST(ceil((site_id % 40 + 1) / 7.0) AS BIGINT))) AS t(i)", "v_sites")
+@query(""", z AS (SELECT contig, position, site_id % 40 AS size, greatest(1, (site_id % 40 + 6) // 7) AS n FROM v_sites)
+SELECT contig, CAST(position + i * (size // n) AS INT) AS start, CAST(CASE WHEN i = n - 1 THEN position + size ELSE position + (i + 1) * (size // n) END AS INT) AS "end" FROM z, unnest(range(0, n)) AS t(i)""", "v_sites")
 def q_split_interval(v):
     s = v.sites.select("contig", F.col("position").alias("start"), (F.col("position") + F.col("site_id") % 40).cast("int").alias("end"))
     return intervals.split_intervals(s, 7)
@@ -465,12 +462,12 @@ def q_densify(v):
     return joins.densify(v.sites.select("site_id", "position"), blocks).select("site_id", "s", "gq")
 
 
-@query(""", k AS (SELECT s, site_id, 1000 + site_id * 37 AS position FROM (SELECT DISTINCT s FROM v_ref_blocks) u, (SELECT site_id FROM v_sites WHERE site_id % 10 = 0) t)
+@query(""", k AS (SELECT s, site_id, 1000 + site_id * 37 AS position FROM (SELECT DISTINCT s FROM v_ref_blocks) u, (SELECT site_id FROM v_sites) t)
 SELECT k.s, k.site_id, b.gq FROM k LEFT JOIN v_ref_blocks b ON k.s = b.s AND k.position BETWEEN b.start_pos AND b.end_pos""", "v_sites", "v_ref_blocks")
 def q_densify_fill(v):
     b = v.ref_blocks
     blocks = b.select("s", F.col("start_pos").cast("int").alias("start"), F.col("end_pos").alias("end"), "gq").filter("end >= start")
-    sites = b.select("s").distinct().crossJoin(F.broadcast(v.sites.filter("site_id % 10 = 0").select("site_id", "position")))  # the cells to fill are all (sample, site)
+    sites = b.select("s").distinct().crossJoin(v.sites.select("site_id", "position"))  # the cells to fill are all (sample, site)
     return joins.fill_forward(sites, blocks, []).select("s", "site_id", "block.gq")
 
 
@@ -509,8 +506,7 @@ def q_flatten_row(v):
 
 @query("SELECT CAST(ceil((SELECT count(*) FROM v_sites) * CAST((SELECT count(*) FROM v_samples) AS DOUBLE) / 1000.0) AS BIGINT) AS shards", "v_sites", "v_samples")
 def q_shard_count(v):
-    rows, cols = v.sites.agg(F.count(F.lit(1)).alias("r")), v.samples.agg(F.count(F.lit(1)).alias("c"))
-    return rows.crossJoin(cols).select(F.ceil(F.col("r") * F.col("c") / 1000.0).cast("long").alias("shards"))  # one row each
+    return v.spark.createDataFrame([(MatrixFrame(v.sites, v.samples).shard_count(1000.0),)], "shards long")
 
 
 @query("SELECT event_id, ts, json_extract_string(props, '$.' || json_keys(props)[1]) AS first_value FROM events")
@@ -550,3 +546,6 @@ def q_liftover(v):
 @query("SELECT site_id, CASE WHEN position % 2 = 0 THEN position END AS even FROM v_sites", "v_sites")
 def q_or_missing(v):
     return v.sites.select("site_id", or_missing(F.col("position") % 2 == 0, F.col("position")).alias("even"))
+
+
+from varloom.queries import engine  # noqa: E402,F401  registers its queries here
