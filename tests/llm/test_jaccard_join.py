@@ -61,6 +61,7 @@ def test_matches_brute_force(spark):
 def test_near_copies_around_the_threshold(spark, monkeypatch, block, chunk):
     monkeypatch.setattr(J, "BLOCK", block)
     monkeypatch.setattr(J, "CHUNK", chunk)
+    monkeypatch.setattr(J, "ASKERS", chunk)
     check(spark, near(2))
     check(spark, near(3, edits=14), 5, 80)
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varloom.llm.common import Words, drop_ids, durable, join_keyed, keep_ids, key_rows, slices, table
+from varloom.llm.common import BROADCAST_IDS, HOT_KEYS, Words, drop_ids, durable, join_keyed, keep_ids, key_rows, slices, table
 from varloom.llm.components import components
 
 #: Words of a shingle; hundredths of the union that the intersection must reach.
@@ -35,6 +35,8 @@ SHINGLE, PERCENT = 4, 85
 SHARED, HOME = 16, 8
 #: Components of this many ids or more are groups of their own; members of a group that are compared at once, about.
 BLOCK, CHUNK = 64, 128
+#: Partners that an id meets in one chunk, about.
+ASKERS = 2_000
 #: Counters of the sketch, as a power of two, and the rows that a task hands it on in.
 SKETCH_BITS, SKETCH_ROWS = 20, 64
 
@@ -185,24 +187,25 @@ def _open(percent: int):
     return run
 
 
-def linked_pairs(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Those of the pairs (a, b) whose sets link, as a durable table. pairs: durable and distinct."""
-    ids = durable(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "pair-ids")
+def _met(docs: DataFrame, roles: DataFrame, k: int, percent: int) -> DataFrame:
+    """Durable links (a, b) of askers with members. roles: durable, with home, block, chunk (who meets where), asks (1 or
+    0), id and g (component). The sets are made where the texts are read, and each is sent once for each of its roles."""
+    sets = _sets(docs, durable(roles.select("id").distinct(), "role-ids"), k)
+    n = BROADCAST_IDS // 5  # a role takes five times the bytes of an id
+    roles = F.broadcast(roles) if roles.limit(n + 1).count() <= n else roles
+    dealt = sets.join(roles, "id").repartition("home", "block", "chunk").sortWithinPartitions("home", "block", "chunk", "asks")
+    return durable(dealt.select("home", "block", "chunk", "asks", "id", "g", "tokens").mapInArrow(_open(percent), "a long, b long").distinct(), "links")
 
-    def compare(batches):
-        for b in batches:
-            ok = []
-            for x, y in zip(b.column("x").to_pylist(), b.column("y").to_pylist()):
-                x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
-                if len(x) > len(y):
-                    x, y = y, x
-                both = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum()) if len(x) else 0
-                ok.append(100 * both >= percent * (len(x) + len(y) - both) and both > 0)
-            yield pa.RecordBatch.from_pydict({"a": b.column("a"), "b": b.column("b")}).filter(pa.array(ok, pa.bool_()))
 
-    s = _sets(docs, ids, k)
-    got = pairs.join(s.select(F.col("id").alias("a"), F.col("tokens").alias("x")), "a").join(s.select(F.col("id").alias("b"), F.col("tokens").alias("y")), "b")
-    return durable(got.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long").distinct(), "links")
+def linked_pairs(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
+    """Those of the pairs (a, b) whose sets link, as a durable table. pairs: durable and distinct. An id with many
+    partners meets them in chunks of ASKERS."""
+    chunks = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / ASKERS).alias("chunks"))
+    hot = durable(chunks.filter(F.col("chunks") > max(1, pairs.count() // ASKERS // HOT_KEYS)), "hot-partners")  # HOT_KEYS rows at most
+    many = F.coalesce("chunks", F.lit(1).cast("long"))
+    ask = pairs.join(F.broadcast(hot), "b", "left").select(F.col("b").alias("home"), F.lit(-1).cast("long").alias("block"), F.pmod(F.xxhash64("a"), many).alias("chunk"), F.lit(1).alias("asks"), F.col("a").alias("id"), F.col("a").alias("g"))
+    stay = ask.select("home", "block", "chunk", F.lit(0).alias("asks"), F.col("home").alias("id"), F.col("home").alias("g")).distinct()
+    return _met(docs, durable(ask.unionByName(stay), "pair-roles"), k, percent)
 
 
 def jaccard_links(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -257,9 +260,7 @@ def jaccard_links(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) ->
     stay = members.join(chunks, ["home", "block"]).select("id", "g", "home", "block", F.pmod(F.xxhash64("id"), "chunks").alias("chunk"), F.lit(0).alias("asks"))
     ask = opened.join(chunks, ["home", "block"]).select("id", "g", "home", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), F.lit(1).alias("asks"))
     roles = durable(stay.unionByName(ask), "roles")
-    sets = _sets(docs, durable(roles.select("id").distinct(), "role-ids"), k)
-    dealt = roles.join(sets, "id").repartition("home", "block", "chunk").sortWithinPartitions("home", "block", "chunk", "asks")
-    more = durable(dealt.select("home", "block", "chunk", "asks", "id", "g", "tokens").mapInArrow(_open(percent), "a long, b long"), "links")
+    more = _met(docs, roles, k, percent)
     return profile, classes, first_links.unionByName(more)
 
 
