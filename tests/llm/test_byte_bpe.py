@@ -39,15 +39,20 @@ def merge(ranks, piece):
         parts[i : i + 2] = [parts[i] + parts[i + 1]]
 
 
-def test_as_plain_merges(spark):
+def regex_pieces():
     import regex
 
     with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    return ranks, lambda t: regex.findall(public_tokenizers.PATTERN, t)
+
+
+def test_as_plain_merges(spark):
+    ranks, pieces = regex_pieces()
     rows = [(1, "The quick brown foxes' dens aren't here, 12345 times!"), (2, "naïve façade 漢字かな 🙂🙂  \n\n\t x"), (3, "antidisestablishmentarianism" * 3), (4, "\x00\x01 <|endoftext|> ")]
     want = []
     for i, t in rows:
-        ids = [x for piece in regex.findall(public_tokenizers.PATTERN, t) for x in merge(ranks, piece.encode())]
+        ids = [x for piece in pieces(t) for x in merge(ranks, piece.encode())]
         want.append((i, len(ids), hashlib.sha256(array("I", ids).tobytes()).hexdigest()))
     assert rows_of(encode(table(spark, rows), chunk=16, overlap=6), "doc_id", "n_tokens", "ids_sha256") == want
 

@@ -24,7 +24,7 @@ SAMPLE_TOXIC, SAMPLE_CLEAN = 2_000, 4_000
 ROUNDS, RATE, DECAY, SMOOTH = 60, 0.1, 1e-2, 0.5
 THRESHOLD = 0.7
 #: The bias puts the threshold between two quantiles of the sample's rows, of the clean and of the toxic ones, so far up.
-CLEAN_BELOW, TOXIC_BELOW, UP = 0.998, 0.2, 0.1
+CLEAN_BELOW, TOXIC_BELOW, UP = 0.998, 0.2, 0.3
 
 
 class Features:
