@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from weakref import WeakKeyDictionary
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,8 @@ SPACE_CLASS = r"[\x20\x09-\x0D]+"
 BROADCAST_IDS = 2_000_000
 #: Rows of a keyed table that join_keyed() broadcasts whole; and, of a larger one, at most so many of the hottest keys.
 BROADCAST_KEYS, HOT_KEYS = 250_000, 10_000
+#: Folders of the tables that durable() wrote.
+_FOLDERS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,7 +39,17 @@ def durable(df: DataFrame, label: str, *by: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").partitionBy(*by).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _FOLDERS[out] = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that durable() wrote, once all that reads them is written as well."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(_FOLDERS.pop(df))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def key_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

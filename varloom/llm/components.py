@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from varloom.llm.common import durable
+from varloom.llm.common import discard, durable
 
 
 def _least(edges: DataFrame) -> DataFrame:
@@ -25,7 +25,8 @@ def components(links: DataFrame) -> DataFrame:
         large = _least(both).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u > v").distinct()
         near = _least(large)
         small = near.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(near.select("u", F.col("m").alias("v"))).filter("u > v").distinct()
-        edges = durable(small, "edges")
+        last, edges = edges, durable(small, "edges")
+        discard(last)
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:
             break

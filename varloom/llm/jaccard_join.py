@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varloom.llm.common import BROADCAST_IDS, HOT_KEYS, Words, drop_ids, durable, join_keyed, keep_ids, key_rows, slices, table
+from varloom.llm.common import BROADCAST_IDS, HOT_KEYS, Words, discard, drop_ids, durable, join_keyed, keep_ids, key_rows, slices, table
 from varloom.llm.components import components
 
 #: Words of a shingle; hundredths of the union that the intersection must reach.
@@ -188,13 +188,16 @@ def _open(percent: int):
 
 
 def _met(docs: DataFrame, roles: DataFrame, k: int, percent: int) -> DataFrame:
-    """Durable links (a, b) of askers with members. roles: durable, with home, block, chunk (who meets where), asks (1 or
-    0), id and g (component). The sets are made where the texts are read, and each is sent once for each of its roles."""
-    sets = _sets(docs, durable(roles.select("id").distinct(), "role-ids"), k)
+    """Durable links (a, b) of askers with members. roles: durable, discarded here, with home, block, chunk (who meets
+    where), asks (1 or 0), id and g (component). The sets are made where the texts are read, and each is sent once for each
+    of its roles."""
+    ids = durable(roles.select("id").distinct(), "role-ids")
     n = BROADCAST_IDS // 5  # a role takes five times the bytes of an id
-    roles = F.broadcast(roles) if roles.limit(n + 1).count() <= n else roles
-    dealt = sets.join(roles, "id").repartition("home", "block", "chunk").sortWithinPartitions("home", "block", "chunk", "asks")
-    return durable(dealt.select("home", "block", "chunk", "asks", "id", "g", "tokens").mapInArrow(_open(percent), "a long, b long").distinct(), "links")
+    few = roles.limit(n + 1).count() <= n
+    dealt = _sets(docs, ids, k).join(F.broadcast(roles) if few else roles, "id").repartition("home", "block", "chunk").sortWithinPartitions("home", "block", "chunk", "asks")
+    links = durable(dealt.select("home", "block", "chunk", "asks", "id", "g", "tokens").mapInArrow(_open(percent), "a long, b long").distinct(), "links")
+    discard(roles, ids)
+    return links
 
 
 def linked_pairs(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
@@ -223,8 +226,10 @@ def jaccard_links(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) ->
 
     listed = drop_ids(docs.filter("doc_id is not null"), copies).mapInArrow(_prefixes(levels, k, percent), "token long, id long")
     listed = durable(listed, "prefixes")
+    discard(copies)
     leads = listed.groupBy("token").agg(F.min("id").alias("lead"), F.max("id").alias("last")).filter("lead < last").drop("last")
     shared = durable(listed.join(leads, "token"), "shared")
+    discard(listed)
     # what an id's tokens need not carry: sizes of its set, or of both where the id repeats, and how many tokens a partner shares
     least = lambda n: F.floor((n * percent + 99) / 100)
     sized = known.groupBy(F.col("doc_id").alias("id")).agg(F.min("n").cast("int").alias("n"), F.max("n").cast("int").alias("n2"))
@@ -245,6 +250,7 @@ def jaccard_links(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) ->
     held = shared.select("token", "id").join(own, "id")
     spans = held.groupBy("token").agg(F.min("g").alias("low"), F.max("g").alias("high")).filter("low < high").select("token")
     held = durable(held.join(spans, "token", "left_semi"), "spanning")
+    discard(shared, counted, sized)
     matrix = held.groupBy("token", "home", "block").agg(F.first("weight").alias("weight"), F.min("n").alias("least"), F.max("n2").alias("most"))
     q, m = held.alias("q"), matrix.alias("m")
     larger = "(q.block = -1 or m.weight > q.weight or m.weight = q.weight and m.block < q.block) and not (m.block = -1 and q.block <> -1) and m.block <> if(q.block = -1, -2, q.block)"
@@ -255,11 +261,13 @@ def jaccard_links(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) ->
     )
     places = durable(held.select("id", "g", "home", "block").distinct(), "places")
     opened = durable(opened.select("id", "home", "block").join(places.select("id", "g"), "id"), "opened")
+    discard(held)
     members = places.join(opened.select("home", "block").distinct(), ["home", "block"], "left_semi")
     chunks = members.groupBy("home", "block").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("chunks"))
     stay = members.join(chunks, ["home", "block"]).select("id", "g", "home", "block", F.pmod(F.xxhash64("id"), "chunks").alias("chunk"), F.lit(0).alias("asks"))
     ask = opened.join(chunks, ["home", "block"]).select("id", "g", "home", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), F.lit(1).alias("asks"))
     roles = durable(stay.unionByName(ask), "roles")
+    discard(places, opened)
     more = _met(docs, roles, k, percent)
     return profile, classes, first_links.unionByName(more)
 
