@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varloom.llm.common import HOT_KEYS, Words, drop_ids, durable, keep_ids, key_rows, runs, table, window_min
+from varloom.llm.common import HOT_KEYS, Words, discard, drop_ids, durable, keep_ids, key_rows, runs, table, window_min
 
 WINDOW = 50
 #: Anchors of one owner that one salt holds, about; a segment has some dozens.
@@ -197,6 +197,7 @@ def repeated_runs(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     anchors = durable(named.mapInArrow(_anchors(window), "anchor long, doc_id long"), "anchors")
     owners = anchors.groupBy("anchor").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last")).filter("owner < last").drop("last")
     marks = durable(anchors.join(owners, "anchor"), "recurring")
+    discard(anchors)
     # only owners above the bound have salts, HOT_KEYS of them at most, so that their table is broadcast
     bound = max(SALT_ANCHORS, marks.count() // HOT_KEYS)
     salts = marks.groupBy("owner").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > bound).select("owner", F.ceil(F.col("c") / SALT_ANCHORS).alias("salts"))
@@ -205,6 +206,7 @@ def repeated_runs(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     ids = durable(marks.select("doc_id").distinct(), "recurring-ids")
     holders = keep_ids(named, ids).join(lists, "doc_id")
     segments = durable(holders.select("doc_id", "th", "text", "marks").mapInArrow(_segments(window), "owner long, salts long, doc_id long, th long, start int, text binary"), "segments")
+    discard(marks, ids)
     hashes = segments.select("owner", "doc_id", "text").mapInArrow(_window_hashes(window), "owner long, doc_id long, wh long")
     confirmed = hashes.groupBy("owner", "wh").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last")
     firsts = confirmed.groupBy("owner", F.col("first").alias("doc_id")).agg(F.collect_list("wh").alias("hashes"))  # one document's
@@ -212,7 +214,9 @@ def repeated_runs(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     passages = passages.distinct().select("owner", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"), F.lit(-1).alias("start"), "doc_id", F.lit(0).cast("long").alias("th"), "text")
     rows = segments.select("owner", F.pmod(F.xxhash64("doc_id"), "salts").alias("salt"), "start", "doc_id", "th", "text")
     dealt = passages.unionByName(rows).repartition("owner", "salt").sortWithinPartitions("owner", "salt", "start")
-    return durable(dealt.mapInArrow(_stream(window), "doc_id long, th long, start long, end long"), "repeated")
+    repeated = durable(dealt.mapInArrow(_stream(window), "doc_id long, th long, start long, end long"), "repeated")
+    discard(segments)
+    return repeated
 
 
 def _kept(text: str | None, spans: list) -> tuple[int, int, str]:
