@@ -8,7 +8,10 @@ from varloom.llm.exact_dedup import OP1_SQL, op1_exact_dedup
 from varloom.llm.html_text import op5_html_text
 from varloom.llm.jaccard_join import OP10_SQL, op10_jaccard_join
 from varloom.llm.language_id import op4_language_id
+from varloom.llm.lexical_search import OP11_SQL, op11_lexical_search
 from varloom.llm.lm_scoring import op7_lm_scoring
+from varloom.llm.prefix_trie import OP13_SQL, op13_prefix_trie
+from varloom.llm.source_mix import OP12_SQL, op12_source_mix
 from varloom.llm.substring_dedup import OP2_SQL, op2_substring_dedup
 from varloom.llm.token_shards import op3_token_shards
 from varloom.llm.toxicity import op6_toxicity
@@ -24,10 +27,16 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_source_mix": op12_source_mix,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 SQL = {
     "op1_exact_dedup": OP1_SQL,
     "op2_substring_dedup": OP2_SQL,
     "op8_decontaminate": OP8_SQL,
     "op10_jaccard_join": OP10_SQL,
+    "op11_lexical_search": OP11_SQL,
+    "op12_source_mix": OP12_SQL,
+    "op13_prefix_trie": OP13_SQL,
 }
