@@ -87,3 +87,26 @@ def downcode(gt: Column, allele: Column) -> Column:
     one = lambda a: (a == allele).cast("int")
     low, high = F.least(one(gt["a0"]), one(gt["a1"])), F.greatest(one(gt["a0"]), one(gt["a1"]))
     return F.when(gt["a1"].isNull(), call(one(gt["a0"]))).otherwise(F.when(gt["phased"], call(one(gt["a0"]), one(gt["a1"]), True)).otherwise(call(low, high)))
+
+
+def genotype_number(a: Column, b: Column) -> Column:
+    """Place of the genotype of two alleles among likelihoods: 0/0, 0/1, 1/1, 0/2, 1/2, 2/2, ..."""
+    low, high = F.least(a, b), F.greatest(a, b)
+    return (high * (high + 1) / 2).cast("int") + low
+
+
+def genotype_pairs(alleles: Column, pair) -> Column:
+    """pair(a, b) for each genotype of these alleles, in the order of likelihoods."""
+    return F.flatten(F.transform(alleles, lambda b, n: F.transform(F.slice(alleles, F.lit(1), n + 1), lambda a: pair(a, b))))
+
+
+def subset_likelihoods(pl: Column, kept: Column) -> Column:
+    """Likelihoods of the genotypes of the kept alleles (their places), which take their order."""
+    return F.when(pl.isNotNull(), F.transform(genotype_pairs(kept, genotype_number), lambda g: F.get(pl, g)))
+
+
+def global_likelihoods(lpl: Column, la: Column, n_alleles: Column) -> Column:
+    """Likelihoods of all genotypes of the site from those of local alleles; missing for a genotype of an unlisted allele."""
+    place = lambda a: (F.array_position(la, a) - 1).cast("int")
+    one = lambda a, b: F.when((place(a) >= 0) & (place(b) >= 0), F.get(lpl, genotype_number(place(a), place(b))))
+    return F.when(lpl.isNotNull(), genotype_pairs(F.sequence(F.lit(0), n_alleles - 1), one))

@@ -48,17 +48,18 @@ def interval_lookup(df: DataFrame, segments: DataFrame, contig: str, position: s
     return d.join(s, test, "left").drop("_bin", "_b")
 
 
-def densify(sites: DataFrame, blocks: DataFrame, samples: DataFrame | None = None, by: list[str] | None = None) -> DataFrame:
+def densify(sites: DataFrame, blocks: DataFrame, samples: DataFrame | None = None, by: list[str] | None = None, salts: int = 8) -> DataFrame:
     """For each (site, sample), the reference block that covers the site, if any.
 
     sites: by + position and more; blocks: by + s, start, end and fields; blocks of a sample don't overlap. by: contig,
     unless neither has it.
-    Blocks are cut at bins of the position and joined by (by, bin) with the exact test, so the work is spread over
-    samples and bins alike and only covered cells make rows; no sample's blocks meet in one task."""
+    Blocks are cut at bins of the position and joined by (by, bin, salt) with the exact test; the salt is a hash of the sample,
+    and each site goes to all of them, so the samples of a bin are spread over `salts` tasks (more for larger cohorts) and only
+    covered cells make rows; no sample's blocks meet in one task."""
     by, size = by or [c for c in ("contig",) if c in sites.columns or c in blocks.columns], 10_000
-    b = blocks.withColumn("_bin", F.explode(F.sequence(F.floor(F.col("start") / size), F.floor(F.col("end") / size))))
-    p = sites.withColumn("_bin", F.floor(F.col("position") / size))
-    out = p.join(b, [*by, "_bin"]).filter(F.col("position").between(F.col("start"), F.col("end"))).drop("_bin")
+    b = blocks.withColumn("_bin", F.explode(F.sequence(F.floor(F.col("start") / size), F.floor(F.col("end") / size)))).withColumn("_salt", F.pmod(F.xxhash64("s"), F.lit(salts)).cast("int"))
+    p = sites.withColumn("_bin", F.floor(F.col("position") / size)).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    out = p.join(b, [*by, "_bin", "_salt"]).filter(F.col("position").between(F.col("start"), F.col("end"))).drop("_bin", "_salt")
     return out if samples is None else out.join(samples.select("s"), "s", "left_semi")
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,8 +12,11 @@ from varloom.functions.calls import call, is_non_ref
 from varloom.operators import split
 from varloom.operators.joins import densify, in_intervals
 from varloom.operators.matrix import MatrixFrame
+from varloom.sources.readers import exists
 
 KEY = ["contig", "position"]
+#: Intervals that are tested in the scan of blocks; more are joined.
+FEW_INTERVALS = 100
 
 
 @dataclass
@@ -24,19 +28,28 @@ class SparseFrame:
     blocks: DataFrame
     cols: DataFrame
 
-    def write(self, path: str, mode: str = "overwrite") -> None:
-        for name, part in (("variants", self.variants), ("blocks", self.blocks), ("cols", self.cols)):
+    def write(self, path: str, mode: str = "overwrite", target_records: int | None = None) -> None:
+        """Three tables; that of the columns comes last, so a cohort with whole columns is whole. With target_records, variants
+        and blocks are written in genome ranges of about so many records, so that reading an interval opens few of them."""
+        for name, part, at in (("variants", self.variants, "position"), ("blocks", self.blocks, "start"), ("cols", self.cols, None)):
+            if target_records and at:
+                n = max(1, -(-part.count() // target_records))
+                part = part.repartitionByRange(n, "contig", at, "s").sortWithinPartitions("contig", at)
             part.write.mode(mode).parquet(f"{path}/{name}")
 
     @classmethod
     def read(cls, spark: SparkSession, path: str, intervals: list[tuple[str, int, int]] | None = None) -> SparseFrame:
-        """With closed intervals, only variants inside them and blocks that reach into them; both tests reach the scan
-        where the intervals are few."""
+        """With closed intervals, only variants inside them and blocks that reach into them. Up to FEW_INTERVALS make a test that
+        reaches the scan; more are joined."""
         variants, blocks, cols = (spark.read.parquet(f"{path}/{n}") for n in ("variants", "blocks", "cols"))
         if intervals is not None:
             variants = in_intervals(variants, intervals)
-            frame = F.broadcast(spark.createDataFrame(intervals, "c string, s1 int, e1 int"))
-            blocks = blocks.join(frame, (F.col("contig") == F.col("c")) & (F.col("start") <= F.col("e1")) & (F.col("end") >= F.col("s1")), "left_semi")
+            if len(intervals) <= FEW_INTERVALS:
+                reach = lambda c, s, e: (F.col("contig") == c) & (F.col("start") <= e) & (F.col("end") >= s)
+                blocks = blocks.filter(reduce(lambda x, y: x | y, [reach(*i) for i in intervals], F.lit(False)))
+            else:
+                frame = F.broadcast(spark.createDataFrame(intervals, "c string, s1 int, e1 int"))
+                blocks = blocks.join(frame, (F.col("contig") == F.col("c")) & (F.col("start") <= F.col("e1")) & (F.col("end") >= F.col("s1")), "left_semi")
         return cls(variants, blocks, cols)
 
     def remove(self, gone: DataFrame) -> SparseFrame:
@@ -46,17 +59,36 @@ class SparseFrame:
         gone = gone.select("s").distinct()
         return SparseFrame(entries.join(sites, KEY), self.blocks.join(gone, "s", "left_anti"), self.cols.join(gone, "s", "left_anti"))
 
-    def combine(self, other: SparseFrame) -> SparseFrame:
-        """Both cohorts in one: each site has the longest reference and all alternate alleles, each entry its own by index;
-        other fields of entries and the blocks stay. Columns of the second come after those of the first; a sample that
-        is in both is an error."""
-        if both := self.cols.join(other.cols, "s", "left_semi").select("s").limit(10).collect():
-            raise ValueError(f"samples are in both: {[r[0] for r in both]}")
+    def combine(self, *others: SparseFrame) -> SparseFrame:
+        """These cohorts in one: each site has the longest reference and all alternate alleles, each entry its own by index and
+        its likelihoods as they are. Fields that only some cohorts have are missing for the others' entries and blocks. Columns
+        follow in the order of the cohorts; a sample that is in two of them is an error."""
+        frames = [self, *others]
+        cols = reduce(DataFrame.unionByName, [f.cols.select(F.lit(k).alias("_f"), "col_idx", "s") for k, f in enumerate(frames)])
+        if both := cols.groupBy("s").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("s").limit(10).collect():
+            raise ValueError(f"samples are in two cohorts: {[r[0] for r in both]}")
+        sizes = dict(cols.groupBy("_f").agg(F.max("col_idx") + 1).collect())  # one row for each cohort that is merged at once
+        before = [sum(sizes.get(j, 0) for j in range(k)) for k in range(len(frames))]
+        cols = cols.select((F.col("col_idx") + F.get(F.array(*[F.lit(n).cast("long") for n in before]), F.col("_f"))).cast(self.cols.schema["col_idx"].dataType).alias("col_idx"), "s")
         own = lambda v: v.select("*", F.col("alleles")[0].alias("ref"), F.transform(F.filter("LA", lambda a: a > 0), lambda a: F.get("alleles", a)).alias("alts")).drop("alleles", "LA").withColumnsRenamed({"LGT": "GT", "LAD": "AD"})
-        sites, entries = split.combine(own(self.variants).unionByName(own(other.variants)))
-        after = (self.cols.agg(F.max("col_idx")).first()[0] or 0) + 1
-        cols = self.cols.select("col_idx", "s").unionByName(other.cols.select((F.col("col_idx") + after).alias("col_idx"), "s"))
-        return SparseFrame(entries.join(sites, KEY), self.blocks.unionByName(other.blocks), cols)
+        union = lambda parts: reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
+        sites, entries = split.combine(union([own(f.variants) for f in frames]))
+        return SparseFrame(entries.join(sites, KEY), union([f.blocks for f in frames]), cols)
+
+    @classmethod
+    def merge_tree(cls, frames: list[SparseFrame], path: str, branch: int = 50, target_records: int = 600_000) -> SparseFrame:
+        """Many cohorts in one, `branch` at a time, level by level, each merge written under path in genome ranges: a plan never
+        reads more than `branch` cohorts, and a build that was stopped goes on after the merges that are whole."""
+        spark, level = frames[0].cols.sparkSession, 0
+        while len(frames) > 1:
+            merged = []
+            for k, group in enumerate(frames[at : at + branch] for at in range(0, len(frames), branch)):
+                out = f"{path}/level-{level}/{k}"
+                if not exists(spark, f"{out}/cols"):
+                    group[0].combine(*group[1:]).write(out, target_records=target_records)
+                merged.append(cls.read(spark, out))
+            frames, level = merged, level + 1
+        return frames[0]
 
     def dense(self) -> MatrixFrame:
         """A matrix with an entry for each sample whose variant or reference block is known there; rows with one allele or

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from varloom.functions.calls import downcode, global_call, total
+from varloom.functions.calls import downcode, global_call, subset_likelihoods, total
 from varloom.functions.variants import min_rep
 
 
@@ -38,8 +38,9 @@ def split_entries(cells: DataFrame, keys: list[str]) -> DataFrame:
 
 def combine(samples: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(sites, entries) from one row per (contig, position, s, ref, alts, GT, AD): the site's alleles are the longest
-    reference and all alternates in order, and each sample keeps only its own alleles, by index, and its other fields. One
-    shuffle by site, whatever the number of samples; alleles are gathered, samples aren't."""
+    reference and all alternates in order, and each sample keeps only its own alleles, by index, and its other fields: local
+    alleles keep their order, so values for each of them, and likelihoods LPL, stay as they are. One shuffle by site, whatever
+    the number of samples; alleles are gathered, samples aren't."""
     key = ["contig", "position"]
     longest = samples.groupBy(*key).agg(F.max_by("ref", F.length("ref")).alias("site_ref"))
     wide = samples.join(longest, key)
@@ -54,7 +55,7 @@ def combine(samples: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def remove_samples(sites: DataFrame, entries: DataFrame, gone: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame]:
     """(sites, entries) without these samples and without alternate alleles that no call of the rest carries; sites
-    without such alleles go."""
+    without such alleles go. Likelihoods LPL, if there, keep those of the genotypes that are left, in their new order."""
     left = entries.join(gone.select("s").distinct(), "s", "left_anti")
     called = left.select(*key, F.explode(F.array("LGT.a0", "LGT.a1")).alias("_l"), "LA").select(*key, F.get("LA", F.col("_l")).alias("allele")).filter("allele > 0").distinct()
     live = called.groupBy(*key).agg(F.array_sort(F.collect_set("allele")).alias("live"))
@@ -66,5 +67,6 @@ def remove_samples(sites: DataFrame, entries: DataFrame, gone: DataFrame, key: l
     e = e.withColumn("_k", keep)
     place = lambda a: (F.array_position(F.col("_k.i"), a) - 1).cast("int")
     lgt = F.when(F.col("LGT").isNotNull(), F.struct(place(F.col("LGT.a0")).alias("a0"), place(F.col("LGT.a1")).alias("a1"), F.col("LGT.phased").alias("phased")))
-    rest = [c for c in left.columns if c not in ("LA", "LGT", "LAD", *key)]
-    return new_sites, e.select(*key, *rest, F.transform("_k", lambda x: index(x["a"])).alias("LA"), lgt.alias("LGT"), F.transform("_k", lambda x: F.get("LAD", x["i"])).alias("LAD"))
+    rest = [c for c in left.columns if c not in ("LA", "LGT", "LAD", "LPL", *key)]
+    lpl = [subset_likelihoods(F.col("LPL"), F.col("_k.i")).alias("LPL")] if "LPL" in left.columns else []
+    return new_sites, e.select(*key, *rest, F.transform("_k", lambda x: index(x["a"])).alias("LA"), lgt.alias("LGT"), F.transform("_k", lambda x: F.get("LAD", x["i"])).alias("LAD"), *lpl)

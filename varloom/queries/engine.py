@@ -20,7 +20,10 @@ from varloom.sources import readers
 def scratch(v, name: str) -> str:
     """A new path in the folder that all executors share."""
     spark = v.spark
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints"
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    base = base or f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints"
     return f"{base}/queries/{uuid.uuid4().hex}/{name}"
 
 

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from varloom.functions.variants import GRCH38_LENGTHS, contig_index
+from varloom.sources.blockgzip import write_lines
+from varloom.sources.files import list_files
 
 _KIND = {T.IntegerType: "Integer", T.LongType: "Integer", T.FloatType: "Float", T.DoubleType: "Float", T.BooleanType: "Flag"}
 
@@ -54,7 +56,8 @@ def _sorted(df: DataFrame, shards: int) -> DataFrame:
 def write_sites(df: DataFrame, path: str, shards: int, separate_header: bool = False, compression: str = "gzip") -> list[str]:
     """Shards of site lines in genome order and their manifest (shard-manifest.txt, returned as a list).
 
-    A header stands in each shard, or, separate, in a first file of its own (00000-header). Readers go by the manifest."""
+    A header stands in each shard, or, separate, in a first file of its own (00000-header). Readers go by the manifest.
+    compression: block for block gzip, else one that Spark's text writer has."""
     spark = df.sparkSession
     head = header(df.schema)
     body = _sorted(df, shards).select(site_lines(df).alias("value"))
@@ -67,14 +70,16 @@ def write_sites(df: DataFrame, path: str, shards: int, separate_header: bool = F
             yield pa.RecordBatch.from_pydict({"value": pa.array([*(head if first else []), *b.column(0).to_pylist()], pa.string())})
             first = False
 
-    body = body if separate_header else body.mapInArrow(with_header, "value string")
-    body.write.mode("overwrite").option("compression", compression).text(f"{path}/parts")
+    if compression == "block":
+        write_lines(body, f"{path}/parts", head=None if separate_header else head)
+    else:
+        body = body if separate_header else body.mapInArrow(with_header, "value string")
+        body.write.mode("overwrite").option("compression", compression).text(f"{path}/parts")
     names = []
     if separate_header:
         spark.createDataFrame([(x,) for x in head], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/00000-header")
         names.append("00000-header")
-    files = sorted(r[0].rsplit("/", 1)[-1] for r in spark.read.text(f"{path}/parts").select(F.input_file_name()).distinct().collect())
-    names += [f"parts/{f}" for f in files]
+    names += [f"parts/{f.rsplit('/', 1)[-1]}" for f in list_files(spark, f"{path}/parts")]
     spark.createDataFrame([(i, n) for i, n in enumerate(names)], "i int, value string").coalesce(1).sortWithinPartitions("i").select("value").write.mode("overwrite").text(f"{path}/shard-manifest.txt")
     return names
 

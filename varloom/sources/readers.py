@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from varloom.sources.blockgzip import read_lines
+
 
 def lines_of(spark: SparkSession, path: str) -> list[str]:
     """A small file's lines, by Spark's reader so that any store works, in order."""
@@ -12,19 +14,24 @@ def lines_of(spark: SparkSession, path: str) -> list[str]:
     return text[0].splitlines() if text else []
 
 
-def read_variants(spark: SparkSession, paths: str | list[str], info: dict[str, str] | None = None, genotypes: bool = False) -> DataFrame:
-    """Sites of variant text files (plain or gzip): contig, position, rsid, alleles, qual, filters, info.
+def variant_lines(spark: SparkSession, paths: str | list[str], block_gzip: bool = False) -> DataFrame:
+    """value and file of the lines of text files, plain or gzip; a gzip file is one task unless it is read as block gzip."""
+    return read_lines(spark, paths) if block_gzip else spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file"))
+
+
+def read_variants(spark: SparkSession, paths: str | list[str], info: dict[str, str] | None = None, genotypes: bool = False, block_gzip: bool = False) -> DataFrame:
+    """Sites of variant text files (plain, gzip or block gzip): contig, position, rsid, alleles, qual, filters, info.
 
     info stays a map of texts, so that a field with a wrong declared type does no harm; the named fields (name: Spark
-    type, arrays split at commas) become a struct instead. genotypes: also samples, the texts after FORMAT, and source."""
-    raw = spark.read.text(paths).filter(~F.col("value").startswith("#") & (F.trim("value") != ""))
+    type, arrays split at commas) become a struct instead. genotypes: also format, samples (the texts after FORMAT) and source."""
+    raw = variant_lines(spark, paths, block_gzip).filter(~F.col("value").startswith("#") & (F.trim("value") != ""))
     f = F.split("value", "\t")
     pairs = F.when(f[7] != ".", F.transform(F.split(f[7], ";"), lambda x: F.struct(F.split(x, "=", 2)[0].alias("k"), F.get(F.split(x, "=", 2), F.lit(1)).alias("v"))))
     fields = F.map_from_entries(F.coalesce(pairs, F.array().cast("array<struct<k:string,v:string>>")))
     as_map = fields if info is None else F.struct(*[(F.map_contains_key(fields, k) if t == "boolean" else _typed(fields[k], t)).alias(k) for k, t in info.items()])
     filters = F.when(f[6] == ".", F.lit(None)).when(f[6] == "PASS", F.array().cast("array<string>")).otherwise(F.split(f[6], ";"))
     alts = F.when(f[4] == ".", F.array().cast("array<string>")).otherwise(F.split(f[4], ","))
-    more = [F.get(f, F.lit(8)).alias("format"), F.slice(f, 10, 1_000_000).alias("samples"), F.input_file_name().alias("source")] if genotypes else []
+    more = [F.get(f, F.lit(8)).alias("format"), F.slice(f, 10, 1_000_000).alias("samples"), F.col("file").alias("source")] if genotypes else []
     return raw.select(f[0].alias("contig"), f[1].cast("int").alias("position"), F.nullif(f[2], F.lit(".")).alias("rsid"), F.concat(F.array(f[3]), alts).alias("alleles"), f[5].try_cast("double").alias("qual"), filters.alias("filters"), as_map.alias("info"), *more)
 
 
