@@ -86,6 +86,11 @@ def family_ids(pedigree: list[tuple[str, str]], families: list[str]) -> tuple[li
     return ids, short_hash(ids)
 
 
+def family_suffix(ids: list[str], families: list[str]) -> str:
+    """What is added to names of outputs that only hold these samples of these families."""
+    return f"{len(ids)}_sgs-{len(set(families))}_families-{short_hash(ids)}"
+
+
 def require_inputs(samples: dict[str, str | None]) -> None:
     """Refuse to run if a sample has no input file."""
     if missing := sorted(s for s, path in samples.items() if not path):

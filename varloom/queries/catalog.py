@@ -548,4 +548,4 @@ def q_or_missing(v):
     return v.sites.select("site_id", or_missing(F.col("position") % 2 == 0, F.col("position")).alias("even"))
 
 
-from varloom.queries import cohorts, engine  # noqa: E402,F401  register their queries here
+from varloom.queries import annotation, cohorts, engine, recalibration  # noqa: E402,F401  register their queries here

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import json
+import time
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from varloom.sources.readers import checkpoint, exists
+
 # How a field name's special characters are written.
 SPECIAL = {".": "_$dot$_", ",": "_$comma$_", "#": "_$hash$_", "*": "_$star$_", "(": "_$lp$_", ")": "_$rp$_", "[": "_$lsb$_", "]": "_$rsb$_", "{": "_$lcb$_", "}": "_$rcb$_"}
 BAD_FIRST = ("_", "-", "+")
@@ -69,23 +72,66 @@ def write_bulk(df: DataFrame, path: str, index: str, id_col: str | None = None)
     df.select(F.concat(action, F.lit("\n"), doc).alias("value")).write.mode("overwrite").text(path)
 
 
-def export(df: DataFrame, client, index: str, shards: int, batch: int = 5_000, meta: dict | None = None) -> None:
-    """Load a live index: an existing one is dropped, the mapping is made, executors send batches, segments are merged.
-
-    client: exists(name), delete(name), create(name, body), bulk(name, list of documents), merge(name); it is pickled."""
-    if client.exists(index):
-        client.delete(index)
-    client.create(index, index_body(df, shards, meta))
+# Below so many shards the export waits until none stands on the nodes that only load.
+FEW_SHARDS, LOADING_NODES = 25, "elasticsearch-es-data-loading*"
+
+
+def _again(call, retries: int | None, wait: float, longest: float = 300.0):
+    """call(), tried again after pauses that double; retries: how often, None without end."""
+    tried = 0
+    while True:
+        try:
+            return call()
+        except Exception:
+            if tried == retries:
+                raise
+            time.sleep(min(longest, wait * 2**tried))
+            tried += 1
+
+
+def wait_for_shards(client, index: str, attempts: int = 1000, wait: float = 5.0) -> None:
+    """Return once no shard of the index stands on a loading node."""
+    for _ in range(attempts):
+        if LOADING_NODES not in client.shards(index):
+            return
+        time.sleep(wait)
+    raise TimeoutError(f"shards of {index} didn't leave the loading nodes")
+
+
+def export(df: DataFrame, client, index: str, shards: int, staging: str, batch: int = 5_000, meta: dict | None = None, done: str | None = None, retries: int | None = None, wait: float = 30.0) -> None:
+    """Load a live index; each document lands once, however often tasks or the whole export are run again.
+
+    Documents are first written to `staging` with ids of their own, so that a task that runs again, on another executor too,
+    sends the same ids. An export that was stopped goes on with its index and the staged documents; one that begins drops an
+    index of this name. Bulk requests are tried again with growing pauses, without end unless retries says how often. Then
+    segments are merged, a small index waits for its shards, and the flag `done` is written (a folder with one file). An
+    export whose flag is there does nothing.
+
+    client: exists(name), delete(name), create(name, body), bulk(name, list of (id, document)), merge(name), shards(name); it
+    is pickled. Timeouts of requests are its own. The table's folder may be deleted after the export."""
+    spark = df.sparkSession
+    if done and exists(spark, done):
+        return
+    if not (exists(spark, staging) and client.exists(index)):
+        value = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"})
+        checkpoint(df.select(F.monotonically_increasing_id().alias("id"), value.alias("value")), staging)
+        if client.exists(index):
+            client.delete(index)
+        client.create(index, index_body(df, shards, meta))
 
     def send(rows):
         held = []
         for r in rows:
-            held.append(r["value"])
+            held.append((str(r["id"]), json.loads(r["value"])))
             if len(held) == batch:
-                client.bulk(index, [json.loads(x) for x in held])
+                _again(lambda: client.bulk(index, held), retries, wait)
                 held = []
         if held:
-            client.bulk(index, [json.loads(x) for x in held])
+            _again(lambda: client.bulk(index, held), retries, wait)
 
-    df.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"}).alias("value")).foreachPartition(send)
+    spark.read.parquet(staging).foreachPartition(send)
     client.merge(index)
+    if shards < FEW_SHARDS:
+        wait_for_shards(client, index)
+    if done:
+        spark.createDataFrame([("done",)], "value string").coalesce(1).write.mode("overwrite").text(done)

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from varloom.functions.variants import GRCH38_LENGTHS, contig_index
 from varloom.sources.blockgzip import write_lines
 from varloom.sources.files import list_files
+from varloom.sources.readers import variant_lines
 
 _KIND = {T.IntegerType: "Integer", T.LongType: "Integer", T.FloatType: "Float", T.DoubleType: "Float", T.BooleanType: "Flag"}
 
@@ -103,6 +104,26 @@ def write_matrix(matrix, path: str, shards: int = 1) -> None:
     whole.repartitionByRange(shards, "ci", "position").sortWithinPartitions("ci", "position").select("value").write.mode("overwrite").text(path)
 
 
+def concat_fragments(spark: SparkSession, fragments: list[str], path: str, shards: int, block_gzip: bool = False) -> list[str]:
+    """Variant text fragments, which may overlap, as one file in genome order: block gzip parts that are it when laid end to end
+    (plans/compose.py says how), the header of the first fragment in the first. Returns the parts' names in order.
+
+    Lines stay as they are; those of one position follow each other by fragment, then text. Fragments with other columns are an
+    error. One shuffle by ranges of the genome merges all fragments at once, so neither a task nor a level of merges reads
+    everything. block_gzip: whether the fragments are; gzip ones that aren't are a task each."""
+    lines = variant_lines(spark, fragments, block_gzip)
+    heads = [r[0] for r in lines.filter(F.col("value").startswith("#CHROM")).select("value").distinct().limit(2).collect()]
+    if len(heads) != 1:
+        raise ValueError("the fragments have no header line or several" if heads else "no fragment has a header line")
+    head = [r[0] for r in variant_lines(spark, fragments[:1], block_gzip).filter(F.col("value").startswith("##")).select("value").collect()]
+    f = F.split("value", "\t", 3)
+    order = spark.createDataFrame([(file, i) for i, x in enumerate(fragments) for file in list_files(spark, x)], "file string, nth int")  # as long as the list
+    body = lines.filter(~F.col("value").startswith("#") & (F.trim("value") != "")).join(F.broadcast(order), "file", "left")
+    body = body.select(contig_index(f[0]).alias("ci"), f[0].alias("contig"), f[1].cast("int").alias("position"), "nth", "value")
+    by = ["ci", "contig", "position", "nth", "value"]
+    return write_lines(body.repartitionByRange(shards, *by).sortWithinPartitions(*by), path, head=[*head, heads[0]], head_once=True)
+
+
 def write_tsv(df: DataFrame, path: str) -> None:
     """A small result as one tab-separated file with a header."""
     df.coalesce(1).write.mode("overwrite").option("sep", "\t").option("header", True).csv(path)

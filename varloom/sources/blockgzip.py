@@ -13,6 +13,7 @@ import uuid
 import zlib
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -144,19 +145,20 @@ def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return out
 
 
-def write_lines(lines: DataFrame, path: str, head: list[str] | None = None) -> list[str]:
+def write_lines(lines: DataFrame, path: str, head: list[str] | None = None, head_once: bool = False) -> list[str]:
     """Write the column value of lines, in the order of its partitions and rows, as block gzip; returns the files' names.
 
-    head: lines that each file begins with. An empty block follows each row of blocks, so that the last one ends the file; the
-    format allows empty blocks anywhere. A partition without lines has no file."""
+    head: lines that each file begins with; once: only that of the first partition, so that the files laid end to end are one.
+    An empty block follows each row of blocks, so that the last one ends the file; the format allows empty blocks anywhere. A
+    partition without lines has no file."""
 
     def blocks(batches):
-        held, out = [], []
-        size = done = 0
+        here = head if head and (not head_once or TaskContext.get().partitionId() == 0) else []
+        held, out = [x.encode("utf-8") + b"\n" for x in here], []
+        size, begun = sum(map(len, held)), head_once and bool(here)
         for b in batches:
+            begun = begun or len(b) > 0
             texts = [t.encode("utf-8") + b"\n" for t in b.column(0).to_pylist()]
-            if head and not size and not done:
-                texts = [t.encode("utf-8") + b"\n" for t in head] + texts
             held += texts
             size += sum(map(len, texts))
             if size >= BLOCK_TEXT:
@@ -164,16 +166,18 @@ def write_lines(lines: DataFrame, path: str, head: list[str] | None = None) -> l
                 whole = len(text) - len(text) % BLOCK_TEXT
                 for at in range(0, whole, BLOCK_TEXT):
                     out.append(deflate(text[at : at + BLOCK_TEXT]))
-                    done += len(out[-1])
                     if sum(map(len, out)) >= ROW_BYTES:
                         yield pa.RecordBatch.from_pydict({"value": pa.array([b"".join(out)], pa.binary())})
                         out = []
                 held, size = [text[whole:]], len(text) - whole
-        if size:
+        if size and begun:
             out.append(deflate(b"".join(held)))
         if out:
             yield pa.RecordBatch.from_pydict({"value": pa.array([b"".join(out)], pa.binary())})
 
     made = lines.select("value").mapInArrow(blocks, "value binary").select(F.col("value").cast("string").alias("value"))
     made.write.mode("overwrite").option("lineSep", END.decode(_LATIN)).option("encoding", _LATIN).text(path)
-    return [f.rsplit("/", 1)[-1] for f in list_files(lines.sparkSession, path)]
+    names = [f.rsplit("/", 1)[-1] for f in list_files(lines.sparkSession, path)]
+    if head_once and head and not names:  # a table without rows may have no first partition
+        return write_lines(lines.sparkSession.createDataFrame([(x,) for x in head], "value string").coalesce(1), path)
+    return names
