@@ -28,13 +28,14 @@ class SparseFrame:
     blocks: DataFrame
     cols: DataFrame
 
-    def write(self, path: str, mode: str = "overwrite", target_records: int | None = None) -> None:
-        """Three tables; that of the columns comes last, so a cohort with whole columns is whole. With target_records, variants
-        and blocks are written in genome ranges of about so many records, so that reading an interval opens few of them."""
+    def write(self, path: str, mode: str = "overwrite", ranges: bool = False, target_records: int | None = None) -> None:
+        """Three tables; that of the columns comes last, so a cohort with whole columns is whole. With ranges, variants and blocks
+        are written in genome ranges, so that reading an interval opens few of them: as many as adaptive execution makes, or of
+        about target_records each, for which they are counted first."""
         for name, part, at in (("variants", self.variants, "position"), ("blocks", self.blocks, "start"), ("cols", self.cols, None)):
-            if target_records and at:
-                n = max(1, -(-part.count() // target_records))
-                part = part.repartitionByRange(n, "contig", at, "s").sortWithinPartitions("contig", at)
+            if at and (ranges or target_records):
+                n = [max(1, -(-part.count() // target_records))] if target_records else []
+                part = part.repartitionByRange(*n, "contig", at, "s").sortWithinPartitions("contig", at)
             part.write.mode(mode).parquet(f"{path}/{name}")
 
     @classmethod
@@ -72,11 +73,11 @@ class SparseFrame:
         cols = cols.select((F.col("col_idx") + F.get(F.array(*[F.lit(n).cast("long") for n in before]), F.col("_f"))).cast(self.cols.schema["col_idx"].dataType).alias("col_idx"), "s")
         own = lambda v: v.select("*", F.col("alleles")[0].alias("ref"), F.transform(F.filter("LA", lambda a: a > 0), lambda a: F.get("alleles", a)).alias("alts")).drop("alleles", "LA").withColumnsRenamed({"LGT": "GT", "LAD": "AD"})
         union = lambda parts: reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
-        sites, entries = split.combine(union([own(f.variants) for f in frames]))
-        return SparseFrame(entries.join(sites, KEY), union([f.blocks for f in frames]), cols)
+        _, entries = split.combine(union([own(f.variants) for f in frames]))
+        return SparseFrame(entries, union([f.blocks for f in frames]), cols)
 
     @classmethod
-    def merge_tree(cls, frames: list[SparseFrame], path: str, branch: int = 50, target_records: int = 600_000) -> SparseFrame:
+    def merge_tree(cls, frames: list[SparseFrame], path: str, branch: int = 50, target_records: int | None = None) -> SparseFrame:
         """Many cohorts in one, `branch` at a time, level by level, each merge written under path in genome ranges: a plan never
         reads more than `branch` cohorts, and a build that was stopped goes on after the merges that are whole."""
         spark, level = frames[0].cols.sparkSession, 0
@@ -85,7 +86,7 @@ class SparseFrame:
             for k, group in enumerate(frames[at : at + branch] for at in range(0, len(frames), branch)):
                 out = f"{path}/level-{level}/{k}"
                 if not exists(spark, f"{out}/cols"):
-                    group[0].combine(*group[1:]).write(out, target_records=target_records)
+                    group[0].combine(*group[1:]).write(out, ranges=True, target_records=target_records)
                 merged.append(cls.read(spark, out))
             frames, level = merged, level + 1
         return frames[0]

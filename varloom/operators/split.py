@@ -39,18 +39,18 @@ def split_entries(cells: DataFrame, keys: list[str]) -> DataFrame:
 def combine(samples: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(sites, entries) from one row per (contig, position, s, ref, alts, GT, AD): the site's alleles are the longest
     reference and all alternates in order, and each sample keeps only its own alleles, by index, and its other fields: local
-    alleles keep their order, so values for each of them, and likelihoods LPL, stay as they are. One shuffle by site, whatever
-    the number of samples; alleles are gathered, samples aren't."""
+    alleles keep their order, so values for each of them, and likelihoods LPL, stay as they are. Entries have the site's alleles
+    too. One shuffle by site, whatever the number of samples; alleles are gathered, samples aren't."""
     key = ["contig", "position"]
-    longest = samples.groupBy(*key).agg(F.max_by("ref", F.length("ref")).alias("site_ref"))
-    wide = samples.join(longest, key)
-    wide = wide.withColumn("_alts", F.transform("alts", lambda a: F.when(a == "*", a).otherwise(F.concat(a, F.expr("substring(site_ref, length(ref) + 1, length(site_ref))")))))
-    alleles = wide.select(*key, "site_ref", F.explode("_alts").alias("alt")).distinct().groupBy(*key, "site_ref").agg(F.array_sort(F.collect_set("alt")).alias("alts"))
-    sites = alleles.select(*key, F.concat(F.array("site_ref"), "alts").alias("alleles"))
-    cells = wide.join(sites, key)
-    la = F.concat(F.array(F.lit(0)), F.transform("_alts", lambda a: (F.array_position("alleles", a) - 1).cast("int")))
+    one = samples.select(*key, "ref", F.explode_outer("alts").alias("alt")).groupBy(*key).agg(F.collect_set(F.struct("ref", "alt")).alias("_a"))  # the site's alleles, whoever has them
+    longest = F.array_min(F.transform("_a", lambda x: F.struct((-F.length(x["ref"])).alias("n"), x["ref"].alias("ref"))))["ref"]
+    padded = lambda alt, ref, whole: F.when(alt == "*", alt).otherwise(F.concat(alt, F.substr(whole, F.length(ref) + 1)))
+    alts = F.array_sort(F.array_distinct(F.transform(F.filter("_a", lambda x: x["alt"].isNotNull()), lambda x: padded(x["alt"], x["ref"], F.col("_ref")))))
+    sites = one.withColumn("_ref", longest).select(*key, F.concat(F.array("_ref"), alts).alias("alleles"))
+    cells = samples.join(sites, key)
+    la = F.concat(F.array(F.lit(0)), F.transform("alts", lambda a: (F.array_position("alleles", padded(a, F.col("ref"), F.col("alleles")[0])) - 1).cast("int")))
     rest = [c for c in samples.columns if c not in (*key, "s", "ref", "alts", "GT", "AD")]
-    return sites, cells.select(*key, "s", la.alias("LA"), F.col("GT").alias("LGT"), F.col("AD").alias("LAD"), *rest)
+    return sites, cells.select(*key, "s", "alleles", la.alias("LA"), F.col("GT").alias("LGT"), F.col("AD").alias("LAD"), *rest)
 
 
 def remove_samples(sites: DataFrame, entries: DataFrame, gone: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame]:

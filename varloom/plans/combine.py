@@ -10,7 +10,7 @@ from varloom.plans.stages import combiner_action
 from varloom.sources.readers import exists
 
 
-def build_cohort(spark: SparkSession, path: str, temp: str, previous: str | None = None, new: list[SparseFrame] | None = None, gone: DataFrame | None = None, branch: int = 50, target_records: int = 600_000, threshold: int = 20, confirmed: bool = False) -> SparseFrame:
+def build_cohort(spark: SparkSession, path: str, temp: str, previous: str | None = None, new: list[SparseFrame] | None = None, gone: DataFrame | None = None, branch: int = 50, target_records: int | None = None, threshold: int = 20, confirmed: bool = False) -> SparseFrame:
     """The cohort at path, made of the previous one without the samples `gone` (column s) and with the new ones.
 
     Removal comes first. With nothing to add its result goes to path; else to temp, where it and the merges that are whole are
@@ -22,8 +22,8 @@ def build_cohort(spark: SparkSession, path: str, temp: str, previous: str | None
     if "remove" in action:
         target = path if action == "remove" else f"{temp}/removed"
         if not exists(spark, f"{target}/cols"):
-            base[0].remove(spark.createDataFrame([(n,) for n in names], "s string")).write(target, target_records=target_records)
+            base[0].remove(spark.createDataFrame([(n,) for n in names], "s string")).write(target, ranges=True, target_records=target_records)
         base = [SparseFrame.read(spark, target)]
     if action != "remove":
-        SparseFrame.merge_tree([*base, *new], f"{temp}/merged", branch, target_records).write(path, target_records=target_records)
+        SparseFrame.merge_tree([*base, *new], f"{temp}/merged", branch, target_records).write(path, ranges=True, target_records=target_records)
     return SparseFrame.read(spark, path)

@@ -57,13 +57,14 @@ def q_merge_tree(v):
     alt = F.when(F.col("site_id") % 3 == 0, "C").when(F.col("site_id") % 3 == 1, "G").otherwise("TT")
     e = e.select("s", "dataset_id", "n_alt", F.lit("chr1").alias("contig"), (F.floor(F.col("site_id") / 3) + 1).alias("position"), F.array(F.lit("A"), alt).alias("alleles"), F.array(F.lit(0), F.lit(1)).alias("LA"),
                  calls.diploid(F.col("n_alt")).alias("LGT"), F.array("ad_ref", "ad_alt").alias("LAD"), F.col("gq").alias("GQ"), F.col("dp").alias("DP"), likelihoods(F.col("gq")).alias("LPL"))
+    e = readers.checkpoint(e, scratch(v, "entries"))
 
     def part(k):
         own, lacks = e.filter(F.col("dataset_id") % 8 == k), ["DP"] if k % 2 else []
         blocks = own.filter("n_alt = 0").select("contig", F.col("position").alias("start"), F.col("position").alias("end"), "s", "GQ", "DP").drop(*lacks)
         return SparseFrame(own.filter("n_alt > 0").drop("n_alt", "dataset_id", *lacks), blocks, v.samples.filter(f"dataset_id % 8 = {k}").select("col_idx", "s"))
 
-    m = SparseFrame.merge_tree([part(k) for k in range(8)], scratch(v, "merged"), branch=3, target_records=10_000)
+    m = SparseFrame.merge_tree([part(k) for k in range(8)], scratch(v, "merged"), branch=3)
     list_ = lambda c: joined(F.col(c).cast("array<string>"))
     none = F.lit(None).cast("string")
     variants = m.variants.select(F.lit("variant").alias("kind"), "position", "s", F.array_join("alleles", "/").alias("alleles"), list_("LA").alias("la"), list_("LPL").alias("pl"), num_alt().alias("num_alt"), F.col("DP").alias("dp"))
