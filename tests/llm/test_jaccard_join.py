@@ -96,3 +96,20 @@ def test_hot_classes_are_joined_apart(spark, monkeypatch):
     rows = [(i, "a b c d e f") for i in range(1, 1_200)] + [(0, None), (5_000, "u v w x y z"), (5_001, "u v w x y z")]
     got = rows_of(J.jaccard_components(table(spark, rows)), "doc_id", "n_shingles", "component_id")
     assert got == ordered([(0, 0, 0), (5_000, 3, 5_000), (5_001, 3, 5_000), *[(i, 3, 1) for i in range(1, 1_200)]])
+
+
+def test_a_line_shared_by_short_texts_makes_no_pairs(spark, monkeypatch):
+    """Texts of 19 words, 10 of them a shared line in one of three places, some near copies: few candidates, and the same links."""
+    rng = random.Random(6)
+    line, rows = words(rng, 10, 5000), []
+    for i in range(700):
+        own = [f"o{rng.randrange(10**6)}" for _ in range(9)]
+        cut = rng.choice([0, 4, 9])
+        rows.append((i, " ".join(own[:cut] + line + own[cut:])))
+        if i % 50 == 0:
+            rows.append((10_000 + i, rows[-1][1] + " more"))
+    seen = []
+    whole = J.candidates
+    monkeypatch.setattr(J, "candidates", lambda *a: seen.append(whole(*a).count()) or whole(*a))
+    check(spark, rows)
+    assert seen[0] < 2 * len(rows)

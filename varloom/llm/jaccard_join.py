@@ -105,7 +105,7 @@ def rarity(sketch: DataFrame) -> np.ndarray:
 def _prefixes(levels, k: int, percent: int):
     def run(batches):
         for b in slices(batches):
-            tokens, ids = [], []
+            tokens, ids, rarest = [], [], []
             for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
                 s = shingle_set(text, k)
                 n = len(s)
@@ -115,8 +115,9 @@ def _prefixes(levels, k: int, percent: int):
                 p = s[np.argsort(levels.value[slot(s)], kind="stable")][: n - a + min(SHARED, a)]
                 tokens.append(p)
                 ids.append(doc_id)
+                rarest.append(np.arange(len(p)) <= n - a)
             token = np.concatenate([*tokens, np.empty(0, np.uint64)]).view(np.int64)
-            yield pa.RecordBatch.from_pydict({"token": pa.array(token), "id": pa.array(np.repeat(np.array(ids, np.int64), [len(p) for p in tokens]))})
+            yield pa.RecordBatch.from_pydict({"token": pa.array(token), "id": pa.array(np.repeat(np.array(ids, np.int64), [len(p) for p in tokens])), "rare": pa.array(np.concatenate([*rarest, np.empty(0, bool)]))})
 
     return run
 
@@ -211,6 +212,20 @@ def linked_pairs(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> Dat
     return _met(docs, durable(ask.unionByName(stay), "pair-roles"), k, percent)
 
 
+def may_fit(percent: int) -> str:
+    """Whether a member of group m that lists the token is of a size that may link with q."""
+    return f"m.most * 100 >= q.n * {percent} and q.n2 * 100 >= m.least * {percent}"
+
+
+def candidates(held: DataFrame, matrix: DataFrame, percent: int) -> DataFrame:
+    """Distinct (id, home, block): groups that hold one of the set's rarest tokens as one of theirs, not the set's own component,
+    and of two large components only the smaller one asking."""
+    q, m = held.filter("rare").alias("q"), matrix.filter("rare").alias("m")
+    larger = "(q.block = -1 or m.weight > q.weight or m.weight = q.weight and m.block < q.block) and not (m.block = -1 and q.block <> -1) and m.block <> if(q.block = -1, -2, q.block)"
+    met = q.join(m, F.expr(f"q.token = m.token and {larger} and {may_fit(percent)}"))
+    return met.select(F.col("q.id").alias("id"), F.col("m.home").alias("home"), F.col("m.block").alias("block")).distinct()
+
+
 def jaccard_links(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(profile, classes, links): profile has doc_id, n, set_hash of every row; classes the first id and size of each
     set_hash; links has pairs of class names that link.
@@ -224,7 +239,7 @@ def jaccard_links(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) ->
     classes = durable(known.groupBy("set_hash").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("size")), "classes")
     copies = durable(known.select("doc_id").distinct().join(classes.select(F.col("first").alias("doc_id")), "doc_id", "left_anti"), "copies")
 
-    listed = drop_ids(docs.filter("doc_id is not null"), copies).mapInArrow(_prefixes(levels, k, percent), "token long, id long")
+    listed = drop_ids(docs.filter("doc_id is not null"), copies).mapInArrow(_prefixes(levels, k, percent), "token long, id long, rare boolean")
     listed = durable(listed, "prefixes")
     discard(copies)
     leads = listed.groupBy("token").agg(F.min("id").alias("lead"), F.max("id").alias("last")).filter("lead < last").drop("last")
@@ -247,21 +262,19 @@ def jaccard_links(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) ->
     g, weight = F.coalesce("g", "id"), F.coalesce("weight", F.lit(1))
     own = sized.join(joined, "id", "left").join(home, "id", "left")
     own = own.select("id", "n", "n2", "need", g.alias("g"), F.coalesce("home", "id").alias("home"), F.when(weight >= BLOCK, g).otherwise(-1).alias("block"), F.when(weight >= BLOCK, weight).otherwise(0).alias("weight"))
-    held = shared.select("token", "id").join(own, "id")
+    held = shared.select("token", "id", "rare").join(own, "id")
     spans = held.groupBy("token").agg(F.min("g").alias("low"), F.max("g").alias("high")).filter("low < high").select("token")
     held = durable(held.join(spans, "token", "left_semi"), "spanning")
     discard(shared, counted, sized)
-    matrix = held.groupBy("token", "home", "block").agg(F.first("weight").alias("weight"), F.min("n").alias("least"), F.max("n2").alias("most"))
-    q, m = held.alias("q"), matrix.alias("m")
-    larger = "(q.block = -1 or m.weight > q.weight or m.weight = q.weight and m.block < q.block) and not (m.block = -1 and q.block <> -1) and m.block <> if(q.block = -1, -2, q.block)"
-    may_fit = f"m.most * 100 >= q.n * {percent} and q.n2 * 100 >= m.least * {percent}"
-    opened = (
-        q.join(m, F.expr(f"q.token = m.token and {larger} and {may_fit}"))
-        .groupBy(F.col("q.id").alias("id"), F.col("m.home").alias("home"), F.col("m.block").alias("block")).agg(F.count(F.lit(1)).alias("c"), F.min("q.need").alias("need")).filter("c >= need")
-    )
+    matrix = held.groupBy("token", "home", "block").agg(F.first("weight").alias("weight"), F.min("n").alias("least"), F.max("n2").alias("most"), F.bool_or("rare").alias("rare"))
+    matrix = durable(matrix, "matrix")
+    seen = durable(candidates(held, matrix, percent), "candidates")
+    q, m = held.drop("home", "block").join(seen, "id").alias("q"), matrix.alias("m")
+    counts = q.join(m, F.expr("q.token = m.token and q.home = m.home and q.block = m.block and " + may_fit(percent)))
+    opened = counts.groupBy(F.col("q.id").alias("id"), F.col("q.home").alias("home"), F.col("q.block").alias("block")).agg(F.count(F.lit(1)).alias("c"), F.min("q.need").alias("need")).filter("c >= need")
     places = durable(held.select("id", "g", "home", "block").distinct(), "places")
     opened = durable(opened.select("id", "home", "block").join(places.select("id", "g"), "id"), "opened")
-    discard(held)
+    discard(held, matrix, seen)
     members = places.join(opened.select("home", "block").distinct(), ["home", "block"], "left_semi")
     chunks = members.groupBy("home", "block").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("chunks"))
     stay = members.join(chunks, ["home", "block"]).select("id", "g", "home", "block", F.pmod(F.xxhash64("id"), "chunks").alias("chunk"), F.lit(0).alias("asks"))
