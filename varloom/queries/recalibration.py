@@ -28,9 +28,10 @@ def featured(v):
 CASE WHEN site_id % 3 <> 1 AND site_id % 4 = 0 THEN 15.0 WHEN site_id % 3 <> 1 AND site_id % 5 = 0 THEN 12.0 WHEN site_id % 2 = 0 THEN 7.0 ELSE 2.0 END AS prior, site_id % 10 <> 0 AS scored,
 CASE WHEN site_id % 10 <> 0 THEN site_id % 3 <> 1 END AS likely FROM v_sites""", "v_sites")
 def q_two_model_scores(v):
-    """Sites like the training sites score above 0, those that stand apart below."""
+    """Sites like the training sites score above 0, those that stand apart below. The models see every site: of the smallest table,
+    every second one leaves too few to tell its outermost sites from those apart. q_every_nth has the sampling."""
     df = readers.checkpoint(featured(v), scratch(v, "featured"))
-    model = recalibrate.train_model(df, ["a", "b"], gaussians=2, bad_gaussians=2, every=2)
+    model = recalibrate.train_model(df, ["a", "b"], gaussians=2, bad_gaussians=2)
     out = recalibrate.score_sites(df, model)
     return out.select("site_id", "train", "truth", "known", F.col("prior").cast("double").alias("prior"), F.col("score").isNotNull().alias("scored"), (F.col("score") > 0).alias("likely"))
 
