@@ -22,6 +22,15 @@ def q_block_gzip_sites(v):
     return back.select("contig", "position", F.col("alleles")[0].alias("ref"), F.col("alleles")[1].alias("alt"), F.col("info.AC").alias("ac"))
 
 
+@query(SITES + " WHERE contig = 'chr2' AND position + length(ref) > 2000 AND position <= 60000 OR contig = 'chr5' AND position + length(ref) > 1 AND position <= 9000 OR contig = 'chrX'", "v_sites")
+def q_region_sites(v):
+    """Sites of regions from block gzip shards with position indexes."""
+    path = scratch(v, "sites")
+    names = text.write_sites(site_rows(v), path, 3, compression="block", index=True)
+    back = readers.read_variants(v.spark, [f"{path}/{n}" for n in names], {"AC": "int"}, intervals=[("chr2", 2000, 60000), ("chr5", 1, 9000), ("chrX", 1, 156040895)])
+    return back.select("contig", "position", F.col("alleles")[0].alias("ref"), F.col("alleles")[1].alias("alt"), F.col("info.AC").alias("ac"))
+
+
 def likelihoods(gq):
     return F.when(gq.isNotNull(), F.array(F.lit(0), gq % 7 + 1, gq % 11 + 2))
 

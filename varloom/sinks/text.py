@@ -10,6 +10,7 @@ from varloom.functions.variants import GRCH38_LENGTHS, contig_index
 from varloom.sources.blockgzip import write_lines
 from varloom.sources.files import list_files
 from varloom.sources.readers import variant_lines
+from varloom.sources.regions import write_index
 
 _KIND = {T.IntegerType: "Integer", T.LongType: "Integer", T.FloatType: "Float", T.DoubleType: "Float", T.BooleanType: "Flag"}
 
@@ -54,11 +55,14 @@ def _sorted(df: DataFrame, shards: int) -> DataFrame:
     return df.repartitionByRange(shards, ci, "position").sortWithinPartitions(ci, "position")
 
 
-def write_sites(df: DataFrame, path: str, shards: int, separate_header: bool = False, compression: str = "gzip") -> list[str]:
+def write_sites(df: DataFrame, path: str, shards: int, separate_header: bool = False, compression: str = "gzip", index: bool = False) -> list[str]:
     """Shards of site lines in genome order and their manifest (shard-manifest.txt, returned as a list).
 
     A header stands in each shard, or, separate, in a first file of its own (00000-header). Readers go by the manifest.
-    compression: block for block gzip, else one that Spark's text writer has."""
+    compression: block for block gzip, else one that Spark's text writer has. index: whether each block gzip shard gets a
+    position index beside it, which the manifest doesn't list."""
+    if index and compression != "block":
+        raise ValueError("only block gzip has position indexes")
     spark = df.sparkSession
     head = header(df.schema)
     body = _sorted(df, shards).select(site_lines(df).alias("value"))
@@ -81,12 +85,20 @@ def write_sites(df: DataFrame, path: str, shards: int, separate_header: bool = F
         spark.createDataFrame([(x,) for x in head], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/00000-header")
         names.append("00000-header")
     names += [f"parts/{f.rsplit('/', 1)[-1]}" for f in list_files(spark, f"{path}/parts")]
+    if index:
+        write_index(spark, f"{path}/parts")
     spark.createDataFrame([(i, n) for i, n in enumerate(names)], "i int, value string").coalesce(1).sortWithinPartitions("i").select("value").write.mode("overwrite").text(f"{path}/shard-manifest.txt")
     return names
 
 
-def write_matrix(matrix, path: str, shards: int = 1) -> None:
-    """All rows with a genotype for each sample (GT:GQ:DP:AD), in genome order; one file where shards is 1."""
+def write_matrix(matrix, path: str, shards: int = 1, compression: str = "none", index: bool = False) -> list[str]:
+    """All rows with a genotype for each sample (GT:GQ:DP:AD), in genome order; one file where shards is 1, else parts that are
+    one when laid end to end, the header in the first. Returns the parts' names in order.
+
+    compression and index: as in write_sites(). So a matrix of any size is written by many tasks, each of its parts can be
+    read by regions, and plans/compose.py says how the parts become one file."""
+    if index and compression != "block":
+        raise ValueError("only block gzip has position indexes")
     e, samples = F.col("entries"), matrix.sample_ids()
 
     def cell(x):
@@ -99,9 +111,16 @@ def write_matrix(matrix, path: str, shards: int = 1) -> None:
     head = header(matrix.rows.schema, samples, formats)
     ci = contig_index(F.col("contig"))
     body = matrix.rows.select(ci.alias("ci"), "position", line.alias("value"))
-    top = matrix.rows.sparkSession.createDataFrame([(-1, i - len(head), x) for i, x in enumerate(head)], "ci int, position int, value string")
-    whole = top.unionByName(body)
-    whole.repartitionByRange(shards, "ci", "position").sortWithinPartitions("ci", "position").select("value").write.mode("overwrite").text(path)
+    spark = matrix.rows.sparkSession
+    if compression == "block":
+        names = write_lines(body.repartitionByRange(shards, "ci", "position").sortWithinPartitions("ci", "position"), path, head=head, head_once=True)
+        if index:
+            write_index(spark, path)
+        return names
+    top = spark.createDataFrame([(-1, i - len(head), x) for i, x in enumerate(head)], "ci int, position int, value string")
+    whole = top.unionByName(body).repartitionByRange(shards, "ci", "position").sortWithinPartitions("ci", "position")
+    whole.select("value").write.mode("overwrite").option("compression", compression).text(path)
+    return [f.rsplit("/", 1)[-1] for f in list_files(spark, path)]
 
 
 def concat_fragments(spark: SparkSession, fragments: list[str], path: str, shards: int, block_gzip: bool = False) -> list[str]:

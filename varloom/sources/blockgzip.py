@@ -112,16 +112,15 @@ def _ends(batches):
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _ENDS)], schema=_ENDS)
 
 
-def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """The lines of block gzip files: value and file. Folders stand for the files in them.
-
-    Tasks are planned by spark.sql.files.maxPartitionBytes, whatever the files' names: the codec that Spark would choose for
-    .gz can't be cut, so such files are read under another name, through links of a view file system. Plain gzip, and a
-    damaged block, are errors. The files are read twice, the second time for the pieces at the ends of splits."""
+def block_records(spark: SparkSession, paths: str | list[str]) -> tuple[DataFrame | None, dict[str, str]]:
+    """(record, file, start): the blocks of files, without their headers, and the starts of the splits they are read in; and the
+    files' own names by those they are read under. None where there are no files. Position indexes beside files are left out."""
     named, view = {}, f"blocks-{uuid.uuid4().hex}"
     reader = spark.read.format("text").option("lineSep", HEADER.decode(_LATIN)).option("encoding", _LATIN)
     for path in [paths] if isinstance(paths, str) else paths:
         for file in list_files(spark, path):
+            if file.endswith(".tbi"):
+                continue
             if file.endswith(".gz"):
                 link = f"/{len(named)}.blocks"
                 reader = reader.option(f"fs.viewfs.mounttable.{view}.link.{link}", file)
@@ -129,20 +128,35 @@ def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
             else:
                 named[file] = file
     if not named:
+        return None, named
+    return reader.load(list(named)).select(F.col("value").cast("binary").alias("record"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")), named
+
+
+def own_names(df: DataFrame, named: dict[str, str]) -> DataFrame:
+    """df with the files' own names in its column file."""
+    links = [(k, v) for k, v in named.items() if k != v]
+    if not links:
+        return df
+    names = df.sparkSession.createDataFrame(links, "file string, _own string")  # as long as the list of files that was given
+    return df.join(F.broadcast(names), "file", "left").withColumn("file", F.coalesce("_own", "file")).select(df.columns)
+
+
+def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """The lines of block gzip files: value and file. Folders stand for the files in them.
+
+    Tasks are planned by spark.sql.files.maxPartitionBytes, whatever the files' names: the codec that Spark would choose for
+    .gz can't be cut, so such files are read under another name, through links of a view file system. Plain gzip, and a
+    damaged block, are errors. The files are read twice, the second time for the pieces at the ends of splits."""
+    records, named = block_records(spark, paths)
+    if records is None:
         return spark.createDataFrame([], "value string, file string")
-    records = reader.load(list(named)).select(F.col("value").cast("binary").alias("record"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
     whole = records.mapInArrow(_lines, "value string, file string")
     pieces = records.mapInArrow(_ends, "file string, start long, part int, ended boolean, piece binary")
     order = Window.partitionBy("file").orderBy("start", "part").rowsBetween(Window.unboundedPreceding, 0)
     line = F.expr("array_join(transform(array_sort(collect_list(struct(start, part, hex(piece)))), x -> x.col3), '')")
     mended = pieces.withColumn("line", F.sum("part").over(order)).groupBy("file", "line").agg(F.unhex(line).cast("string").alias("value"), F.max("ended").alias("ended"))
     mended = mended.filter("ended OR value <> ''")  # the text after a file's last line end is a line unless empty
-    links = {k: v for k, v in named.items() if k != v}
-    out = whole.unionByName(mended.select("value", "file"))
-    if links:
-        names = spark.createDataFrame(list(links.items()), "file string, _own string")  # as long as the list of files that was given
-        out = out.join(F.broadcast(names), "file", "left").select("value", F.coalesce("_own", "file").alias("file"))
-    return out
+    return own_names(whole.unionByName(mended.select("value", "file")), named)
 
 
 def write_lines(lines: DataFrame, path: str, head: list[str] | None = None, head_once: bool = False) -> list[str]:

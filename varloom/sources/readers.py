@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from varloom.sources.blockgzip import read_lines
+from varloom.sources.regions import region_lines
 
 
 def lines_of(spark: SparkSession, path: str) -> list[str]:
@@ -19,12 +20,16 @@ def variant_lines(spark: SparkSession, paths: str | list[str], block_gzip: bool
     return read_lines(spark, paths) if block_gzip else spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file"))
 
 
-def read_variants(spark: SparkSession, paths: str | list[str], info: dict[str, str] | None = None, genotypes: bool = False, block_gzip: bool = False) -> DataFrame:
+def read_variants(spark: SparkSession, paths: str | list[str], info: dict[str, str] | None = None, genotypes: bool = False, block_gzip: bool = False, intervals: list[tuple[str, int, int]] | None = None) -> DataFrame:
     """Sites of variant text files (plain, gzip or block gzip): contig, position, rsid, alleles, qual, filters, info.
 
+    intervals: closed and one-based; only sites whose reference allele (or block up to END) overlaps one are read, and only
+    their blocks, from block gzip files with position indexes.
+
     info stays a map of texts, so that a field with a wrong declared type does no harm; the named fields (name: Spark
     type, arrays split at commas) become a struct instead. genotypes: also format, samples (the texts after FORMAT) and source."""
-    raw = variant_lines(spark, paths, block_gzip).filter(~F.col("value").startswith("#") & (F.trim("value") != ""))
+    lines = variant_lines(spark, paths, block_gzip) if intervals is None else region_lines(spark, [paths] if isinstance(paths, str) else paths, intervals)
+    raw = lines.filter(~F.col("value").startswith("#") & (F.trim("value") != ""))
     f = F.split("value", "\t")
     pairs = F.when(f[7] != ".", F.transform(F.split(f[7], ";"), lambda x: F.struct(F.split(x, "=", 2)[0].alias("k"), F.get(F.split(x, "=", 2), F.lit(1)).alias("v"))))
     fields = F.map_from_entries(F.coalesce(pairs, F.array().cast("array<struct<k:string,v:string>>")))
