@@ -3,16 +3,21 @@
 A page goes through three steps inside one Arrow map, with nothing shuffled: a tokenizer (tags, character references,
 comments, raw text elements), a tree builder with implied start and end tags, and a renderer that leaves out what
 isn't visible and sets blocks, lists, preformatted text and aligned table cells. No step recurses over the page, and
-none looks through the open elements for a tag: their places are kept by name, so work follows the page's length.
-
-Visible is what no hidden attribute, inline style or simple rule of a style element (a tag, class or id with
-display: none or visibility: hidden, outside at-rules) hides; rules don't override each other. A select shows its
-chosen option, a list box all; a dialog counts if it is open; the words of svg and math count; details count as open.
+none looks through the open elements for a tag: their places are kept by name. Columns that row spans hold are kept as
+gaps between them, and lines are padded by PADDING at most before a cell, so work follows the page's length.
+
+Visible is what display and visibility leave, after inline styles and the simple rules of style elements (a tag, class or
+id, outside at-rules), by importance, specificity and order; a hidden attribute is weaker than any rule. Nothing inside
+display: none is drawn; visibility is inherited, so a visible element inside a hidden one is. A select shows its chosen
+option, a list box all, a text field its value; a dialog counts if it is open, of closed details the summary; the words
+of svg, math and an object's fallback count.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+import heapq
 import html as _entities
 import re
 
@@ -27,7 +32,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style xmp iframe noembed noframes noscript textarea title".split())
 REFERENCES_IN = frozenset("textarea title".split())
 #: Never drawn.
-HIDDEN = frozenset("head script style template noscript iframe noembed noframes title meta link base datalist object audio video canvas defs symbol desc metadata annotation annotation-xml param source track area map".split())
+HIDDEN = frozenset("head script style template noscript iframe noembed noframes title meta link base datalist audio video canvas defs symbol desc metadata annotation annotation-xml param source track area".split())
 BLOCK = frozenset(
     "html body address article aside blockquote center details dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr legend li main menu nav ol p pre search section summary table caption ul xmp listing".split()
 )
@@ -56,7 +61,16 @@ _COMMENT, _BRACE, _SELECTOR = re.compile(r"/\*.*?(?:\*/|$)", re.S), re.compile(r
 INDENT = 100
 #: The standard's greatest spans of a cell.
 COLSPAN, ROWSPAN = 1_000, 65_534
-_UNSEEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\b", re.I)
+#: Blanks before a table cell in a line at most.
+PADDING = 1_000
+#: Values that count; a declaration with any other is left out, as browsers do.
+_VALUES = {
+    "display": frozenset("none block inline inline-block flex inline-flex grid inline-grid table inline-table table-row table-cell table-row-group table-header-group table-footer-group table-column table-column-group table-caption list-item flow-root contents ruby ruby-base ruby-text run-in inherit initial unset revert".split()),
+    "visibility": frozenset("visible hidden collapse inherit initial unset revert".split()),
+}
+#: Inputs that don't show their value as text; unknown types are text fields.
+_NO_FIELDS = frozenset("password checkbox radio file color range".split())
+_ROMAN = ((1000, "m"), (900, "cm"), (500, "d"), (400, "cd"), (100, "c"), (90, "xc"), (50, "l"), (40, "xl"), (10, "x"), (9, "ix"), (5, "v"), (4, "iv"), (1, "i"))
 
 
 class Node:
@@ -182,9 +196,23 @@ def build(page: str) -> tuple[Node, list[str]]:
     return root, styles
 
 
-def hiding_rules(styles: list[str]) -> set[tuple]:
-    """(tag or "", . or # or "", name or "") of the simple selectors that hide what they fit."""
-    out = set()
+def declarations(css: str) -> list[tuple[str, str, bool]]:
+    """(property, value, important) of display and visibility, in order."""
+    out = []
+    for part in _COMMENT.sub(" ", css).split(";"):
+        name, colon, value = part.partition(":")
+        name, value = name.strip().lower(), value.strip().lower()
+        if colon and name in _VALUES:
+            plain = re.sub(r"\s*!\s*important$", "", value)
+            if plain in _VALUES[name]:
+                out.append((name, plain, plain != value))
+    return out
+
+
+def style_rules(styles: list[str]) -> dict[tuple, list]:
+    """By (tag or "", . or # or "", name or "") of the simple selectors: (property, value, important, order)."""
+    out: dict[tuple, list] = {}
+    order = 0
     for css in styles:
         css, depth, start, opened = _COMMENT.sub(" ", css), 0, 0, 0
         for m in _BRACE.finditer(css):
@@ -195,25 +223,47 @@ def hiding_rules(styles: list[str]) -> set[tuple]:
             if not depth:
                 names, body = css[start : max(start, opened - 1)].strip(), css[opened : m.start()]
                 start = m.end()
-                if not names.startswith("@") and "{" not in body and _UNSEEN.search(body):
+                if not names.startswith("@") and "{" not in body and (made := declarations(body)):
                     for one in names.split(","):
                         if (s := _SELECTOR.fullmatch(one.strip())) and s[0]:
-                            out.add(((s[1] or "").lower(), s[2] or "", s[3] or ""))
+                            out.setdefault(((s[1] or "").lower(), s[2] or "", s[3] or ""), []).extend((*d, order + i) for i, d in enumerate(made))
+                    order += len(made)
     return out
 
 
-def visible(node: Node, rules: set = frozenset()) -> bool:
-    a = node.attrs
-    if node.tag in HIDDEN or "hidden" in a or (node.tag == "input" and a.get("type", "").lower() == "hidden") or (node.tag == "dialog" and "open" not in a):
-        return False
-    if rules:
-        own = [("", ""), *((".", c) for c in a.get("class", "").split()), *([("#", a["id"])] if "id" in a else [])]
-        if any((t, *x) in rules for t in (node.tag, "") for x in own):
-            return False
-    return not _UNSEEN.search(a.get("style", ""))
+def style(node: Node, rules: dict) -> tuple[bool, str | None]:
+    """(whether the element is drawn at all, its own visibility; None where it inherits)."""
+    a, tag = node.attrs, node.tag
+    if tag in HIDDEN or (tag == "input" and a.get("type", "").lower() == "hidden"):
+        return False, None
+    best: dict[str, tuple] = {"display": ((False, -1, 0), "none")} if "hidden" in a or (tag == "dialog" and "open" not in a) else {}
 
+    def weigh(name: str, value: str, rank: tuple) -> None:
+        if name not in best or rank >= best[name][0]:
+            best[name] = rank, value
 
-def _shown_options(select: Node, rules: set) -> list[Node]:
+    if rules:
+        own = [("", ""), *((".", c) for c in set(a.get("class", "").split())), *([("#", a["id"])] if "id" in a else [])]
+        for kind, word in own:
+            for t in (tag, ""):
+                for name, value, important, order in rules.get((t, kind, word), ()):
+                    weigh(name, value, (important, {"": 0, ".": 10, "#": 100}[kind] + bool(t), order))
+    if "style" in a:
+        for order, (name, value, important) in enumerate(declarations(a["style"])):
+            weigh(name, value, (important, 1_000, order))
+    seen = best.get("visibility", (None, None))[1]
+    seen = "visible" if seen == "initial" else None if seen in ("inherit", "unset", "revert") else seen
+    drawn = best.get("display", (None, ""))[1] != "none"
+    if seen == "collapse" and tag in ("tr", "thead", "tbody", "tfoot"):
+        drawn = False
+    return drawn, seen
+
+
+def visible(node: Node, rules: dict) -> bool:
+    return style(node, rules)[0]
+
+
+def _shown_options(select: Node, rules: dict) -> list[Node]:
     """The option that a select shows, or all of a list box."""
     options = []
     for x in select.children:
@@ -273,43 +323,90 @@ class _Flow:
         return "\n".join(self.lines)
 
 
-def _rows(table_: Node, rules: set):
-    """(what stands before the table, rows of visible cells), in order; nested tables aren't entered."""
-    captions, rows, todo = [], [], list(reversed(table_.children))
+def _rows(table_: Node, rules: dict, seen: bool):
+    """(what stands before the table, rows of drawn cells), each with whether it inherits being seen, in order; nested tables
+    aren't entered."""
+    captions, rows, todo = [], [], [(x, seen) for x in reversed(table_.children)]
     while todo:
-        x = todo.pop()
+        x, seen = todo.pop()
         if isinstance(x, str):
             if x.strip():
-                captions.append(x)
-        elif not visible(x, rules):
+                captions.append((x, seen))
+            continue
+        drawn, own = style(x, rules)
+        if not drawn:
             continue
-        elif x.tag in ("thead", "tbody", "tfoot", "colgroup"):
-            todo += reversed(x.children)
+        inside = own == "visible" if own else seen
+        if x.tag in ("thead", "tbody", "tfoot", "colgroup"):
+            todo += [(c, inside) for c in reversed(x.children)]
         elif x.tag == "tr":
-            cells = [c for c in x.children if isinstance(c, Node) and c.tag in ("td", "th") and visible(c, rules)]
-            captions += [c for c in x.children if c not in cells and (c.strip() if isinstance(c, str) else visible(c, rules))]  # as browsers do
-            rows.append(cells)
+            row = []
+            for c in x.children:
+                if isinstance(c, Node) and c.tag in ("td", "th"):
+                    if visible(c, rules):
+                        row.append((c, inside))
+                elif not isinstance(c, str) or c.strip():
+                    captions.append((c, inside))  # as browsers do
+            rows.append(row)
         else:
-            captions.append(x)
+            captions.append((x, seen))
     return captions, rows
 
 
+class _Columns:
+    """The columns that no cell of an earlier row holds, as gaps [start, end) in order; the last one has no end."""
+
+    def __init__(self):
+        self.starts, self.ends, self.held = [0], [float("inf")], []
+
+    def row(self, n: int) -> None:
+        """Begin row n: columns that are held up to the row before are free again."""
+        while self.held and self.held[0][0] <= n:
+            _, a, b = heapq.heappop(self.held)
+            i = bisect.bisect_right(self.starts, a)
+            if i and self.ends[i - 1] == a:
+                i -= 1
+                a = self.starts[i]
+                del self.starts[i], self.ends[i]
+            if self.starts[i] == b:
+                b = self.ends[i]
+                del self.starts[i], self.ends[i]
+            self.starts.insert(i, a)
+            self.ends.insert(i, b)
+
+    def free(self, col: int) -> int:
+        """The first free column from col on."""
+        return max(col, self.starts[bisect.bisect_right(self.ends, col)])
+
+    def hold(self, a: int, b: int, until: int) -> None:
+        """Hold what is free of [a, b) for the rows before `until`."""
+        i = bisect.bisect_right(self.ends, a)
+        while self.starts[i] < b:
+            start, end = self.starts[i], self.ends[i]
+            left, right = max(start, a), min(end, b)
+            heapq.heappush(self.held, (until, left, right))
+            pieces = [(x, y) for x, y in ((start, left), (right, end)) if x < y]
+            self.starts[i : i + 1], self.ends[i : i + 1] = [x for x, _ in pieces], [y for _, y in pieces]
+            i += start < left
+
+
 def _align(rows: list[list[tuple[str, int, int]]]) -> list[str]:
     """Lines of the cells (text, columns, rows) in columns of equal width, two spaces between; a cell's further lines stay
-    in its column, and a column that no cell begins in takes no room."""
-    placed, busy = [], {}
-    for cells in rows:
-        col, row, more = 0, [], {}
+    in its column, and a column that no cell begins in takes no room. A cell takes the first free columns of its row."""
+    placed, columns = [], _Columns()
+    for n, cells in enumerate(rows):
+        columns.row(n)
+        col, row, later = 0, [], []
         for text, across, down in cells:
-            while busy.get(col, 0) > 0:
-                col += 1
+            col = columns.free(col)
             row.append((col, across, text.split("\n")))
             if down > 1:
-                more |= dict.fromkeys(range(col, col + across), down)
+                later.append((col, col + across, n + down))
             col += across
-        busy = {c: n - 1 for c, n in (busy | more).items() if n > 1}
-        placed.append(row)
-    placed = [row for row in placed if any(any(t) for _, _, t in row)]
+        for span in later:
+            columns.hold(*span)
+        if any(any(t) for _, _, t in row):
+            placed.append(row)
     width: dict[int, int] = {}
     for row in placed:
         for col, across, text in row:
@@ -319,13 +416,15 @@ def _align(rows: list[list[tuple[str, int, int]]]) -> list[str]:
         starts[col], at = at, at + width[col] + 2
     lines = []
     for row in placed:
-        for i in range(max((len(t) for _, _, t in row), default=0)):
-            line = ""
-            for col, _, text in row:
-                if i < len(text) and text[i]:
-                    line = line.ljust(starts[col]) if not line or len(line) + 2 <= starts[col] else line + "  "
-                    line += text[i]
-            lines.append(line.rstrip(" "))
+        own: list[list[str]] = [[] for _ in range(max(len(t) for _, _, t in row))]
+        filled = [0] * len(own)
+        for col, _, text in row:
+            for i, words in enumerate(text):
+                if words:
+                    gap = min(max(starts[col] - filled[i], 2 if filled[i] else 0), PADDING)
+                    own[i].append(" " * gap + words)
+                    filled[i] += gap + len(words)
+        lines += ["".join(parts).rstrip(" ") for parts in own]
     return lines
 
 
@@ -334,40 +433,60 @@ def render(page: str | None) -> str:
     if not page:
         return ""
     (root, styles), out = build(page), _Flow()
-    rules = hiding_rules(styles)
-    # frames: (flow, steps); a step is a node, a text or a function to call when its turn comes
-    todo: list = [(out, root, False, None)]
+    rules = style_rules(styles)
+    # frames: (flow, step, preformatted, innermost list, seen); a step is a node, a text or a function to call in its turn
+    todo: list = [(out, root, False, None, True)]
     while todo:
-        flow, x, keep, lists = todo.pop()
+        flow, x, keep, lists, seen = todo.pop()
         if callable(x):
             x()
         elif isinstance(x, str):
-            flow.text(x, keep)
-        elif visible(x, rules):
-            _enter(todo, flow, x, keep, lists, rules)
+            if seen:
+                flow.text(x, keep)
+        else:
+            drawn, own = style(x, rules)
+            if drawn:
+                _enter(todo, flow, x, keep, lists, own == "visible" if own else seen, rules)
     return out.done()
 
 
-def _enter(todo: list, flow: _Flow, x: Node, keep: bool, lists: list | None, rules: set) -> None:
+def _mark(n: int, kind: str) -> str:
+    """A list item's number as its list's type writes it."""
+    if kind in ("a", "A") and n > 0:
+        text = ""
+        while n:
+            n, r = divmod(n - 1, 26)
+            text = chr(97 + r) + text
+    elif kind in ("i", "I") and 0 < n < 4_000:
+        text = ""
+        for value, letters in _ROMAN:
+            text += letters * (n // value)
+            n %= value
+    else:
+        return f"{n}. "
+    return f"{text.upper() if kind.isupper() else text}. "
+
+
+def _enter(todo: list, flow: _Flow, x: Node, keep: bool, lists: list | None, seen: bool, rules: dict) -> None:
     tag = x.tag
     if tag == "br":
-        flow.end_line(True)
+        if seen:
+            flow.end_line(True)
         return
     if tag == "wbr":
         return
-    if tag == "img":
-        flow.text(x.attrs.get("alt", ""), False)
-        return
-    if tag == "input":
-        if x.attrs.get("type", "text").lower() in ("submit", "button", "reset"):
-            flow.text(x.attrs.get("value", ""), False)
+    if tag in ("img", "input"):
+        kind = x.attrs.get("type", "text").strip().lower()
+        shown = "alt" if tag == "img" or kind == "image" else "value" if kind not in _NO_FIELDS else None
+        if seen and shown:
+            flow.text(x.attrs.get(shown, ""), False)
         return
     if tag == "table":
-        _enter_table(todo, flow, x, lists, rules)
+        _enter_table(todo, flow, x, lists, seen, rules)
         return
     if tag == "select":
         shown = [c for o in _shown_options(x, rules) for c in [o.attrs.get("label") or " ".join(c for c in o.children if isinstance(c, str)), " "]]
-        todo += [(flow, c, False, lists) for c in reversed(shown)]
+        todo += [(flow, c, False, lists, seen) for c in reversed(shown)]
         return
     block, spaced = tag in BLOCK, tag in SPACED and not (tag in ("ul", "ol", "menu") and lists)
     steps: list = []
@@ -375,17 +494,18 @@ def _enter(todo: list, flow: _Flow, x: Node, keep: bool, lists: list | None, rul
         flow.block(spaced)
         steps.append(lambda: flow.block(spaced))
     if tag in ("ul", "ol", "menu"):
-        start = x.attrs.get("start", "1")
-        lists = [tag == "ol", int(start) if re.fullmatch(r"-?\d{1,9}", start) else 1]  # the innermost list's kind and next number
+        start, back = x.attrs.get("start", ""), tag == "ol" and "reversed" in x.attrs
+        first = int(start) if re.fullmatch(r"-?\d{1,9}", start) else sum(isinstance(c, Node) and c.tag == "li" and visible(c, rules) for c in x.children) if back else 1
+        lists = [tag == "ol", first, -1 if back else 1, x.attrs.get("type", "1")]  # the innermost list's kind, next number, step and type
     elif tag == "li":
-        own = lists or [False, 1]
+        own = lists or [False, 1, 1, "1"]
         value = x.attrs.get("value", "")
         if own[0] and re.fullmatch(r"-?\d{1,9}", value):
             own[1] = int(value)
-        mark = f"{own[1]}. " if own[0] else "- "
-        own[1] += 1
+        mark = _mark(own[1], x.attrs.get("type", own[3])) if own[0] else "- "
+        own[1] += own[2]
         flow.indent += len(mark)
-        flow.mark = mark
+        flow.mark = mark if seen else ""
         steps.insert(0, lambda: _outdent(flow, len(mark)))
     elif tag in ("blockquote", "dd"):
         flow.indent += 4
@@ -396,8 +516,10 @@ def _enter(todo: list, flow: _Flow, x: Node, keep: bool, lists: list | None, rul
     children = x.children
     if tag == "pre" and children and isinstance(children[0], str) and children[0].startswith("\n"):
         children = [children[0][1:], *children[1:]]
-    todo += [(flow, s, keep, lists) for s in reversed(steps)]
-    todo += [(flow, c, keep, lists) for c in reversed(children)]
+    if tag == "details" and "open" not in x.attrs:
+        children = [c for c in children if isinstance(c, Node) and c.tag == "summary"][:1]
+    todo += [(flow, s, keep, lists, seen) for s in reversed(steps)]
+    todo += [(flow, c, keep, lists, seen) for c in reversed(children)]
 
 
 def _outdent(flow: _Flow, by: int) -> None:
@@ -411,30 +533,35 @@ def _span(x: Node, name: str, most: int) -> int:
     return min(most, int(text)) if re.fullmatch(r"0*[1-9]\d{0,8}", text) else most if name == "rowspan" and re.fullmatch(r"0+", text) else 1
 
 
-def _enter_table(todo: list, flow: _Flow, x: Node, lists: list | None, rules: set) -> None:
-    captions, rows = _rows(x, rules)
+def _enter_table(todo: list, flow: _Flow, x: Node, lists: list | None, seen: bool, rules: dict) -> None:
+    captions, rows = _rows(x, rules, seen)
     flow.block(True)
-    cells = [[(_Flow(), c) for c in row] for row in rows]
+    cells = []
+    for row in rows:
+        cells.append([])
+        for c, inherited in row:
+            own = style(c, rules)[1]
+            cells[-1].append((_Flow(), c, own == "visible" if own else inherited))
 
     def finish() -> None:
-        for line in _align([[(f.done(), _span(c, "colspan", COLSPAN), _span(c, "rowspan", ROWSPAN)) for f, c in row] for row in cells]):
+        for line in _align([[(f.done(), _span(c, "colspan", COLSPAN), _span(c, "rowspan", ROWSPAN)) for f, c, _ in row] for row in cells]):
             flow.parts.append(line)
             flow.end_line(True)
         flow.block(True)
 
-    todo.append((flow, finish, False, None))
+    todo.append((flow, finish, False, None, seen))
     for row in reversed(cells):
-        for f, c in reversed(row):
-            todo += [(f, child, False, None) for child in reversed(c.children)]
-    todo.append((flow, lambda: flow.block(False), False, None))
-    todo += [(flow, c, False, lists) for c in reversed(captions)]
+        for f, c, shown in reversed(row):
+            todo += [(f, child, False, None, shown) for child in reversed(c.children)]
+    todo.append((flow, lambda: flow.block(False), False, None, seen))
+    todo += [(flow, c, False, lists, inherited) for c, inherited in reversed(captions)]
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """One row per row of pages: page_id, text, n_chars, n_lines, text_sha256.
 
-    A null or empty page has an empty text. Broken markup never fails: it is mended as browsers do, or read as text.
-    Repeated rows give repeated results; a null id stays null. Other columns, whatever their names, are not read; an empty
+    A null or empty page has an empty text. Broken markup never fails: it is mended as browsers do, or read as text. Very
+    long pages are read whole, in time and memory that follow their length. Repeated rows give repeated results; a null id stays null. Other columns, whatever their names, are not read; an empty
     table gives an empty result."""
     rows = pages.select(F.col(f"`{id_col}`").cast("long").alias("page_id"), F.col(f"`{html_col}`").cast("string").alias("html"))
 
