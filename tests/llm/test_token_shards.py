@@ -1,10 +1,12 @@
 import hashlib
+import os
 
 import numpy as np
 import public_tokenizers
+import pytest
 
 from tests.llm.helpers import corpus, table
-from varloom.llm.token_shards import Feistel, encoding, read_slots, training_order, write_shards
+from varloom.llm.token_shards import Feistel, encoding, materialise, read_slots, training_order, write_shards
 
 
 def test_feistel_is_a_bijection():
@@ -66,3 +68,20 @@ def test_every_slot_by_brute_force_however_the_table_is_dealt(spark):
     for dealt in (table(spark, rows).coalesce(1), table(spark, rows[::-1]).repartition(7)):
         out = training_order(dealt, length=32, shard_rows=50, key=5)
         assert sorted((r.slot, r.shard, r.doc_id, r.part, r.n_tokens, bytes(r.record)) for r in out.collect()) == want
+
+
+def test_materialise_writes_and_reads_back_what_training_order_has(spark, tmp_path):
+    rows = corpus()
+    want = sorted((r.slot, r.shard, r.doc_id, r.part, r.n_tokens, bytes(r.record)) for r in training_order(table(spark, rows), length=32, shard_rows=50).collect())
+    for folder in (str(tmp_path / "a"), f"file://{tmp_path}/b", f"file:{tmp_path}/c"):
+        out = materialise(table(spark, rows), folder, length=32, shard_rows=50)
+        plain = "/" + folder.removeprefix("file:").lstrip("/")
+        assert sorted(x for x in os.listdir(plain) if not x.startswith(".")) == [f"shard-{i:08d}.bin" for i in range(-(-len(want) // 50))]  # before any action on out
+        got = out.collect()
+        assert sorted((r.slot, r.shard, r.doc_id, r.part, r.n_tokens, bytes(r.record)) for r in got) == want
+        assert all(r.place == r.slot % 50 * 64 for r in got)
+    with open(f"{plain}/shard-00000000.bin", "r+b") as f:
+        f.write(b"\xff" * 64)
+    with pytest.raises(Exception, match="doesn't hold what was written"):
+        out.collect()
+    assert materialise(table(spark, []), str(tmp_path / "d")).count() == 0

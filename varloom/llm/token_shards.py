@@ -4,8 +4,10 @@ Texts become token ids, an end id closes each, and a text is cut into sequences
 padded). Sequences are numbered by (doc_id, digest of the text, part): ranges of that order are sorted, a task numbers
 its own range, and the ranges' totals, one number each, shift them. So the numbers follow from the documents alone, not
 from how they were partitioned. A keyed Feistel permutation of [0, N), by walking cycles of the next power of four, gives each sequence its slot in
-the training order. Slots are cut into ranges of `shard_rows`; each range is one partition, sorted by slot, and can be
+the training order. Slots are cut into ranges of `shard_rows`; each range is one partition, sorted by slot, and is
 written as one file of records of a fixed stride, so that a reader finds a slot by multiplication and can resume.
+
+materialise() does all of it and reads the shards back; training_order() ends at the sorted records.
 """
 
 from __future__ import annotations
@@ -25,10 +27,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varloom.llm.common import durable, key_rows, mix64, table
+from varloom.llm.common import discard, durable, key_rows, mix64, shared_dir, slices, table
 
 LENGTH, SHARD_ROWS, KEY, ROUNDS = 512, 16_384, 20_240_607, 6
 _RECORDS = "slot long, shard long, doc_id long, part int, n_tokens int, record binary"
+_WRITTEN = "slot long, shard long, doc_id long, part int, n_tokens int, place long, record_sha256 string"
 
 
 class Feistel:
@@ -83,7 +86,12 @@ def training_order(docs: DataFrame, path: str | None = None, length: int = LENGT
     off. The same documents have the same slots on any cluster: null ids come first, and rows of equal id and text have
     equal records. Tokens are kept in a table of the shared folder, so lost executors change no number."""
     path = path or public_tokenizers.path("byte_bpe_50k.tiktoken")
-    kind, stride = id_type(path), length * np.dtype(id_type(path)).itemsize
+    return _ordered(_numbered(docs, path, length, id_col, text_col), path, length, shard_rows, key)
+
+
+def _numbered(docs: DataFrame, path: str, length: int, id_col: str, text_col: str) -> DataFrame:
+    """Durable table of the texts' ids: pid (of its range), local (its first sequence's number in the range), parts."""
+    kind = id_type(path)
 
     def encode(batches):
         enc, end = encoding(path)
@@ -108,7 +116,12 @@ def training_order(docs: DataFrame, path: str | None = None, length: int = LENGT
     # ranges by the quantiles of the ids alone, since repartitionByRange() would encode all texts once more for its sample
     at = F.aggregate(F.array(*map(F.lit, sorted(set(bounds)))), F.lit(0), lambda n, x: n + F.when(F.col("doc_id") > x, 1).otherwise(0)) if bounds else F.lit(0)
     coded = coded.repartitionById(ranges, at).sortWithinPartitions("doc_id", "digest")
-    coded = durable(coded.mapInArrow(number, "doc_id long, pid int, local long, parts long, ids binary"), "token-ids")
+    return durable(coded.mapInArrow(number, "doc_id long, pid int, local long, parts long, ids binary"), "token-ids")
+
+
+def _ordered(coded: DataFrame, path: str, length: int, shard_rows: int, key: int) -> DataFrame:
+    """The sequences of a table that _numbered() made, in training order."""
+    kind = id_type(path)
     totals = sorted(map(tuple, coded.groupBy("pid").agg(F.sum("parts")).collect()))  # a number for each range
     starts, n = {}, 0
     for pid, m in totals:
@@ -117,7 +130,7 @@ def training_order(docs: DataFrame, path: str | None = None, length: int = LENGT
 
     def place(batches):
         end = encoding(path)[1]
-        for b in batches:
+        for b in slices(batches):
             out = {"slot": [], "doc_id": [], "part": [], "n": [], "record": []}
             for doc_id, pid, local, parts, ids in zip(*(b.column(c).to_pylist() for c in ("doc_id", "pid", "local", "parts", "ids"))):
                 ids = np.frombuffer(ids, kind)
@@ -132,16 +145,51 @@ def training_order(docs: DataFrame, path: str | None = None, length: int = LENGT
                 slot = order.slots(np.concatenate(out["slot"]))
                 yield pa.RecordBatch.from_pydict({"slot": pa.array(slot), "shard": pa.array(slot // shard_rows), "doc_id": pa.array(out["doc_id"], pa.int64()), "part": pa.array(np.concatenate(out["part"])), "n_tokens": pa.array(np.concatenate(out["n"])), "record": pa.array(out["record"], pa.binary())})
 
-    assert stride == len(np.zeros(length, kind).tobytes())
     shards = max(1, -(-n // shard_rows))
     return coded.mapInArrow(place, _RECORDS).repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("slot")
 
 
+def _store(folder: str) -> tuple[pa.fs.FileSystem, str]:
+    if "://" in folder:
+        return pa.fs.FileSystem.from_uri(folder)
+    return pa.fs.LocalFileSystem(), folder.removeprefix("file:")
+
+
 def _digest(fs, path: str) -> str:
     with fs.open_input_stream(path) as f:
         return hashlib.sha256(f.read()).hexdigest()
 
 
+def _save(folder: str, shard: int, records: list[bytes]) -> tuple[str, int, str]:
+    """Write a shard unless it is there with the same bytes: (path, bytes, digest)."""
+    fs, root = _store(folder)
+    path, data = f"{root}/shard-{shard:08d}.bin", b"".join(records)
+    digest = hashlib.sha256(data).hexdigest()
+    if not (fs.get_file_info(path).size == len(data) and _digest(fs, path) == digest):
+        draft = f"{root}/.{uuid.uuid4().hex}"
+        with fs.open_output_stream(draft) as f:
+            f.write(data)
+        fs.move(draft, path)
+    return path, len(data), digest
+
+
+def _by_shard(batches):
+    """(shard, its records as rows of a table); a shard's records follow each other."""
+    at, held = None, []
+    for b in batches:
+        shards = b.column("shard").to_numpy()
+        cuts = [0, *(np.flatnonzero(np.diff(shards)) + 1).tolist(), len(shards)]
+        for i, j in zip(cuts, cuts[1:]):
+            if i < j:
+                if held and shards[i] != at:
+                    yield at, pa.Table.from_batches(held)
+                    held = []
+                at = int(shards[i])
+                held.append(b.slice(i, j - i))
+    if held:
+        yield at, pa.Table.from_batches(held)
+
+
 def write_shards(records: DataFrame, folder: str) -> DataFrame:
     """Write each shard as folder/shard-NNNNNNNN.bin, records in slot order; one row per shard: shard, path, first_slot,
     rows, bytes, sha256. folder: a path or URI that pyarrow can write to, shared by all executors.
@@ -149,37 +197,76 @@ def write_shards(records: DataFrame, folder: str) -> DataFrame:
     A shard appears under its name only when whole; one that is there with the same bytes isn't written again, so a job
     that was cut off goes on where it stopped. Shards of another job, which may have the same size, are replaced; those
     beyond the last one of this job stay. records: from training_order()."""
-    fs, root = pa.fs.FileSystem.from_uri(folder) if "://" in folder else (pa.fs.LocalFileSystem(), folder)
+    fs, root = _store(folder)
     fs.create_dir(root, recursive=True)
 
-    def save(shard: int, rows: list) -> dict:
-        fs, root = pa.fs.FileSystem.from_uri(folder) if "://" in folder else (pa.fs.LocalFileSystem(), folder)
-        path, data = f"{root}/shard-{shard:08d}.bin", b"".join(r for _, r in rows)
-        if not (fs.get_file_info(path).size == len(data) and _digest(fs, path) == hashlib.sha256(data).hexdigest()):
-            draft = f"{root}/.{uuid.uuid4().hex}"
-            with fs.open_output_stream(draft) as f:
-                f.write(data)
-            fs.move(draft, path)
-        return {"shard": shard, "path": path, "first_slot": rows[0][0], "rows": len(rows), "bytes": len(data), "sha256": hashlib.sha256(data).hexdigest()}
-
     def run(batches):
-        at, rows = None, []
-        for b in batches:
-            for shard, slot, record in zip(*(b.column(c).to_pylist() for c in ("shard", "slot", "record"))):
-                if shard != at and rows:
-                    yield pa.RecordBatch.from_pylist([save(at, rows)])
-                    rows = []
-                at = shard
-                rows.append((slot, record))
-        if rows:
-            yield pa.RecordBatch.from_pylist([save(at, rows)])
+        for shard, rows in _by_shard(batches):
+            path, size, digest = _save(folder, shard, rows.column("record").to_pylist())
+            yield pa.RecordBatch.from_pylist([{"shard": shard, "path": path, "first_slot": rows.column("slot")[0].as_py(), "rows": len(rows), "bytes": size, "sha256": digest}])
 
     return records.select("shard", "slot", "record").mapInArrow(run, "shard long, path string, first_slot long, rows long, bytes long, sha256 string")
 
 
+def write_sequences(records: DataFrame, folder: str) -> DataFrame:
+    """Write the shards as write_shards() does; one row per sequence: slot, shard, doc_id, part, n_tokens, place (of its
+    record in the shard's file) and record_sha256."""
+    fs, root = _store(folder)
+    fs.create_dir(root, recursive=True)
+
+    def run(batches):
+        for shard, rows in _by_shard(batches):
+            held = rows.column("record").to_pylist()
+            _save(folder, shard, held)
+            places = np.cumsum([0, *map(len, held[:-1])])
+            digests = [hashlib.sha256(r).hexdigest() for r in held]
+            out = rows.drop_columns("record").append_column("place", pa.array(places, pa.int64())).append_column("record_sha256", pa.array(digests, pa.string()))
+            yield from out.combine_chunks().to_batches()
+
+    return records.mapInArrow(run, _WRITTEN)
+
+
+def read_sequences(rows: DataFrame, folder: str, stride: int) -> DataFrame:
+    """rows of write_sequences() with the records, read from their places in the shards; one that isn't what was written is
+    an error. A shard's rows are read from first to last, so its file is read once, in order."""
+
+    def run(batches):
+        at, f = None, None
+        for b in slices(batches):
+            records = []
+            for shard, place, digest in zip(*(b.column(c).to_pylist() for c in ("shard", "place", "record_sha256"))):
+                if shard != at:
+                    if f:
+                        f.close()
+                    fs, root = _store(folder)
+                    at, f = shard, fs.open_input_file(f"{root}/shard-{shard:08d}.bin")
+                f.seek(place)
+                records.append(f.read(stride))
+                if hashlib.sha256(records[-1]).hexdigest() != digest:
+                    raise ValueError(f"shard {shard} doesn't hold what was written at {place}")
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(records, pa.binary())], names=[*b.schema.names, "record"])
+        if f:
+            f.close()
+
+    return rows.mapInArrow(run, f"{_WRITTEN}, record binary")
+
+
+def materialise(docs: DataFrame, folder: str, path: str | None = None, length: int = LENGTH, shard_rows: int = SHARD_ROWS, key: int = KEY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Write all sequences of docs in training order as shards in folder, and read them back: one row per sequence, with the
+    columns of write_sequences() and record. Null ids, empty texts, repeated rows and empty tables: as in training_order().
+
+    The shards are written before this returns; the table of token ids is deleted then, and what the result reads are the
+    shards and a table of the sequences' places. Tasks that are run again find their shards there."""
+    path = path or public_tokenizers.path("byte_bpe_50k.tiktoken")
+    coded = _numbered(docs, path, length, id_col, text_col)
+    rows = durable(write_sequences(_ordered(coded, path, length, shard_rows, key), folder), "sequences")
+    discard(coded)
+    return read_sequences(rows, folder, length * np.dtype(id_type(path)).itemsize)
+
+
 def read_slots(folder: str, first: int, count: int, length: int = LENGTH, shard_rows: int = SHARD_ROWS, kind: str = "<u2"):
     """Yield the ids of `count` sequences from slot `first` on, by seeking in the shards."""
-    fs, root = pa.fs.FileSystem.from_uri(folder) if "://" in folder else (pa.fs.LocalFileSystem(), folder)
+    fs, root = _store(folder)
     stride = length * np.dtype(kind).itemsize
     while count > 0:
         shard, row = divmod(first, shard_rows)
@@ -193,4 +280,4 @@ def read_slots(folder: str, first: int, count: int, length: int = LENGTH, shard_
 
 
 def op3_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return training_order(table(spark, sf_dir, "documents"))
+    return materialise(table(spark, sf_dir, "documents"), f"{shared_dir(spark)}/shards-{uuid.uuid4().hex}")
