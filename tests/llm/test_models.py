@@ -259,3 +259,51 @@ def test_lm_gives_the_commonest_ids_classes_of_their_own():
         ids = np.flatnonzero(kind)
         assert (f.class_of[ids] >= a).all() and (f.class_of[ids] < b).all()
         assert (own[a : a + single] == 1).all() and (f.class_of[ids[:single]] == a + np.arange(single)).all() and (own[a:b] > 0).all()
+
+
+def test_toxicity_fit_by_brute_force(spark, monkeypatch):
+    """The whole fit once more with dense matrices: counts, choice of n-grams, weights, folds and bias."""
+    from pyspark.sql import functions as F
+
+    from varloom.llm.ngrams import folded, gram_bins
+
+    monkeypatch.setattr(toxicity, "FEATURES", 60)  # read by the driver alone
+    rng = random.Random(12)
+    words = ["river", "stone", "cloud", "garden", "window", "paper"]
+    rows = [(i, " ".join(rng.choices(words + (["vilest", "scumbag"] if i % 3 == 0 else []), k=8))) for i in range(90)] + [(200, None), (201, "ab")]
+    labels = [(i, int(i % 3 == 0)) for i, _ in rows]
+    lab = spark.createDataFrame(labels, "doc_id long, toxic int")
+    got = {r.doc_id: r.score for r in toxicity.score_toxicity(table(spark, rows), lab).collect()}
+    fold = {r[0]: r[1] for r in lab.select("doc_id", F.pmod(F.hash("doc_id"), F.lit(toxicity.FOLDS))).collect()}
+    held = {i: set(np.concatenate([*gram_bins(folded(t), toxicity.SIZES, toxicity.BITS), np.empty(0, np.int64)]).tolist()) for i, t in rows}
+    learn = [i for i, _ in rows if zlib.crc32(str(i).encode()) % 3 != 1]
+    toxic = dict(labels)
+
+    def model(ids):
+        y = np.array([toxic[i] for i in ids], float)
+        bins = sorted(set().union(*(held[i] for i in ids)))
+        x = np.array([[b in held[i] for b in bins] for i in ids], float)
+        t, c, share = x[y == 1].sum(0), x[y == 0].sum(0), y.mean()
+        with np.errstate(all="ignore"):
+            gain = np.where(t > 0, t * np.log(t / ((t + c) * share)), 0) + np.where(c > 0, c * np.log(c / ((t + c) * (1 - share))), 0)
+        best = sorted(range(len(bins)), key=lambda k: (-round(gain[k], 9), bins[k]))[:60]
+        ratio = np.log((t[best] + 0.5) / (y.sum() + 1)) - np.log((c[best] + 0.5) / (len(y) - y.sum() + 1))
+        x = x[:, best] * ratio
+        balance = np.where(y == 1, 1 / (2 * y.sum()), 1 / (2 * (1 - y).sum()))
+        w, bias, g2, gb = np.zeros(len(best)), 0.0, 1e-8, 1e-8
+        for _ in range(toxicity.ROUNDS):
+            err = (1 / (1 + np.exp(-(x @ w + bias))) - y) * balance
+            g = toxicity.DECAY * w + x.T @ err
+            g2, gb = g2 + g * g, gb + err.sum() ** 2
+            w, bias = w - toxicity.RATE * g / np.sqrt(g2), bias - toxicity.RATE * err.sum() / np.sqrt(gb)
+        weight = dict(zip([bins[k] for k in best], w * ratio))
+        return lambda i: sum(weight.get(b, 0.0) for b in held[i])
+
+    apart = [(model([j for j in learn if fold[j] != f])(i), toxic[i]) for f in range(toxicity.FOLDS) for i in learn if fold[i] == f]
+    clean, bad = [z for z, t in apart if not t], [z for z, t in apart if t]
+    low, high = np.quantile(clean, toxicity.CLEAN_BELOW), np.quantile(bad, toxicity.TOXIC_BELOW)
+    cut = low + toxicity.UP * min(1, toxicity.FEW_CLEAN / len(clean)) * max(0, high - low)
+    final = model(learn)
+    for i, t in rows:
+        want = 1 / (1 + np.exp(-(final(i) - cut + np.log(0.7 / 0.3)))) if len(t or "") > 1 else np.mean([toxic[j] for j in learn])
+        assert got[i] == pytest.approx(want, abs=1e-7), i
