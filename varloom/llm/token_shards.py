@@ -19,7 +19,6 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import pyarrow.fs
 import public_tokenizers
 import tiktoken
@@ -77,6 +76,18 @@ def id_type(path: str) -> str:
     return "<u2" if encoding(path)[1] < 65_536 else "<u4"
 
 
+def _pack(ids: np.ndarray) -> bytes:
+    """A text's ids, compressed; the bytes of one order stand together, as the high ones repeat."""
+    planes = ids.view(np.uint8).reshape(-1, ids.itemsize).T
+    return pa.Codec("zstd").compress(planes.tobytes(), asbytes=True)
+
+
+def _unpack(data: bytes, n: int, kind: str) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.Codec("zstd").decompress(data, n * size, asbytes=True), np.uint8).reshape(size, n)
+    return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
+
+
 def training_order(docs: DataFrame, path: str | None = None, length: int = LENGTH, shard_rows: int = SHARD_ROWS, key: int = KEY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per sequence: slot, shard, doc_id, part (of its text), n_tokens (without padding), record (its bytes).
 
@@ -97,26 +108,27 @@ def _numbered(docs: DataFrame, path: str, length: int, id_col: str, text_col: st
         enc, end = encoding(path)
         for b in batches:
             texts = [t or "" for t in b.column("text").to_pylist()]
-            ids = [np.array([*enc.encode_ordinary(t), end], kind).tobytes() for t in texts]
+            ids = [np.array([*enc.encode_ordinary(t), end], kind) for t in texts]
+            counts, packed = [len(x) for x in ids], [_pack(x) for x in ids]
             digest = [hashlib.blake2b(t.encode("utf-8"), digest_size=16).digest() for t in texts]
-            yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id"), "digest": pa.array(digest, pa.binary()), "ids": pa.array(ids, pa.binary())})
+            yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id"), "digest": pa.array(digest, pa.binary()), "n": pa.array(counts, pa.int64()), "ids": pa.array(packed, pa.binary())})
 
     def number(batches):
         pid, so_far = TaskContext.get().partitionId(), 0
         for b in batches:
-            n = pc.binary_length(b.column("ids")).to_numpy().astype(np.int64) // np.dtype(kind).itemsize
+            n = b.column("n").to_numpy()
             parts = -(-n // length)
             local = so_far + np.cumsum(parts) - parts
             so_far += int(parts.sum())
-            yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id"), "pid": pa.array(np.full(len(n), pid), pa.int32()), "local": pa.array(local), "parts": pa.array(parts), "ids": b.column("ids")})
+            yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id"), "pid": pa.array(np.full(len(n), pid), pa.int32()), "local": pa.array(local), "parts": pa.array(parts), "n": b.column("n"), "ids": b.column("ids")})
 
-    coded = key_rows(docs, id_col, text_col).mapInArrow(encode, "doc_id long, digest binary, ids binary")
+    coded = key_rows(docs, id_col, text_col).mapInArrow(encode, "doc_id long, digest binary, n long, ids binary")
     ranges = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     bounds = key_rows(docs, id_col, text_col).agg(F.percentile_approx("doc_id", [i / ranges for i in range(1, ranges)], 100 * ranges)).first()[0] if ranges > 1 else None
     # ranges by the quantiles of the ids alone, since repartitionByRange() would encode all texts once more for its sample
     at = F.aggregate(F.array(*map(F.lit, sorted(set(bounds)))), F.lit(0), lambda n, x: n + F.when(F.col("doc_id") > x, 1).otherwise(0)) if bounds else F.lit(0)
     coded = coded.repartitionById(ranges, at).sortWithinPartitions("doc_id", "digest")
-    return durable(coded.mapInArrow(number, "doc_id long, pid int, local long, parts long, ids binary"), "token-ids")
+    return durable(coded.mapInArrow(number, "doc_id long, pid int, local long, parts long, n long, ids binary"), "token-ids")
 
 
 def _ordered(coded: DataFrame, path: str, length: int, shard_rows: int, key: int) -> DataFrame:
@@ -132,8 +144,8 @@ def _ordered(coded: DataFrame, path: str, length: int, shard_rows: int, key: int
         end = encoding(path)[1]
         for b in slices(batches):
             out = {"slot": [], "doc_id": [], "part": [], "n": [], "record": []}
-            for doc_id, pid, local, parts, ids in zip(*(b.column(c).to_pylist() for c in ("doc_id", "pid", "local", "parts", "ids"))):
-                ids = np.frombuffer(ids, kind)
+            for doc_id, pid, local, parts, n_ids, ids in zip(*(b.column(c).to_pylist() for c in ("doc_id", "pid", "local", "parts", "n", "ids"))):
+                ids = _unpack(ids, n_ids, kind)
                 rows = np.full((parts, length), end, kind)
                 rows.reshape(-1)[: len(ids)] = ids
                 out["slot"].append(starts[pid] + local + np.arange(parts))
