@@ -19,6 +19,7 @@ automaton could report in it.
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
 
 import ahocorasick
 import numpy as np
@@ -31,6 +32,8 @@ from varloom.llm.common import HOT_KEYS, Words, discard, drop_ids, durable, keep
 WINDOW = 50
 #: Anchors of one owner that one salt holds, about; a segment has some dozens.
 SALT_ANCHORS = 20_000
+#: Hits that an automaton remembers by the words around them; beyond it, it forgets them all.
+REMEMBERED = 50_000
 
 
 def anchor_words(window: int) -> int:
@@ -116,7 +119,9 @@ class Automaton:
     """Passages, each with the document that has it first, behind the phrases that they hold.
 
     A phrase of a passage with the words around it, as far as a window with the phrase can reach, is a place. Places
-    with equal words are one place, of the least document, so that a periodic passage has few."""
+    with equal words are one place, of the least document, so that a periodic passage has few. A hit is compared with all
+    places of its phrase at once, and what it gave is remembered by the words around it, so that periodic texts and near
+    copies, whose hits stand in the same words again and again, aren't compared anew."""
 
     def __init__(self, window: int):
         self.window, self.phrase = window, max(1, window // 2)
@@ -124,6 +129,7 @@ class Automaton:
         self.vocabulary: dict[bytes, int] = {}
         self._places: dict[tuple, dict] = {}
         self._tree = None
+        self._met: dict[tuple[int, bytes], tuple] = {}
 
     def add(self, first: int, passage: Words) -> None:
         ids = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in passage.data.split(b" ")]
@@ -136,38 +142,59 @@ class Automaton:
 
     def compile(self) -> None:
         self._tree = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-        for phrase, places in self._places.items():
-            self._tree.add_word(phrase, [(before, np.array(words, np.int64), first) for (before, words), first in places.items()])
+        reach = self.window - self.phrase
+        for n, (phrase, places) in enumerate(self._places.items()):
+            # a row for each place, in order of its document, with -1 where the passage has ended
+            rows = np.full((len(places), reach + self.window), -1, np.int32)
+            ranked = sorted(places.items(), key=lambda x: x[1])
+            for row, ((before, words), _) in zip(rows, ranked):
+                row[reach - before : reach - before + len(words)] = words
+            self._tree.add_word(phrase, (n, rows, np.array([first for _, first in ranked], np.int64)))
         if self._places:
             self._tree.make_automaton()
 
+    def _reached(self, rows: np.ndarray, firsts: np.ndarray, own: np.ndarray) -> tuple:
+        """(documents, starts, ends): from the hit's words on, what the places of this document and all before it cover."""
+        reach = self.window - self.phrase
+        differ = rows != own
+        # from the phrase on to both sides, with one word that differs beyond the end
+        left = np.concatenate([differ[:, reach - 1 :: -1] if reach else differ[:, :0], np.ones((len(rows), 1), bool)], 1).argmax(1)
+        right = np.concatenate([differ[:, reach + self.phrase :], np.ones((len(rows), 1), bool)], 1).argmax(1)
+        out: tuple[list, list, list] = [], [], []
+        start = end = -1  # all stretches hold the phrase, so those of the documents so far make one
+        for k in np.flatnonzero(left + right >= reach).tolist():
+            if left[k] > start or right[k] > end:
+                start, end = max(start, int(left[k])), max(end, int(right[k]))
+                for x, v in zip(out, (int(firsts[k]), -start, self.phrase + end)):
+                    x.append(v)
+        return out
+
     def covered(self, doc_id: int, segment: Words) -> np.ndarray:
         """Which words lie in a window of a passage that a smaller document has first."""
         if self._tree is None:
             self.compile()
-        n, out = len(segment), np.zeros(len(segment), bool)
+        n = len(segment)
         if not self._places or n < self.window:
-            return out
+            return np.zeros(n, bool)
         ids = [self.vocabulary.get(w, 0) for w in segment.data.split(b" ")]
-        own, reach = np.array(ids, np.int64), self.window - self.phrase
-        for end, places in self._tree.iter(tuple(ids)):
+        reach, steps = self.window - self.phrase, np.zeros(n + 1, np.int64)
+        own = np.full(n + reach + self.window, -2, np.int32)  # -2: outside of the segment
+        own[reach : reach + n] = ids
+        data, size = own.tobytes(), own.itemsize
+        for end, (phrase, rows, firsts) in self._tree.iter(tuple(ids)):
             at = end - self.phrase + 1
-            around = out[max(0, at - reach) : at + self.window]
-            for before, words, first in places:
-                if first >= doc_id:
-                    continue
-                if around.all():  # no window with this phrase has more to give
-                    break
-                low = max(0, at - before)
-                theirs = words[before - (at - low) :]
-                differ = np.flatnonzero(own[low : low + len(theirs)] != theirs[: n - low])
-                left = differ[differ < at - low]
-                right = differ[differ >= at - low]
-                s = low + (int(left[-1]) + 1 if len(left) else 0)
-                e = low + (int(right[0]) if len(right) else min(len(theirs), n - low))
-                if e - s >= self.window:
-                    out[s:e] = True
-        return out
+            words = data[at * size : (at + reach + self.window) * size]
+            found = self._met.get((phrase, words))
+            if found is None:
+                if len(self._met) >= REMEMBERED:
+                    self._met.clear()
+                found = self._met[phrase, words] = self._reached(rows, firsts, own[at : at + reach + self.window])
+            documents, starts, ends = found
+            k = bisect_left(documents, doc_id) - 1
+            if k >= 0:
+                steps[at + starts[k]] += 1
+                steps[at + ends[k]] -= 1
+        return np.cumsum(steps[:-1]) > 0
 
 
 def _stream(window: int):
