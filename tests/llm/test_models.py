@@ -250,6 +250,26 @@ def test_lm_is_trained_on_windows_of_every_text(spark, monkeypatch):
     assert not drawn - want and 0.1 < sum(drawn.values()) / sum(want.values()) < 0.4
 
 
+def test_lm_leaves_no_window_out_of_a_corpus_with_enough_for_all_steps(spark, monkeypatch):
+    rows = [*corpus(), (910, " ".join(f"w{i % 300}" for i in range(60_000)))]
+    path, kept = lm_scoring.public_tokenizers.path(lm_scoring.VOCABULARY), {}
+    sub = lm_scoring.subwords(path)
+    counts = np.bincount(np.concatenate([ids for _, ids, _ in sub.code([lm_scoring.words_of(t) for _, t in rows])]), minlength=sub.n_ids).astype(float)
+    f, want = A.Folding(counts, sub.begins), Counter()
+    start = int(f.class_of[sub.end])
+    for _, t in rows:
+        w = lm_scoring.words_of(t)
+        for k in range(0, len(w) + 1, lm_scoring.PART):
+            ids = sub.code([w[k : k + lm_scoring.PART]])[0][1]
+            last = k + lm_scoring.PART > len(w)
+            want.update(r.tobytes() for r in A.spans(f.class_of[ids if last else ids[:-1]], f.pad if k else start, f.pad))
+    monkeypatch.setattr(lm_scoring, "STEPS", 10)  # a few batches are enough for them
+    monkeypatch.setattr(lm_scoring, "durable", lambda df, label, *by: kept.__setitem__(label, durable(df, label, *by)) or kept[label])
+    lm_scoring.train(table(spark, rows), f, path, float(counts.sum()))
+    width = 2 * (A.OVERLAP + A.SCORED + 1)
+    assert Counter(bytes(r.spans[i : i + width]) for r in kept["lm-spans"].collect() for i in range(0, len(r.spans), width)) == want
+
+
 def test_lm_gives_the_commonest_ids_classes_of_their_own():
     counts, begins = 1e6 / np.arange(1, 50_001), np.arange(50_000) % 3 > 0
     f = A.Folding(counts, begins)

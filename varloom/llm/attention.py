@@ -20,8 +20,8 @@ OVERLAP, SCORED = 8, 24
 WIDTH, HIDDEN, GROUPS, MEMBERS = 16, 32, 32, 32
 #: Share of the classes that hold one id.
 SINGLE = 0.75
-#: Steps of training in each task, over all rounds; windows of a batch; the first rate.
-STEPS, BATCH, RATE = 2_000, 32, 8e-3
+#: Steps of training in each task, over all rounds; windows of a batch, and of one where there are many; the first rate.
+STEPS, BATCH, WIDE, RATE = 2_000, 32, 256, 8e-3
 #: Training by parts goes in so many rounds at most, each of so many tasks at least.
 ROUNDS, TASKS = 10, 3
 #: Windows that one matrix product takes.
@@ -266,16 +266,16 @@ class Attention:
                 at += w.size
         return self
 
-    def train(self, x: np.ndarray, y: np.ndarray, steps: int = STEPS, seed: int = 11, turn: int = 0, turns: int = 1) -> float:
+    def train(self, x: np.ndarray, y: np.ndarray, steps: int = STEPS, seed: int = 11, turn: int = 0, turns: int = 1, batch: int = BATCH) -> float:
         """Adam over batches of windows in random order, each window as often as any other, give or take one; the last
         losses' mean. No windows: the model stays as it was. These steps are number `turn` of `turns` equal parts."""
         if not len(x):
             return 0.0
         one_thread()
         r, first, second, losses = np.random.default_rng(seed), self.first, self.second, []
-        order = np.concatenate([r.permutation(len(x)) for _ in range(-(-steps * BATCH // len(x)))])
+        order = np.concatenate([r.permutation(len(x)) for _ in range(-(-steps * batch // len(x)))])
         for s in range(turn * steps + 1, (turn + 1) * steps + 1):
-            i = order[(s - turn * steps - 1) * BATCH :][:BATCH]
+            i = order[(s - turn * steps - 1) * batch :][:batch]
             loss, g = self.gradients(x[i], y[i])
             losses.append(loss)
             rate = RATE * min(1, s / 50) * (1 - 0.95 * s / (turns * steps))

@@ -2,8 +2,8 @@
 
 1. Words are counted in each task over all learning texts and summed by Spark; nothing bounds their number.
 2. The distinct words, weighted by their counts, give the counts of subword ids that fold the vocabulary into classes.
-3. The attention model is trained in numpy on windows drawn at one rate from all learning texts, by tasks whose models
-   are averaged in rounds; windows, steps and tasks grow with the corpus.
+3. The attention model is trained in numpy on every window of all learning texts, by tasks whose models are averaged in
+   rounds; windows, batches and tasks grow with the corpus.
 4. One Arrow map scores each text: words that stand in the table of commonest words (a bounded broadcast) are done at
    once; each occurrence of another word is handed on with its log p. These rows join with the counts by word.
 
@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varloom.llm.attention import BATCH, OVERLAP, ROUNDS, SCORED, STEPS, TASKS, Attention, Folding, spans, unspan, windows
+from varloom.llm.attention import BATCH, OVERLAP, ROUNDS, SCORED, STEPS, TASKS, WIDE, Attention, Folding, spans, unspan, windows
 from varloom.llm.common import durable, held_out, key_rows, slices, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -37,9 +37,8 @@ VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 COMMON_WORDS, COMMON_BYTES = 400_000, 64
 #: Weight of the discounted counts.
 SEEN = 0.88
-#: The share of the text that the model is trained on where the corpus has enough for STEPS batches, and the words of the
-#: parts that are drawn.
-DRAWN, PART = 1 / 64, 128
+#: The share of the text that the model is trained on, all of it, and the words of the parts that texts are cut into.
+DRAWN, PART = 1.0, 128
 #: Words that a worker counts or remembers before it hands them on or forgets them.
 HELD_WORDS = 400_000
 LN10 = float(np.log(10))
@@ -134,17 +133,19 @@ def _count(batches):
 def train(rows: DataFrame, folding: Folding, path: str, tokens: float) -> Attention:
     """On windows of all rows of (doc_id, text), by averaging over tasks. tokens: the subword ids of all rows.
 
-    Texts are cut into parts of PART words, and each is drawn with the same chance: DRAWN, or more where that gives TASKS
-    tasks fewer than STEPS batches. The windows of the parts are dealt over the rounds at random, so each round sees all parts of the corpus. In a round, tasks go on from
-    one model, each with its windows of the round; the mean of their models and of Adam's moments, by windows, begins the
-    next round. With the corpus grow the tasks of a round, STEPS batches each in all; where it has too few windows,
-    they are taken repeatedly."""
+    Texts are cut into parts of PART words. All are learnt from; with DRAWN below 1 each is drawn with the same chance, DRAWN,
+    or more where that gives TASKS tasks fewer than STEPS batches. The windows of the parts are dealt over the rounds at
+    random, so each round sees all parts of the corpus. In a round, tasks go on from one model, each with its windows of the
+    round; the mean of their models and of Adam's moments, by windows, begins the next round. With the corpus grow the
+    batches, from BATCH to WIDE windows, and then the tasks of a round, STEPS batches each in all; where it has too few
+    windows, they are taken repeatedly."""
     if not tokens:
         return Attention(used=folding.used)
     start, spark = int(folding.class_of[subwords(path).end]), rows.sparkSession
-    in_all = tokens / SCORED / BATCH
-    share = min(1.0, max(DRAWN, STEPS * TASKS / in_all))
-    tasks, rounds = max(TASKS, round(in_all * share / STEPS)), ROUNDS
+    in_all = tokens / SCORED
+    share = min(1.0, max(DRAWN, STEPS * TASKS * BATCH / in_all))
+    batch = int(min(WIDE, max(BATCH, in_all * share / STEPS / TASKS)))
+    tasks, rounds = max(TASKS, round(in_all * share / STEPS / batch)), ROUNDS
     least = STEPS // rounds  # of a task in a round
 
     def deal(batches):
@@ -172,7 +173,7 @@ def train(rows: DataFrame, folding: Folding, path: str, tokens: float) -> Attent
             if got:
                 x, y = unspan(np.concatenate(got).reshape(-1, OVERLAP + SCORED + 1), folding.pad)
                 model = Attention(used=folding.used).load(np.frombuffer(shared.value, np.float32))
-                model.train(x, y, max(least, -(-len(x) // BATCH)), TaskContext.get().partitionId() * rounds + turn, turn, rounds)
+                model.train(x, y, max(least, -(-len(x) // batch)), TaskContext.get().partitionId() * rounds + turn, turn, rounds, batch)
                 yield _state(len(x), model.state())
 
         return run
