@@ -1,5 +1,6 @@
 import hashlib
 import os
+import time
 
 import numpy as np
 import public_tokenizers
@@ -85,3 +86,30 @@ def test_materialise_writes_and_reads_back_what_training_order_has(spark, tmp_pa
     with pytest.raises(Exception, match="doesn't hold what was written"):
         out.collect()
     assert materialise(table(spark, []), str(tmp_path / "d")).count() == 0
+
+
+def test_shards_are_written_range_after_range_and_shuffled_records_go_between(spark, tmp_path, monkeypatch):
+    """When a range of shards is shuffled, those before it are written and neither their records nor the first shuffle's ids
+    are on disk any more."""
+    from varloom.llm import token_shards as T
+
+    rows, seen, local = corpus() * 20, [], spark.conf.get("spark.local.dir", None) or os.environ.get("SPARK_LOCAL_DIRS") or "/tmp"
+    blocks = lambda: {f for d, _, files in os.walk(local) if "blockmgr" in d for f in files if f.startswith("shuffle_") and f.endswith(".data") and os.stat(f"{d}/{f}").st_mtime >= began}
+
+    def watched(df, label, *by):
+        seen.append((label, len(blocks()), sum(x.endswith(".bin") for x in os.listdir(tmp_path / "a"))))
+        return T_durable(df, label, *by)
+
+    T_durable, began = T.durable, time.time()
+    os.makedirs(tmp_path / "a")
+    monkeypatch.setattr(T, "durable", watched)
+    out = materialise(table(spark, rows), str(tmp_path / "a"), length=32, shard_rows=50)
+    waves = [x for x in seen if x[0] == "sequences"]
+    assert len(waves) == T.WAVES and [n for _, n, _ in waves] == [0] * T.WAVES and not blocks()
+    shards = len([x for x in os.listdir(tmp_path / "a") if x.endswith(".bin")])
+    assert [n for *_, n in waves] == [shards * k // T.WAVES for k in range(T.WAVES)]
+    monkeypatch.setattr(T, "durable", T_durable)
+    plain = training_order(table(spark, rows), length=32, shard_rows=50)
+    want = sorted((r.slot, r.shard, r.doc_id, r.part, bytes(r.record)) for r in plain.collect())
+    assert blocks()  # those of other queries stay until the driver collects its garbage
+    assert sorted((r.slot, r.shard, r.doc_id, r.part, bytes(r.record)) for r in out.collect()) == want
