@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm.helpers import corpus, ordered, table
@@ -115,6 +116,55 @@ def test_attention_gradients_and_fast_scoring():
     assert np.exp(every).sum(1) == pytest.approx(1) and np.exp(every[:, ~used]).max() == 0
 
 
+def test_attention_is_scored_where_powers_of_logits_vanish():
+    """A kind of groups that has next to no probability still tells its own groups apart."""
+    n = A.GROUPS * A.MEMBERS
+    rng = np.random.default_rng(2)
+    x, y = rng.integers(0, n + 1, (40, A.OVERLAP + A.SCORED)).astype(np.int16), rng.integers(0, n, (40, A.SCORED))
+    for first, shift in ((3, -300), (3, 300), (20, -300)):
+        f = A.Attention(seed=1)
+        f.p["bu"][:first] += shift
+        every, t = slow(f, x), y.ravel()
+        lp, begins = f.log_probs(x, y, first)
+        opens = every[:, : first * A.MEMBERS].max(1)
+        opens += np.log(np.exp(every[:, : first * A.MEMBERS] - opens[:, None]).sum(1))
+        assert lp.ravel() == pytest.approx(every[np.arange(len(t)), t], rel=1e-5, abs=1e-3)
+        assert begins.ravel() == pytest.approx(opens, rel=1e-5, abs=1e-3)
+
+
+def test_attention_gradients_add_up_over_blocks(monkeypatch):
+    """Many windows give the mean of the gradients of their parts, by targets."""
+    rng = np.random.default_rng(4)
+    n = A.GROUPS * A.MEMBERS
+    x, y = rng.integers(0, n + 1, (2 * A.BLOCK + 7, A.OVERLAP + A.SCORED)).astype(np.int16), rng.integers(-1, n, (2 * A.BLOCK + 7, A.SCORED))
+    f = A.Attention(seed=3)
+    loss, whole = f.gradients(x, y)
+    monkeypatch.setattr(A, "BLOCK", 1_000)
+    cuts = (slice(0, 50), slice(50, 60), slice(60, None))
+    parts = [(np.count_nonzero(y[c] >= 0), *f.gradients(x[c], y[c])) for c in cuts]
+    total = sum(k for k, _, _ in parts)
+    assert loss == pytest.approx(sum(k * v for k, v, _ in parts) / total, rel=1e-5)
+    for name in f.p:
+        assert whole[name] == pytest.approx(sum(k * g[name] for k, _, g in parts) / total, abs=1e-5)
+
+
+def test_texts_coded_at_once_as_one_by_one():
+    path = lm_scoring.public_tokenizers.path(lm_scoring.VOCABULARY)
+    texts = [None, "", " \t\n\x0b\x0c\r", "a\x1cb \x85c\u00a0d\u2003e", " X  Y ÀÉ\x00z\x0b\x0cQ", "one", "w " * 130 + "x", "z " * lm_scoring.PART]
+    sub = lm_scoring.Subwords(path, (b"w", b"one"))
+    want = sub.code([lm_scoring.words_of(t) for t in texts])
+    for column in (pa.array(texts), pa.array(["zz", *texts])[1:]):
+        words, numbers, ids, begins, at = sub.code_texts(column)
+        assert [w.encode() for w in words.to_pylist()] == [w for t in texts for w in lm_scoring.words_of(t)]
+        for i, (k, of, starts) in enumerate(want):
+            assert numbers[at[i] : at[i + 1]].tolist() == [*k, sub.end_number]
+            assert ids[begins[at[i]] : begins[at[i + 1]]].tolist() == of.tolist()
+            assert (begins[at[i] : at[i + 1]] - begins[at[i]]).tolist() == starts.tolist()
+    rows, first = A.all_spans(np.arange(60, dtype=np.int16), np.array([24, 1, 35]), np.array([7, 8, 9]), 1024)
+    parts = [A.spans(np.arange(a, b, dtype=np.int16), c, 1024) for a, b, c in ((0, 24, 7), (24, 25, 8), (25, 60, 9))]
+    assert (rows == np.concatenate(parts)).all() and first.tolist() == [0, 1, 2]
+
+
 def test_windows_score_each_token_once_and_see_no_future():
     c = np.arange(70, dtype=np.int16)
     x = A.windows(c, 99, A.GROUPS * A.MEMBERS)

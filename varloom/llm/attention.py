@@ -24,21 +24,27 @@ SINGLE = 0.75
 STEPS, BATCH, WIDE, RATE = 2_000, 32, 256, 8e-3
 #: Training by parts goes in so many rounds at most, each of so many tasks at least.
 ROUNDS, TASKS = 10, 3
-#: Windows that one matrix product takes.
-BLOCK = 128
-#: The greatest logit in scoring, as a power of two.
+#: Windows that a pass takes, so few that what it makes stays in a core's cache.
+BLOCK = 64
+#: The greatest logit, as a power of two.
 MOST = 100.0
 
 _W = OVERLAP + SCORED
 #: A token sees itself and what stands before it, not more than OVERLAP + its place in the window.
 _MASK = np.where(np.arange(_W)[None, :] <= np.arange(OVERLAP, _W)[:, None], 0.0, -1e9).astype(np.float32)
 
+_SEEN = (_MASK == 0).astype(np.float32)
 
 def one_thread() -> None:
-    """Let numpy's own OpenBLAS use one thread: the products here are small, and a task has one core."""
+    """Let numpy's own OpenBLAS use one thread: the products here are small, and a task has one core. Let glibc keep freed
+    memory, as each pass takes the same again."""
     for lib in Path(np.__file__).parent.parent.glob("numpy.libs/*openblas*"):
         with contextlib.suppress(OSError, AttributeError):
             ctypes.CDLL(str(lib)).scipy_openblas_set_num_threads64_(1)
+    with contextlib.suppress(OSError, AttributeError):
+        libc = ctypes.CDLL(None)
+        libc.mallopt(-1, 64 << 20)  # M_TRIM_THRESHOLD
+        libc.mallopt(-3, 16 << 20)  # M_MMAP_THRESHOLD
 
 
 class Folding:
@@ -79,17 +85,28 @@ def windows(classes: np.ndarray, start: int, pad: int) -> np.ndarray:
 def spans(classes: np.ndarray, before: int, pad: int) -> np.ndarray:
     """The windows of a text or a part of one, each with one more token, so that a row holds inputs and targets (see
     unspan()). before: the class of what stands before it."""
-    n = -(-len(classes) // SCORED) * SCORED
-    x = np.full(OVERLAP + 1 + n, pad, np.int16)
-    x[OVERLAP] = before
-    x[OVERLAP + 1 : OVERLAP + 1 + len(classes)] = classes
-    return np.lib.stride_tricks.sliding_window_view(x, _W + 1)[::SCORED]
+    return all_spans(classes, np.array([len(classes)]), np.array([before]), pad)[0]
+
+
+def all_spans(classes: np.ndarray, sizes: np.ndarray, before: np.ndarray, pad: int, order=None) -> tuple[np.ndarray, np.ndarray]:
+    """spans() of many parts, whose tokens stand one after the other, and the number of the first row of each. order: gives
+    the order of the rows from their number."""
+    n = -(-sizes // SCORED)
+    size = OVERLAP + 1 + n * SCORED
+    at, first = np.cumsum(size) - size, np.cumsum(n) - n
+    x = np.full(int(size.sum()), pad, np.int16)
+    x[at + OVERLAP] = before
+    x[np.arange(len(classes)) + np.repeat(at + OVERLAP + 1 - (np.cumsum(sizes) - sizes), sizes)] = classes
+    rows = np.repeat(at - first * SCORED, n) + np.arange(int(n.sum())) * SCORED
+    if not len(rows):
+        return np.empty((0, _W + 1), np.int16), first
+    return np.lib.stride_tricks.sliding_window_view(x, _W + 1)[rows if order is None else rows[order(len(rows))]], first
 
 
 def unspan(rows: np.ndarray, pad: int) -> tuple[np.ndarray, np.ndarray]:
     """Inputs and targets, -1 where nothing is to be learnt."""
     y = rows[:, OVERLAP + 1 :]
-    return rows[:, :-1], np.where(y == pad, -1, y)
+    return rows[:, :-1], np.where(y == pad, np.int16(-1), y)
 
 
 class Attention:
@@ -110,7 +127,7 @@ class Attention:
         self.first, self.second = ({n: np.zeros_like(w) for n, w in self.p.items()} for _ in range(2))
 
     def hidden(self, x: np.ndarray):
-        """What the heads read, (rows * SCORED, WIDTH), of windows x, and what the backward pass needs."""
+        """What the heads read, (rows * SCORED, WIDTH), of windows x, step by step, and the steps; forward() is compared with it."""
         p = self.p
         e = p["e"][x] + p["pos"]
         tail = e[:, OVERLAP:]
@@ -128,141 +145,191 @@ class Attention:
         np.maximum(m, 0, out=m)
         return h + m @ p["w2"], (e, tail, q, k, v, a, z, h, m)
 
-    def fast_hidden(self, tables: tuple, x: np.ndarray) -> np.ndarray:
-        """The same sums as hidden() and a last column of ones: queries, keys and values are looked up, as they are linear
-        in token and place, and powers of two stand for exponentials."""
-        (eq, pq), (ek, pk), (ev, pv), mask, w1 = tables[:5]
-        p, d, n = self.p, WIDTH, len(x)
-        tail = x[:, OVERLAP:]
-        v = np.ones((n, _W, d + 1), np.float32)  # the last column sums the weights
-        np.add(ev[x], pv, out=v[:, :, :d])
-        a = (eq[tail] + pq[OVERLAP:]) @ (ek[x] + pk).transpose(0, 2, 1)
-        np.clip(a, -100, 100, out=a)
+    def tables(self, first: int | None = None) -> tuple:
+        """What forward() and heads() read. The products of queries with keys and of values with what reads them are one
+        matrix each; a column of ones sums weights or adds biases; powers of two stand for exponentials. The heads' weights
+        are centred over the used classes of a group and over the used groups, of either kind with `first`, which keeps the
+        sums of powers over 1; the kinds' own weights go beside them."""
+        p, log2e = self.p, 1 / np.log(2)
+        e = np.ones((len(p["e"]), WIDTH + 1), p["e"].dtype)
+        e[:, :WIDTH] = p["e"]
+        pos = np.zeros((_W, WIDTH + 1), e.dtype)
+        pos[:, :WIDTH] = p["pos"]
+        u, u2 = np.vstack([p["u"], p["bu"]]) * log2e, np.concatenate([p["u2"], p["bu2"][:, None]], 1) * log2e
+        on, on2, kinds = (self.off_group == 0).astype(e.dtype), (self.off == 0).astype(e.dtype), np.zeros((WIDTH + 1, 2), e.dtype)
+        for k, of in enumerate((slice(0, first), slice(first or self.groups, None))):
+            kinds[:, k] = u[:, of] @ on[of] / max(1, on[of].sum())
+            u[:, of] -= kinds[:, k : k + 1]
+        u2 -= u2 @ on2[:, :, None] / np.maximum(1, on2.sum(1))[:, None, None]
+        u[-1] += self.off_group
+        u2[:, -1] += self.off
+        qk, vo = p["q"] @ p["k"].T * (log2e / np.sqrt(WIDTH)), p["v"] @ p["o"]
+        return tuple(np.ascontiguousarray(w, e.dtype) for w in (e, pos, qk, vo, np.vstack([p["w1"], p["b1"]]), u, u2, kinds))
+
+    def turned(self, tables: tuple) -> tuple:
+        """Transposes that the backward pass reads."""
+        p = self.p
+        return tuple(map(np.ascontiguousarray, (p["u"].T, p["u2"].transpose(0, 2, 1), p["w2"].T, p["w1"].T, tables[3].T, tables[2].T * tables[2].dtype.type(np.log(2)))))
+
+    def forward(self, tables: tuple, x: np.ndarray) -> tuple:
+        """The same sums as hidden(), each with a last column of ones, and what the backward pass needs."""
+        table, pos, qk, vo, w1 = tables[:5]
+        d, n = WIDTH, len(x)
+        e = np.take(table, x, axis=0)
+        e += pos
+        tail = np.ascontiguousarray(e[:, OVERLAP:, :d])
+        q = (tail.reshape(-1, d) @ qk).reshape(tail.shape)
+        both = np.empty((n, 2 * SCORED, _W), e.dtype)  # the weights' gradients come before the weights
+        a = np.matmul(q, e[:, :, :d].transpose(0, 2, 1), out=both[:, SCORED:])
+        np.clip(a, -MOST, MOST, out=a)
         np.exp2(a, out=a)
-        a *= mask
-        z = (a @ v).reshape(-1, d + 1)
-        h = np.ones((n * SCORED, d + 1), np.float32)  # the last column adds biases
-        own = h[:, :d]
-        np.add((p["e"][tail] + p["pos"][OVERLAP:]).reshape(-1, d), (z[:, :d] / z[:, d:]) @ p["o"], out=own)
+        a *= _SEEN
+        z = (a @ e).reshape(-1, d + 1)  # the last column sums the weights
+        s = z[:, d:]
+        z = z[:, :d] / s
+        tail = tail.reshape(-1, d)
+        h, h2 = np.ones((n * SCORED, d + 1), e.dtype), np.ones((n * SCORED, d + 1), e.dtype)
+        np.add(tail, z @ vo, out=h[:, :d])
         m = h @ w1
         np.maximum(m, 0, out=m)
-        own += m @ p["w2"]
-        return h
+        np.add(h[:, :d], m @ self.p["w2"], out=h2[:, :d])
+        return h2, (e, tail, q, both, s, z, h, m)
 
-    def tables(self) -> tuple:
-        p, log2e = self.p, np.float32(1 / np.log(2))
-        wq = p["q"] * (log2e / np.float32(np.sqrt(WIDTH)))
-        u = np.vstack([p["u"], p["bu"] + self.off_group]) * log2e
-        u2 = np.concatenate([p["u2"], (p["bu2"] + self.off)[:, None]], 1) * log2e
-        return (*(((p["e"] @ w), (p["pos"] @ w)) for w in (wq, p["k"], p["v"])), np.exp(_MASK), np.vstack([p["w1"], p["b1"]]), u, u2)
+    def heads(self, tables: tuple, read: np.ndarray, own: np.ndarray, place: np.ndarray, first: int | None = None) -> tuple:
+        """Of rows in the order of their groups: log2 p(class); log2 p of the first groups (None without `first`); powers and
+        their sums of the groups' logits and of the classes' in the own group; the groups' slices. Logits over MOST count
+        as MOST, so that nothing overflows."""
+        u, u2, kinds = tables[5:]
+        i, opens = np.arange(len(own)), None
+        outer = read @ u
+        np.minimum(outer, MOST, out=outer)
+        got = outer[i, own]
+        np.exp2(outer, out=outer)
+        sums = np.zeros((self.groups, 2), read.dtype)
+        sums[:first, 0] = sums[first or self.groups :, 1] = 1
+        total = outer @ sums
+        if first is None:
+            got -= np.log2(total[:, 0])
+        else:
+            of = read @ kinds
+            got += of[i, (own >= first).view(np.int8)]
+            with np.errstate(divide="ignore"):  # there may be no groups of the other kind
+                of += np.log2(total)
+            one, other = of.T
+            both = np.maximum(one, other) + np.log2(1 + np.exp2(-np.abs(one - other)))
+            got -= both
+            opens = one - both
+        cuts = np.searchsorted(own, np.arange(self.groups + 1)).tolist()
+        parts = [(k, slice(a, b)) for k, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
+        inner = np.empty((len(own), self.members), read.dtype)
+        for k, rows in parts:
+            np.dot(read[rows], u2[k], out=inner[rows])
+        np.minimum(inner, MOST, out=inner)
+        got += inner[i, place]
+        np.exp2(inner, out=inner)
+        within = inner @ np.ones((self.members, 1), read.dtype)
+        got -= np.log2(within[:, 0])
+        return got, opens, outer, total[:, :1], inner, within, parts
+
+    def by_group(self, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places that are scored, in the order of their groups, so that each group's rows are one slice; groups, classes."""
+        t = y.reshape(-1)
+        on = np.flatnonzero(t >= 0)
+        g, m = np.divmod(t[on], self.members)
+        order = np.argsort(g.astype(np.int16), kind="stable")
+        return on[order], g[order], m[order]
 
     def log_probs(self, x: np.ndarray, y: np.ndarray, first: int = 1) -> tuple[np.ndarray, np.ndarray]:
         """(log p(y), log p of the first `first` groups) for each scored place; y: (rows, SCORED), -1 where nothing is to
-        be scored, which gives 0. Logits over MOST, in powers of two, count as MOST, so that nothing overflows."""
+        be scored, which gives 0."""
         one_thread()
-        tables, ln2 = self.tables(), np.float32(np.log(2))
-        u, u2 = tables[5:]
-        sums = np.zeros((self.groups, 2), np.float32)
-        sums[:first, 0] = sums[:, 1] = 1
-        ones = np.ones(self.members, np.float32)
+        tables, ln2 = self.tables(first), np.float32(np.log(2))
         out, begins = np.zeros(y.size, np.float32), np.zeros(y.size, np.float32)
         for i in range(0, len(x), BLOCK):
-            t = y[i : i + BLOCK].reshape(-1)
-            on = np.flatnonzero(t >= 0)
-            h = self.fast_hidden(tables, x[i : i + BLOCK])
-            t = t[on]
-            g, m = t // self.members, t % self.members
-            order = np.argsort(g, kind="stable")  # in order of groups, so that each group's rows are one slice
-            on, g, m = on[order], g[order], m[order]
-            h = h[on]
-            logits = h @ u
-            np.minimum(logits, MOST, out=logits)
-            got = logits[np.arange(len(g)), g]
-            np.exp2(logits, out=logits)
-            both = np.log2(logits @ sums)
-            got -= both[:, 1]
-            cuts = np.searchsorted(g, np.arange(self.groups + 1)).tolist()
-            for k in range(self.groups):
-                a, b = cuts[k], cuts[k + 1]
-                if a < b:
-                    inner = h[a:b] @ u2[k]
-                    np.minimum(inner, MOST, out=inner)
-                    got[a:b] += inner[np.arange(b - a), m[a:b]]
-                    np.exp2(inner, out=inner)
-                    got[a:b] -= np.log2(inner @ ones)
+            on, g, m = self.by_group(y[i : i + BLOCK])
+            h = self.forward(tables, x[i : i + BLOCK])[0]
+            got, opens = self.heads(tables, np.take(h, on, axis=0), g, m, first)[:2]
             out[i * SCORED + on] = got * ln2
-            begins[i * SCORED + on] = (both[:, 0] - both[:, 1]) * ln2
+            begins[i * SCORED + on] = opens * ln2
         return out.reshape(y.shape), begins.reshape(y.shape)
 
-    def _by_group(self, g: np.ndarray):
-        order = np.argsort(g, kind="stable")
-        cuts = np.searchsorted(g[order], np.arange(self.groups + 1))
-        return [(k, order[cuts[k] : cuts[k + 1]]) for k in range(self.groups) if cuts[k + 1] > cuts[k]]
-
     def gradients(self, x: np.ndarray, y: np.ndarray) -> tuple[float, dict]:
-        p = self.p
-        h2, (e, tail, q, k, v, a, z, h, m) = self.hidden(x)
-        t = y.reshape(-1)
-        on = np.flatnonzero(t >= 0)
-        scale = np.float32(1 / max(1, len(on)))
-        read, (own, place) = h2[on], np.divmod(t[on], self.members)
-        d = read @ p["u"] + p["bu"] + self.off_group
-        d -= d.max(1, keepdims=True)
-        loss = -d[np.arange(len(own)), own].sum()
-        np.exp(d, out=d)
-        total = d.sum(1, keepdims=True)
-        loss += np.log(total).sum()
-        d /= total
-        d[np.arange(len(own)), own] -= 1
-        d *= scale
-        g = {"u": read.T @ d, "bu": d.sum(0), "u2": np.zeros_like(p["u2"]), "bu2": np.zeros_like(p["bu2"])}
-        back = d @ p["u"].T
-        for i, rows in self._by_group(own):
-            d = read[rows] @ p["u2"][i] + p["bu2"][i] + self.off[i]
-            d -= d.max(1, keepdims=True)
-            loss -= d[np.arange(len(rows)), place[rows]].sum()
-            np.exp(d, out=d)
-            total = d.sum(1, keepdims=True)
-            loss += np.log(total).sum()
-            d /= total
-            d[np.arange(len(rows)), place[rows]] -= 1
-            d *= scale
-            g["u2"][i], g["bu2"][i] = read[rows].T @ d, d.sum(0)
-            back[rows] += d @ p["u2"][i].T
-        dh = np.zeros_like(h2)
-        dh[on] = back
-        g["w2"] = m.T @ dh
-        dm = (dh @ p["w2"].T) * (m > 0)
-        g["w1"], g["b1"] = h.T @ dm, dm.sum(0)
-        dh = dh + dm @ p["w1"].T
-        g["o"] = z.reshape(-1, WIDTH).T @ dh
-        dh = dh.reshape(tail.shape)
-        dz = dh @ p["o"].T
-        dv = a.transpose(0, 2, 1) @ dz
-        da = dz @ v.transpose(0, 2, 1)
-        ds = a * (da - (da * a).sum(-1, keepdims=True)) * np.float32(1 / np.sqrt(WIDTH))
-        dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
-        flat = lambda w: w.reshape(-1, WIDTH)
-        g["q"], g["k"], g["v"] = flat(tail).T @ flat(dq), flat(e).T @ flat(dk), flat(e).T @ flat(dv)
-        de = dk @ p["k"].T + dv @ p["v"].T
-        de[:, OVERLAP:] += dh + dq @ p["q"].T
+        """The mean loss of the windows' targets and its gradient, summed over blocks."""
+        tables, scale = self.tables(), 1 / max(1, np.count_nonzero(y >= 0))
+        turned, loss, g, de = self.turned(tables), 0.0, {}, np.empty((len(x), _W, WIDTH), tables[0].dtype)
+        for i in range(0, len(x), BLOCK):
+            part, got = self._block(tables, turned, x[i : i + BLOCK], y[i : i + BLOCK], de[i : i + BLOCK])
+            loss += part
+            for n, w in got.items():
+                g[n] = np.add(g[n], w, out=g[n]) if n in g else w
         g["pos"] = de.sum(0)
-        ind, rows = x.reshape(-1).astype(np.int64), flat(de)
+        ind = x.reshape(-1)
         order = np.argsort(ind, kind="stable")
-        starts = np.flatnonzero(np.append(True, ind[order][1:] != ind[order][:-1]))
-        g["e"] = np.zeros_like(p["e"])
-        g["e"][ind[order][starts]] = np.add.reduceat(rows[order], starts, axis=0)
-        return float(loss * scale), g
+        there = ind[order]
+        starts = np.flatnonzero(np.append(True, there[1:] != there[:-1]))
+        g["e"] = np.zeros_like(self.p["e"])
+        g["e"][there[starts]] = np.add.reduceat(np.take(de.reshape(-1, WIDTH), order, axis=0), starts, axis=0)
+        p, vo = self.p, g.pop("vo")
+        qk = g.pop("qk") * vo.dtype.type(1 / np.sqrt(WIDTH))
+        g |= {"q": qk @ p["k"], "k": qk.T @ p["q"], "v": vo @ p["o"].T, "o": p["v"].T @ vo}
+        for n, bias in (("u", "bu"), ("w1", "b1"), ("u2", "bu2")):
+            g[n], g[bias] = g[n][..., :-1, :], g[n][..., -1, :]
+        return float(loss * scale), {n: g[n] * g[n].dtype.type(scale) for n in p}
+
+    def _block(self, tables: tuple, turned: tuple, x: np.ndarray, y: np.ndarray, de: np.ndarray) -> tuple[float, dict]:
+        """Sums of losses and gradients, those of biases in a last row of the weights they go with; de gets those of inputs."""
+        d, (ut, u2t, w2t, w1t, vot, qkt) = WIDTH, turned
+        h2, (e, tail, q, both, s, z, h, m) = self.forward(tables, x)
+        on, own, place = self.by_group(y)
+        read, i = np.take(h2, on, axis=0), np.arange(len(on))
+        got, _, outer, total, inner, within, parts = self.heads(tables, read, own, place)
+        for w, t, at in ((outer, total, own), (inner, within, place)):
+            w *= 1 / t
+            w[i, at] -= 1
+        g = {"u": read.T @ outer, "u2": np.zeros((self.groups, d + 1, self.members), e.dtype)}
+        back, more = outer @ ut, np.empty((len(on), d), e.dtype)
+        for k, rows in parts:
+            np.dot(read[rows].T, inner[rows], out=g["u2"][k])
+            np.dot(inner[rows], u2t[k], out=more[rows])
+        back += more
+        dh = np.zeros((len(h2), d), e.dtype)
+        dh[on] = back
+        g["w2"] = m.T @ dh
+        dm = dh @ w2t
+        dm *= m > 0
+        g["w1"] = h.T @ dm
+        dh += dm @ w1t
+        g["vo"] = z.T @ dh
+        right = np.empty((len(x), 2 * SCORED, d + 1), e.dtype)
+        np.multiply(q, q.dtype.type(np.log(2)), out=right[:, :SCORED, :d])
+        dz = right[:, SCORED:]  # over the sums of weights; the last column: what they all lose
+        dc = dh @ vot
+        lost = np.einsum("ij,ij->i", dc, z)
+        dc /= s
+        lost /= -s[:, 0]
+        dz[:, :, :d], dz[:, :, d] = dc.reshape(q.shape), lost.reshape(len(x), SCORED)
+        ds = np.matmul(dz, e.transpose(0, 2, 1), out=both[:, :SCORED])
+        ds *= both[:, SCORED:]
+        dq = (ds @ e[:, :, :d]).reshape(-1, d)
+        g["qk"] = tail.T @ dq
+        np.matmul(both.transpose(0, 2, 1), right[:, :, :d], out=de)
+        dh += dq @ qkt
+        de[:, OVERLAP:] += dh.reshape(q.shape)
+        return -float(got.sum()) * float(np.log(2)), g
 
     def state(self) -> np.ndarray:
         """Parameters and Adam's moments as one row."""
-        return np.concatenate([w.ravel() for part in (self.p, self.first, self.second) for w in part.values()]).astype(np.float32)
+        return np.concatenate([self.row(part) for part in (self.p, self.first, self.second)]).astype(np.float32)
+
+    def row(self, part: dict) -> np.ndarray:
+        return np.concatenate([part[n].ravel() for n in self.p])
 
-    def load(self, state: np.ndarray) -> Attention:
+    def load(self, state: np.ndarray, copy: bool = True) -> Attention:
         at = 0
         for part in (self.p, self.first, self.second):
             for n, w in part.items():
-                part[n] = state[at : at + w.size].reshape(w.shape).copy()
+                part[n] = state[at : at + w.size].reshape(w.shape)
+                part[n] = part[n].copy() if copy else part[n]
                 at += w.size
         return self
 
@@ -272,15 +339,25 @@ class Attention:
         if not len(x):
             return 0.0
         one_thread()
-        r, first, second, losses = np.random.default_rng(seed), self.first, self.second, []
+        r, losses = np.random.default_rng(seed), []
         order = np.concatenate([r.permutation(len(x)) for _ in range(-(-steps * batch // len(x)))])
+        state = self.state().reshape(3, -1)
+        w, first, second = state
+        self.load(state.ravel(), copy=False)  # views of it
         for s in range(turn * steps + 1, (turn + 1) * steps + 1):
             i = order[(s - turn * steps - 1) * batch :][:batch]
             loss, g = self.gradients(x[i], y[i])
             losses.append(loss)
-            rate = RATE * min(1, s / 50) * (1 - 0.95 * s / (turns * steps))
-            for n, w in self.p.items():
-                first[n] = 0.9 * first[n] + 0.1 * g[n]
-                second[n] = 0.99 * second[n] + 0.01 * g[n] ** 2
-                w -= (rate * (first[n] / (1 - 0.9**s)) / (np.sqrt(second[n] / (1 - 0.99**s)) + 1e-8)).astype(np.float32)
+            g, rate = self.row(g), RATE * min(1, s / 50) * (1 - 0.95 * s / (turns * steps))
+            first *= 0.9
+            first += np.float32(0.1) * g
+            second *= 0.99
+            g *= g
+            g *= 0.01
+            second += g
+            np.sqrt(second * np.float32(1 / (1 - 0.99**s)), out=g)
+            g += 1e-8
+            np.divide(first, g, out=g)
+            g *= rate / (1 - 0.9**s)
+            w -= g
         return float(np.mean(losses[-50:]))

@@ -18,18 +18,18 @@ from __future__ import annotations
 import base64
 import uuid
 from array import array
-from collections import Counter
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varloom.llm.attention import BATCH, OVERLAP, ROUNDS, SCORED, STEPS, TASKS, WIDE, Attention, Folding, spans, unspan, windows
+from varloom.llm.attention import BATCH, OVERLAP, ROUNDS, SCORED, STEPS, TASKS, WIDE, Attention, Folding, all_spans, unspan
 from varloom.llm.common import durable, held_out, key_rows, slices, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -39,8 +39,10 @@ COMMON_WORDS, COMMON_BYTES = 400_000, 64
 SEEN = 0.88
 #: The share of the text that the model is trained on, all of it, and the words of the parts that texts are cut into.
 DRAWN, PART = 1.0, 128
-#: Words that a worker counts or remembers before it hands them on or forgets them.
-HELD_WORDS = 400_000
+#: Words that a worker remembers before it forgets them, and bytes of words that it counts at a time.
+HELD_WORDS, HELD_BYTES = 400_000, 64 << 20
+#: Texts that are coded at a time.
+TEXTS = 2_000
 LN10 = float(np.log(10))
 
 
@@ -48,6 +50,16 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8").lower().split()
 
 
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """words_of() all texts, one after the other, and where each text's begin and the last one's end."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
+    words, at = lists.values, lists.offsets.to_numpy()
+    full = pc.binary_length(words).to_numpy() > 0  # blanks at a text's ends give empty words
+    if not full.all():
+        words, at = words.filter(pa.array(full)), np.append(0, np.cumsum(full))[at]
+    return words, at.astype(np.int64)
+
+
 class Subwords(dict):
     """word -> a number; ids of word n: pool[start[n] : start[n] + size[n]]. Each word is encoded with a space before it.
 
@@ -73,6 +85,10 @@ class Subwords(dict):
         self._pool, self._start, self._size = array("H"), array("q"), array("q")
         for w in self.common:
             self[w]
+        self[b""] = self.end_number = len(self._start)  # no word is empty, so this stands for the end
+        self._start.append(len(self._pool))
+        self._size.append(1)
+        self._pool.append(self.end)
 
     def __missing__(self, word: bytes) -> int:
         ids, n = self._core.encode_single_piece(b" " + word), len(self._start)
@@ -97,6 +113,22 @@ class Subwords(dict):
             out.append((k, ids, begins))
         return out
 
+    def code_texts(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of all texts, one after the other, each with an end: words without the ends; numbers of words and ends; their ids;
+        where each word's ids begin; where each text's numbers begin. The last two have one more place at their ends."""
+        if len(self) > HELD_WORDS + len(self.common):
+            self._forget()
+        words, at = split_words(texts)
+        coded = words.dictionary_encode()
+        distinct = coded.dictionary.cast(pa.binary()).to_pylist()
+        numbers = np.fromiter(map(self.__getitem__, distinct), np.int64, len(distinct))[coded.indices.to_numpy()]
+        numbers = np.insert(numbers, at[1:], self.end_number)
+        at = at + np.arange(len(at))
+        pool, start, size = (np.frombuffer(x, x.typecode) for x in (self._pool, self._start, self._size))
+        n = size[numbers]
+        begins = np.append(0, np.cumsum(n))
+        return words, numbers, pool[np.repeat(start[numbers] - begins[:-1], n) + np.arange(begins[-1])], begins, at
+
 
 @lru_cache(maxsize=2)
 def subwords(path: str) -> Subwords:
@@ -115,18 +147,17 @@ def with_common(path: str, common: list[bytes], run: str) -> Subwords:
 
 
 def _count(batches):
-    held = Counter()
+    held = []
 
     def flush():
-        out = pa.RecordBatch.from_pydict({"word": pa.array(list(held.keys()), pa.binary()), "n": pa.array(list(held.values()), pa.int64())})
+        got = pa.chunked_array(held, pa.binary()).value_counts()
         held.clear()
-        return out
+        return pa.RecordBatch.from_arrays([got.field("values"), got.field("counts")], ["word", "n"])
 
-    for b in batches:
-        for t in b.column("text").to_pylist():
-            held.update(words_of(t))
-            if len(held) > HELD_WORDS:
-                yield flush()
+    for b in slices(batches, TEXTS):
+        held.append(split_words(b.column("text"))[0].cast(pa.binary()))
+        if sum(w.nbytes for w in held) > HELD_BYTES:
+            yield flush()
     yield flush()
 
 
@@ -149,21 +180,20 @@ def train(rows: DataFrame, folding: Folding, path: str, tokens: float) -> Attent
     least = STEPS // rounds  # of a task in a round
 
     def deal(batches):
-        r = np.random.default_rng(TaskContext.get().partitionId())
-        for b in slices(batches):
-            drawn, got = [], []
-            for words in map(words_of, b.column("text").to_pylist()):
-                n = len(words) // PART + 1  # the last part, which may be empty, has the end
-                drawn += [(words[k * PART : (k + 1) * PART], k == 0, k == n - 1) for k in np.flatnonzero(r.random(n) < share).tolist()]
-            for (_, ids, _), (_, opens, ends) in zip(subwords(path).code([w for w, _, _ in drawn]), drawn):
-                got.append(spans(folding.class_of[ids if ends else ids[:-1]], start if opens else folding.pad, folding.pad))
-            if got:
-                got = np.concatenate(got)
-                got = got[r.permutation(len(got))]
-                first = int(r.integers(rounds))  # of the rounds, for the windows that don't go round evenly
-                parts = [(k, got[(k - first) % rounds :: rounds]) for k in range(rounds)]
-                parts = [(k, g.tobytes()) for k, g in parts if len(g)]
-                yield pa.RecordBatch.from_pydict({"spans": pa.array([g for _, g in parts], pa.binary()), "turn": pa.array([k for k, _ in parts], pa.int32())})
+        r, sub = np.random.default_rng(TaskContext.get().partitionId()), subwords(path)
+        for b in slices(batches, TEXTS):
+            _, numbers, ids, begins, at = sub.code_texts(b.column("text"))
+            place = np.arange(len(numbers)) - np.repeat(at[:-1], np.diff(at))
+            parts = np.flatnonzero(place % PART == 0)  # their first words; an end is in the part after the last whole one
+            tokens = np.append(begins[parts], begins[-1])
+            sizes, before, classes = np.diff(tokens), np.where(place[parts] == 0, start, folding.pad), folding.class_of[ids]
+            if share < 1:
+                drawn = r.random(len(parts)) < share
+                classes, sizes, before = classes[np.repeat(drawn, sizes)], sizes[drawn], before[drawn]
+            got, _ = all_spans(classes, sizes, before, folding.pad, r.permutation)
+            first = int(r.integers(rounds))  # of the rounds, for the windows that don't go round evenly
+            dealt = [(k, g.tobytes()) for k in range(rounds) if len(g := got[(k - first) % rounds :: rounds])]
+            yield pa.RecordBatch.from_pydict({"spans": pa.array([g for _, g in dealt], pa.binary()), "turn": pa.array([k for k, _ in dealt], pa.int32())})
 
     dealt = durable(rows.select("text").mapInArrow(deal, "spans binary, turn int"), "lm-spans", "turn")
 
@@ -203,12 +233,6 @@ def _mean(batches):
         yield _state(n, total / n)
 
 
-def _targets(classes: np.ndarray, n: int) -> np.ndarray:
-    y = np.full(n * SCORED, -1, np.int16)
-    y[: len(classes)] = classes
-    return y.reshape(-1, SCORED)
-
-
 def _score(shared, path: str):
     """A row for each text, and one for each occurrence of a word that isn't common (with `word`)."""
 
@@ -219,46 +243,42 @@ def _score(shared, path: str):
         uid = TaskContext.get().partitionId() << 40
         shares, logs = weights.shares(counts), np.log10(counts + 0.1)
         end_log, end_known = float(np.log10(ends + 0.1)), int(ends > 0)
-
-        def of_texts(words):
-            coded = sub.code(words)
-            classes = [folding.class_of[ids] for _, ids, _ in coded]
-            xs = [windows(c, start, folding.pad) for c in classes]
-            lp, first = (a.ravel() for a in model.log_probs(np.concatenate(xs), np.concatenate([_targets(c, len(x)) for c, x in zip(classes, xs)]), folding.first))
-            at = 0
-            for w, (numbers, ids, begins), x in zip(words, coded, xs):
-                yield w, numbers, by_word(lp[at : at + len(ids)] + folding.log_in[ids], first[at : at + len(ids)], begins)
-                at += len(x) * SCORED
-
-        for b in batches:
-            texts, heads, tails = b.column("text").to_pylist(), [], ([], [], [])
-            for i in range(0, len(texts), 64):
-                for w, j, lp in of_texts([words_of(t) for t in texts[i : i + 64]]):
-                    uid += 1
-                    on = j < len(common)
-                    rare, j = np.flatnonzero(~on), j[on]
-                    score = float(np.log10(shares[j] + weights.rest * np.exp(lp[:-1][on])).sum() + weights.mixed(ends, lp[-1]))  # common words have shares above 0
-                    heads.append((uid, len(w) + 1, len(j) + end_known, float(logs[j].sum()) + end_log, score))
-                    tails[0].append(np.full(len(rare), uid))
-                    tails[1].extend([w[k] for k in rare.tolist()])
-                    tails[2].append(lp[rare])
-            n, t = len(heads), len(tails[1])
-            cols = list(zip(*heads)) or [[]] * 5
+        none = [("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())]
+        for b in slices(batches, TEXTS):
+            words, numbers, ids, begins, at = sub.code_texts(b.column("text"))
+            tokens = begins[at]  # where the texts' ids begin
+            sizes = np.diff(tokens)
+            rows, first = all_spans(folding.class_of[ids], sizes, np.full(len(sizes), start), folding.pad)
+            lp, opens = (a.ravel() for a in model.log_probs(*unspan(rows, folding.pad), folding.first))
+            there = np.arange(len(ids)) + np.repeat(first * SCORED - tokens[:-1], sizes)
+            ended = numbers == sub.end_number
+            lp = by_word(lp[there] + folding.log_in[ids], opens[there], begins[:-1], ended)
+            on, rare = numbers < len(common), np.flatnonzero(numbers > sub.end_number)
+            known, base, score = np.zeros((3, len(numbers)))
+            j = numbers[on]
+            known[on], base[on], score[on] = 1, logs[j], np.log10(shares[j] + weights.rest * np.exp(lp[on]))  # common words have shares above 0
+            known[ended], base[ended], score[ended] = end_known, end_log, weights.mixed(ends, lp[ended])
+            known, base, score = (np.add.reduceat(a, at[:-1]) for a in (known, base, score))
+            uids = uid + 1 + np.arange(len(sizes))
+            uid += len(sizes)
+            text = np.repeat(np.arange(len(sizes)), np.diff(at))[rare]
+            n, t = len(sizes), len(rare)
             yield pa.RecordBatch.from_pydict({
-                "uid": pa.array(cols[0], pa.int64()), "doc_id": b.column("doc_id"), "held_out": b.column("held_out"), "n_tokens": pa.array(cols[1], pa.int64()),
-                "known": pa.array(cols[2], pa.int64()), "base": pa.array(cols[3], pa.float64()), "score": pa.array(cols[4], pa.float64()), "word": pa.nulls(n, pa.binary()), "lp": pa.nulls(n, pa.float32()),
+                "uid": pa.array(uids), "doc_id": b.column("doc_id"), "held_out": b.column("held_out"), "n_tokens": pa.array(np.diff(at)),
+                "known": pa.array(known.astype(np.int64)), "base": pa.array(base), "score": pa.array(score), "word": pa.nulls(n, pa.binary()), "lp": pa.nulls(n, pa.float32()),
             })
-            none = {k: pa.nulls(t, v) for k, v in (("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()))}
-            yield pa.RecordBatch.from_pydict({"uid": pa.array(np.concatenate([*tails[0], np.empty(0, np.int64)]).astype(np.int64))} | none | {"word": pa.array(tails[1], pa.binary()), "lp": pa.array(np.concatenate([*tails[2], np.empty(0)]).astype(np.float32))})
+            yield pa.RecordBatch.from_pydict({"uid": pa.array(uids[text])} | {k: pa.nulls(t, v) for k, v in none} | {"word": words.take(pa.array(rare - text)).cast(pa.binary()), "lp": pa.array(lp[rare].astype(np.float32))})
 
     return run
 
 
-def by_word(per_id: np.ndarray, first: np.ndarray, begins: np.ndarray) -> np.ndarray:
-    """log p of each word and of the end: of its ids, given that its first one begins a word, and that another begins after
-    it. first: at each id's place, log p that a word or the end begins there."""
-    out = np.add.reduceat(per_id, begins) - first[begins]
-    out[:-1] += first[begins[1:]]
+def by_word(per_id: np.ndarray, opens: np.ndarray, begins: np.ndarray, ended: np.ndarray) -> np.ndarray:
+    """log p of each word and end of texts, one after the other: of its ids, given that its first one begins a word, and,
+    but for ends, that another begins after it. opens: at each id's place, log p that a word or the end begins there;
+    begins: of each word, the place of its first id."""
+    out = np.add.reduceat(per_id, begins) - opens[begins]
+    inside = np.flatnonzero(~ended)
+    out[inside] += opens[begins[inside + 1]]
     return out
 
 
