@@ -156,7 +156,7 @@ class Attention:
         pos = np.zeros((_W, WIDTH + 1), e.dtype)
         pos[:, :WIDTH] = p["pos"]
         u, u2 = np.vstack([p["u"], p["bu"]]) * log2e, np.concatenate([p["u2"], p["bu2"][:, None]], 1) * log2e
-        on, on2, kinds = (self.off_group == 0).astype(e.dtype), (self.off == 0).astype(e.dtype), np.zeros((WIDTH + 1, 2), e.dtype)
+        on, on2, kinds = (self.off_group == 0).astype(e.dtype), (self.off == 0).astype(e.dtype), np.zeros((WIDTH + 1, 4), e.dtype)  # two are in use: products with fewer columns are slow
         for k, of in enumerate((slice(0, first), slice(first or self.groups, None))):
             kinds[:, k] = u[:, of] @ on[of] / max(1, on[of].sum())
             u[:, of] -= kinds[:, k : k + 1]
@@ -200,22 +200,22 @@ class Attention:
         their sums of the groups' logits and of the classes' in the own group; the groups' slices. Logits over MOST count
         as MOST, so that nothing overflows."""
         u, u2, kinds = tables[5:]
-        i, opens = np.arange(len(own)), None
+        i, opens, one = np.arange(len(own)), None, np.zeros(self.groups, read.dtype)
         outer = read @ u
         np.minimum(outer, MOST, out=outer)
-        got = outer[i, own]
+        got = np.take(outer, i * self.groups + own)
         np.exp2(outer, out=outer)
-        sums = np.zeros((self.groups, 2), read.dtype)
-        sums[:first, 0] = sums[first or self.groups :, 1] = 1
-        total = outer @ sums
+        one[:first] = 1
+        total = outer @ one
         if first is None:
-            got -= np.log2(total[:, 0])
+            got -= np.log2(total)
         else:
-            of = read @ kinds
-            got += of[i, (own >= first).view(np.int8)]
+            of = np.ascontiguousarray((read @ kinds).T)
+            at = np.searchsorted(own, first)
+            got[:at] += of[0, :at]
+            got[at:] += of[1, at:]
             with np.errstate(divide="ignore"):  # there may be no groups of the other kind
-                of += np.log2(total)
-            one, other = of.T
+                one, other = of[0] + np.log2(total), of[1] + np.log2(outer @ (1 - one))
             both = np.maximum(one, other) + np.log2(1 + np.exp2(-np.abs(one - other)))
             got -= both
             opens = one - both
@@ -225,17 +225,19 @@ class Attention:
         for k, rows in parts:
             np.dot(read[rows], u2[k], out=inner[rows])
         np.minimum(inner, MOST, out=inner)
-        got += inner[i, place]
+        got += np.take(inner, i * self.members + place)
         np.exp2(inner, out=inner)
-        within = inner @ np.ones((self.members, 1), read.dtype)
-        got -= np.log2(within[:, 0])
-        return got, opens, outer, total[:, :1], inner, within, parts
+        within = inner @ np.ones(self.members, read.dtype)
+        got -= np.log2(within)
+        return got, opens, outer, total, inner, within, parts
 
     def by_group(self, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Places that are scored, in the order of their groups, so that each group's rows are one slice; groups, classes."""
         t = y.reshape(-1)
         on = np.flatnonzero(t >= 0)
-        g, m = np.divmod(t[on], self.members)
+        t = t[on]
+        g = t // self.members
+        m = t - g * self.members
         order = np.argsort(g.astype(np.int16), kind="stable")
         return on[order], g[order], m[order]
 
@@ -284,16 +286,18 @@ class Attention:
         read, i = np.take(h2, on, axis=0), np.arange(len(on))
         got, _, outer, total, inner, within, parts = self.heads(tables, read, own, place)
         for w, t, at in ((outer, total, own), (inner, within, place)):
-            w *= 1 / t
-            w[i, at] -= 1
+            w *= (1 / t)[:, None]
+            w.reshape(-1)[i * w.shape[1] + at] -= 1
         g = {"u": read.T @ outer, "u2": np.zeros((self.groups, d + 1, self.members), e.dtype)}
-        back, more = outer @ ut, np.empty((len(on), d), e.dtype)
+        back, more = np.zeros((len(on) + 1, d), e.dtype), np.empty((len(on), d), e.dtype)  # the last row: of no target
+        np.matmul(outer, ut, out=back[:-1])
         for k, rows in parts:
             np.dot(read[rows].T, inner[rows], out=g["u2"][k])
             np.dot(inner[rows], u2t[k], out=more[rows])
-        back += more
-        dh = np.zeros((len(h2), d), e.dtype)
-        dh[on] = back
+        back[:-1] += more
+        turn = np.full(len(h2), len(on))
+        turn[on] = i
+        dh = np.take(back, turn, axis=0)
         g["w2"] = m.T @ dh
         dm = dh @ w2t
         dm *= m > 0
@@ -304,7 +308,7 @@ class Attention:
         np.multiply(q, q.dtype.type(np.log(2)), out=right[:, :SCORED, :d])
         dz = right[:, SCORED:]  # over the sums of weights; the last column: what they all lose
         dc = dh @ vot
-        lost = np.einsum("ij,ij->i", dc, z)
+        lost = (dc * z) @ np.ones(d, e.dtype)
         dc /= s
         lost /= -s[:, 0]
         dz[:, :, :d], dz[:, :, d] = dc.reshape(q.shape), lost.reshape(len(x), SCORED)
