@@ -229,3 +229,13 @@ def test_no_query_names_a_limit_or_a_modulo_of_ids_in_the_library():
         for name in os.listdir(f"{root}/{d}"):
             if name.endswith(".py"):
                 assert not re.search(r"(site_id|doc_id)\W+% ", open(f"{root}/{d}/{name}").read()), name
+
+
+def test_tranche_thresholds_are_exact(spark):
+    """Places on the edges of ties and between distinct scores, of more sites than approximate quantiles hold apart."""
+    n, ts = 1_200_000, [100.0, 99.95, 90.0, 50.0, 25.0]
+    for score in (F.col("id") % 1000, F.col("id") * 7 % n / 9, F.floor(F.col("id") / (n / 2))):
+        df = spark.range(n).select(score.cast("double").alias("score"), (F.col("id") % 2 == 0).alias("truth"))
+        held = np.sort(df.filter("truth").toPandas()["score"].to_numpy())
+        assert recalibrate.tranche_thresholds(df, ts) == [(t, held[max(1, -(-(10_000 - round(t * 100)) * len(held) // 10_000)) - 1]) for t in ts]
+    assert recalibrate.tranche_thresholds(df.filter("not truth"), ts) == []

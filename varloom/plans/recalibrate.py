@@ -3,12 +3,13 @@
 A site's score comes from mixture models over strand, position, mapping and depth statistics: train_model() fits one to
 training sites and one to the sites that it fits worst, and the score is the log ratio of both with the site's prior
 (an approximation of the external tool's model; train_scores() has the first alone). A tranche's threshold is the score that
-keeps its share of truth sites, in one aggregate or gathered from tables of fragments."""
+keeps its share of truth sites, counted exactly or gathered from tables of fragments."""
 
 from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from fractions import Fraction
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -22,13 +23,42 @@ INDEL_TRANCHES = [100.0, 99.95, 99.9, 99.5, 99.0, 97.0, 96.0, 95.0, 94.0, 93.5,
 INDEL_FEATURES = ["AS_ReadPosRankSum", "AS_MQRankSum", "AS_QD", "AS_FS", "AS_SOR"]
 SNP_FEATURES = [*INDEL_FEATURES, "AS_MQ"]
 SNP_SENSITIVITY, INDEL_SENSITIVITY = 99.7, 99.0
+#: Share of the sites on each side of a tranche's place that a round of tranche_thresholds() leaves.
+NEAR = 0.0002
 
 
 def tranche_thresholds(scored: DataFrame, tranches: list[float], truth: str = "truth", score: str = "score") -> list[tuple[float, float]]:
-    """(sensitivity, least score kept) over all truth sites in one aggregate."""
-    shares = [1 - t / 100 for t in tranches]
-    got = scored.filter(F.col(truth)).agg(F.percentile_approx(score, shares, 100_000)).first()[0]
-    return list(zip(tranches, got or []))
+    """(sensitivity, least score kept) over all truth sites with a score, exactly: of n such sites the score at place
+    ceil((1 - share) * n) from the least. Approximate quantiles give scores on both sides of a place; counts of what is below
+    them and equal to them say which of them it is, or between which two it lies, where the next round looks. A round has two
+    aggregates for all tranches and leaves some ten-thousandths of the sites, so there are few; write scored to a table first if
+    it is costly."""
+    of = scored.filter(F.col(truth) & F.col(score).isNotNull()).select(F.col(score).alias("_s"))
+    n = of.count()
+    if not n:
+        return []
+    found, left = {}, {i: (None, None, 0, n, max(1, math.ceil((1 - Fraction(str(t)) / 100) * n))) for i, t in enumerate(tranches)}
+    while left:
+        inside = {i: reduce(lambda a, b: a & b, [F.col("_s") > low] * (low is not None) + [F.col("_s") < high] * (high is not None), F.lit(True)) for i, (low, high, *_) in left.items()}
+        rows = of.filter(reduce(lambda a, b: a | b, inside.values()))
+        near = lambda below, size, place: [min(1.0, max(0.0, (place - below) / size + d)) for d in (-NEAR, 0.0, NEAR)]
+        got = rows.agg(*[F.percentile_approx(F.when(inside[i], F.col("_s")), near(*left[i][2:]), round(2 / NEAR)) for i in left]).first()
+        tried = {i: sorted(set(x)) for i, x in zip(left, got)}
+        counts = iter(of.agg(*[f for x in tried.values() for v in x for f in (F.count_if(F.col("_s") < v), F.count_if(F.col("_s") <= v))]).first())
+        for i, values in tried.items():
+            low, high, below, size, place = left.pop(i)
+            over = below + size  # sites below and over the open range that is left
+            for v in values:
+                less, upto = next(counts), next(counts)
+                if upto < place:
+                    low, below = v, upto
+                elif less < place:
+                    found[i] = v
+                elif less < over:
+                    high, over = v, less
+            if i not in found:
+                left[i] = (low, high, below, over - below, place)
+    return [(t, found[i]) for i, t in enumerate(tranches)]
 
 
 def apply_filters(df: DataFrame, threshold: float, kind: Column, label: str, score: str = "score") -> DataFrame:
