@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 
 from varloom.operators import genotypes, info, intervals, joins, split
-from varloom.operators.matrix import MatrixFrame, read_any
+from varloom.operators.matrix import CELLS, MatrixFrame, read_any
 
 CALL = "struct<a0:int,a1:int,phased:boolean>"
 
@@ -223,3 +223,23 @@ def test_sparse_cohort(spark):
     assert [e and (e.LGT.a0, e.LGT.a1) for e in dense[0].entries] == [(0, 1), (0, 0), (1, 1)]
     left = both.remove(spark.createDataFrame([("b",)], "s string")).variants.collect()
     assert [(r.contig, r.alleles, r.LA) for r in left] == [("chr1", ["AT", "CT"], [0, 1])]
+
+
+def test_a_matrix_holds_its_cells_alone(spark, tmp_path):
+    """Of 20,000 columns each row has a cell or two: they are written, read, cut and annotated without the absent ones."""
+    n = 20_000
+    cells_ = spark.range(3_000).select(F.col("id").alias("site"), F.concat(F.lit("s"), (F.col("id") * 37 % n).cast("string")).alias("s"), F.expr(f"CAST(named_struct('a0', 0, 'a1', CAST(id % 2 AS INT), 'phased', false) AS {CALL})").alias("GT"), F.lit(21).alias("GQ"), F.lit(9).alias("DP"), F.array(F.lit(5), F.lit(4)).alias("AD"))
+    cells_ = cells_.unionByName(cells_.filter("site < 9").withColumn("s", F.lit("s19999")))
+    cols = spark.range(n).select(F.col("id").alias("col_idx"), F.concat(F.lit("s"), F.col("id").cast("string")).alias("s"))
+    MatrixFrame.from_long(cells_, cols, ["site"], ["GT", "GQ", "DP", "AD"]).write(f"{tmp_path}/w.mt")
+    m = read_any(spark, f"{tmp_path}/w.mt")
+    assert m.held.agg(F.sum(F.size(CELLS))).first()[0] == m.long().count() == 3_009
+    assert m.rows.filter("site = 7").select(F.size("entries"), F.expr("size(filter(entries, x -> x is not null))")).first()[:] == (n, 2)
+    wanted = [f"s{i}" for i in range(1, n, 2)]
+    sub, some = m.subset_samples(wanted), m.subset_samples(wanted, False)
+    assert sorted((r.site, r.s) for r in some.long().collect()) == sorted((r.site, r.s) for r in cells_.collect() if int(r.s[1:]) % 2)
+    assert {r.site for r in sub.long().collect()} == {r.site for r in cells_.collect() if int(r.s[1:]) % 2 and r.GT.a1} and sub.n_cols == n // 2
+    made = {r.site: r for r in genotypes.annotate_dataset(m, listed=True).held.filter("site < 3").collect()}
+    assert made[1].samples_num_alt["1"] == ["s19999", "s37"] and made[1].samples_gq["20_to_25"] == ["s19999", "s37"] and made[2].samples_no_call in (None, []) and len(made[2].genotypes) == 2
+    dense = m.filter_rows("site = 1").annotate_rows(n=F.size("entries"), entries=F.col("entries"))
+    assert dense.cells().held.select(CELLS).first()[0][0][:2] == (37, "s37") and dense.rows.first().n == n
