@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from varloom.functions.calls import call, is_non_ref
 from varloom.operators import split
 from varloom.operators.joins import densify, in_intervals
-from varloom.operators.matrix import MatrixFrame
+from varloom.operators.matrix import CELLS, MatrixFrame
 from varloom.sources.readers import exists
 
 KEY = ["contig", "position"]
@@ -99,10 +99,10 @@ class SparseFrame:
         entry = [c for c in v.columns if c not in (*KEY, "alleles", "s")]
         shared = {c for c in self.blocks.columns if c in entry}
         made = {"LA": F.array(F.lit(0)), "LGT": call(F.lit(0), F.lit(0))}
-        covered = densify(sites, self.blocks, by=["contig"]).join(v.select(*KEY, "s"), [*KEY, "s"], "left_anti")
-        covered = covered.select(*KEY, "alleles", "s", *[F.col(c) if c in shared else made.get(c, F.lit(None)).cast(v.schema[c].dataType).alias(c) for c in entry])
-        cells = v.join(sites.select(*KEY), KEY, "left_semi").select(*KEY, "alleles", "s", *entry).unionByName(covered)
-        m = MatrixFrame.from_long(cells, self.cols, [*KEY, "alleles"], entry)
-        e = F.col("entries")
+        covered = densify(sites, self.blocks, by=["contig"])
+        covered = covered.select(*KEY, "alleles", "s", F.lit(1).alias("_kind"), *[F.col(c) if c in shared else made.get(c, F.lit(None)).cast(v.schema[c].dataType).alias(c) for c in entry])
+        cells = v.filter(F.size("alleles") > 1).select(*KEY, "alleles", "s", F.lit(0).alias("_kind"), *entry).unionByName(covered)  # a variant entry comes before a block
+        m = MatrixFrame.from_long(cells, self.cols, [*KEY, "alleles"], entry, first="_kind").filter_rows(F.exists(F.col(CELLS)["e"]["LGT"], is_non_ref))
+        e = F.col(CELLS)["e"]
         dp = F.aggregate(F.filter(e["DP"], lambda x: x.isNotNull()), F.lit(0).cast("long"), lambda s, x: s + x)
         return m.annotate_rows(site_dp=dp, ANS=(F.size(F.filter(e["LGT"], lambda x: x.isNotNull())) * 2).cast("long"))
