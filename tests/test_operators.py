@@ -243,3 +243,18 @@ def test_a_matrix_holds_its_cells_alone(spark, tmp_path):
     assert made[1].samples_num_alt["1"] == ["s19999", "s37"] and made[1].samples_gq["20_to_25"] == ["s19999", "s37"] and made[2].samples_no_call in (None, []) and len(made[2].genotypes) == 2
     dense = m.filter_rows("site = 1").annotate_rows(n=F.size("entries"), entries=F.col("entries"))
     assert dense.cells().held.select(CELLS).first()[0][0][:2] == (37, "s37") and dense.rows.first().n == n
+
+
+def test_every_cell_is_filled_without_a_shuffle_of_cells(spark):
+    sites = [("chr1", p, p * 10) for p in range(1, 60)] + [("chr2", 5, 7), ("chr2", 90_001, 8)]
+    blocks = [("chr1", f"s{k}", a, a + k, k) for k in range(4) for a in range(1 + k, 60, 9)] + [("chr2", "s1", 9_995, 90_001, 50)]
+    s = spark.createDataFrame(sites, "contig string, position int, site_id int")
+    b = spark.createDataFrame(blocks, "contig string, s string, start int, end int, gq int")
+    samples = spark.createDataFrame([(f"s{k}",) for k in range(6)], "s string")  # two of them have no block
+    out = joins.fill_every(s, b, samples)
+    got = sorted((r.contig, r.position, r.site_id, r.s, -1 if r.gq is None else r.gq) for r in out.collect())
+    assert got == sorted((c, p, i, f"s{k}", next((g for bc, bs, x, y, g in blocks if bc == c and bs == f"s{k}" and x <= p <= y), -1)) for c, p, i in sites for k in range(6))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    cells = plan[: plan.index("explode(")]  # what stands over the rows of cells
+    assert "posexplode" in plan and "Exchange hashpartitioning" not in cells and "Window" not in cells.replace("WindowGroup", "").split("BroadcastExchange")[0]
+    assert joins.fill_every(s, b.limit(0), samples).filter("gq is null").count() == len(sites) * 6
