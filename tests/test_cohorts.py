@@ -233,3 +233,13 @@ def test_variant_reader_names_its_files(spark, tmp_path):
     (tmp_path / "a.vcf").write_text("#x\nchr1\t5\t.\tA\tC\t.\tPASS\tAC=1\tGT\t0/1\n")
     r = readers.read_variants(spark, f"file://{tmp_path}/a.vcf", genotypes=True).first()
     assert r.source == f"file:{tmp_path}/a.vcf" and r.samples == ["0/1"] and r.filters == []
+
+
+def test_many_sample_files_are_read_in_few_tasks(spark, tmp_path):
+    for i in range(2_000):
+        (tmp_path / f"{i}.g.vcf").write_text(f"#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\tS{i}\nchr1\t{i + 1}\t.\tN\t<NON_REF>\t.\t.\tEND={i + 5}\tGT:DP:GQ\t0/0:{i % 50}:9\n")
+    lines = readers.variant_lines(spark, str(tmp_path))
+    assert lines.rdd.getNumPartitions() == 4 * spark.sparkContext.defaultParallelism and lines.count() == 4_000
+    back = gvcf.read_gvcf(spark, str(tmp_path))
+    assert sorted((r.s, r.start, r.end, r.DP) for r in back.blocks.collect()) == sorted((f"S{i}", i + 1, i + 5, i % 50) for i in range(2_000))
+    assert back.cols.count() == 2_000 and readers.variant_lines(spark, f"{tmp_path}/7.g.vcf").count() == 2

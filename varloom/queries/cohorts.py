@@ -47,7 +47,7 @@ SELECT in_block, contig, position AS start, CASE WHEN in_block THEN position + 5
 CASE WHEN NOT in_block THEN ad_ref || ',' || ad_alt END AS ad, CASE WHEN NOT in_block THEN {PL} END AS pl FROM e""", "v_entries", "v_sites")
 def q_gvcf_files(v):
     """Variants and blocks through one file a sample."""
-    path, c = scratch(v, "samples"), cohort(v)
+    path, c = scratch(v, "samples"), cohort(v, once=True)
     gvcf.write_gvcf(SparseFrame(c.variants.withColumn("LPL", likelihoods(F.col("GQ"))), c.blocks, c.cols), path)
     back = gvcf.read_gvcf(v.spark, path)
     list_ = lambda c: joined(F.col(c).cast("array<string>"))

@@ -8,13 +8,16 @@ from pyspark.sql import functions as F
 from varloom.functions.calls import genotype_number, genotype_pairs
 from varloom.functions.variants import contig_index
 from varloom.operators.sparse import SparseFrame
-from varloom.sources.readers import parse_call, read_variants, variant_lines
+from varloom.sources.readers import parse_call, parse_variants, variant_lines
 
 # Fixed value: the allele that stands for all that were not seen.
 NON_REF = "<NON_REF>"
 #: Fields of an entry that are read, with their types; GT, AD and PL become LGT, LAD and LPL of local alleles.
 FORMAT = {"GQ": "int", "DP": "int", "MIN_DP": "int", "SB": "array<int>", "PID": "string"}
 
+#: Files up to which their names are sent to all tasks.
+BROADCAST_NAMES = 500_000
+
 
 def _number(text: Column, t: str) -> Column:
     if t.startswith("array<"):
@@ -24,7 +27,11 @@ def _number(text: Column, t: str) -> Column:
 
 def sample_names(spark: SparkSession, paths: str | list[str], block_gzip: bool = False) -> DataFrame:
     """(file, s) from the header line of each file. It reads all files once; callers that know the names spare that."""
-    head = variant_lines(spark, paths, block_gzip).filter(F.col("value").startswith("#CHROM\t"))
+    return _names(variant_lines(spark, paths, block_gzip))
+
+
+def _names(lines: DataFrame) -> DataFrame:
+    head = lines.filter(F.col("value").startswith("#CHROM\t"))
     return head.select("file", F.get(F.split("value", "\t"), F.lit(9)).alias("s"))
 
 
@@ -38,9 +45,11 @@ def read_gvcf(spark: SparkSession, paths: str | list[str], names: DataFrame | No
     '.', is missing; an element '.' of a list too. Alleles of a site are those of all samples. Contigs and positions aren't
     checked."""
     fields = FORMAT if fields is None else fields
-    raw = read_variants(spark, paths, {"END": "int"} | (info or {}), genotypes=True, block_gzip=block_gzip)
-    names = sample_names(spark, paths, block_gzip) if names is None else names
-    named = raw.withColumnRenamed("source", "file").join(F.broadcast(names) if names.limit(10_001).count() <= 10_000 else names, "file")
+    lines = variant_lines(spark, paths, block_gzip)  # the files are listed once
+    raw = parse_variants(lines, {"END": "int"} | (info or {}), genotypes=True)
+    names = _names(lines).persist() if names is None else names  # headers are looked for once
+    n_files = names.count()
+    named = raw.withColumnRenamed("source", "file").join(F.broadcast(names) if n_files <= BROADCAST_NAMES else names, "file")
     keys, values = F.split("format", ":"), F.split(F.get("samples", F.lit(0)), ":")
     has = lambda f: F.get(values, (F.array_position(keys, F.lit(f)) - 1).cast("int"))  # noqa: E731  missing where FORMAT lacks it
     seen = F.filter("alleles", lambda a: a != NON_REF)
@@ -64,7 +73,8 @@ def read_gvcf(spark: SparkSession, paths: str | list[str], names: DataFrame | No
 
 def write_gvcf(cohort: SparseFrame, path: str) -> None:
     """A folder s=<sample> for each sample with one file of its variants and blocks in genome order (GT:AD:DP:GQ:PL), header
-    first. NON_REF is the last allele of each line; it has no reads, and likelihoods of its genotypes are 99."""
+    first. NON_REF is the last allele of each line; it has no reads, and likelihoods of its genotypes are 99. Each task puts its
+    files in place itself, as there are as many as samples; _SUCCESS says that all are there."""
     text = lambda x, none=".": F.coalesce(x.cast("string"), F.lit(none))
     v, la = cohort.variants, F.col("LA")
     n = F.size(la)
@@ -87,4 +97,4 @@ def write_gvcf(cohort: SparseFrame, path: str) -> None:
     top = F.array(F.lit("##fileformat=VCFv4.2"), F.concat(F.lit("#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\t"), "s"))
     heads = cohort.cols.select("s", F.lit(-1).alias("ci"), F.posexplode(top).alias("position", "value"))
     whole = lines.unionByName(heads.select("s", "ci", "position", "value"))
-    whole.repartition("s").sortWithinPartitions("s", "ci", "position").select("s", "value").write.mode("overwrite").partitionBy("s").text(path)
+    whole.repartition("s").sortWithinPartitions("s", "ci", "position").select("s", "value").write.mode("overwrite").option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy("s").text(path)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from varloom.sources.blockgzip import read_lines
+from varloom.sources.files import packed
 from varloom.sources.regions import region_lines
 
 
@@ -16,8 +17,8 @@ def lines_of(spark: SparkSession, path: str) -> list[str]:
 
 
 def variant_lines(spark: SparkSession, paths: str | list[str], block_gzip: bool = False) -> DataFrame:
-    """value and file of the lines of text files, plain or gzip; a gzip file is one task unless it is read as block gzip."""
-    return read_lines(spark, paths) if block_gzip else spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file"))
+    """value and file of the lines of text files, plain or gzip; a gzip file is one task at most unless it is read as block gzip."""
+    return read_lines(spark, paths) if block_gzip else packed(spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file")))
 
 
 def read_variants(spark: SparkSession, paths: str | list[str], info: dict[str, str] | None = None, genotypes: bool = False, block_gzip: bool = False, intervals: list[tuple[str, int, int]] | None = None) -> DataFrame:
@@ -29,6 +30,11 @@ def read_variants(spark: SparkSession, paths: str | list[str], info: dict[str, s
     info stays a map of texts, so that a field with a wrong declared type does no harm; the named fields (name: Spark
     type, arrays split at commas) become a struct instead. genotypes: also format, samples (the texts after FORMAT) and source."""
     lines = variant_lines(spark, paths, block_gzip) if intervals is None else region_lines(spark, [paths] if isinstance(paths, str) else paths, intervals)
+    return parse_variants(lines, info, genotypes)
+
+
+def parse_variants(lines: DataFrame, info: dict[str, str] | None = None, genotypes: bool = False) -> DataFrame:
+    """The same of lines (value, file) that were read."""
     raw = lines.filter(~F.col("value").startswith("#") & (F.trim("value") != ""))
     f = F.split("value", "\t")
     pairs = F.when(f[7] != ".", F.transform(F.split(f[7], ";"), lambda x: F.struct(F.split(x, "=", 2)[0].alias("k"), F.get(F.split(x, "=", 2), F.lit(1)).alias("v"))))
