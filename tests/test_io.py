@@ -149,3 +149,22 @@ def test_stages():
     assert stages.combiner_action(True, [], ["a"]) == "remove" and stages.combiner_action(True, ["b"], ["a"]) == "remove_then_add" and stages.combiner_action(False, ["b"], []) == "add"
     with pytest.raises(ValueError):
         stages.combiner_action(True, [], [])
+
+
+def test_wide_matrix_text_is_dealt_by_its_cells(spark, tmp_path, monkeypatch):
+    n, dealt = 5_000, []
+    frame = type(spark.range(1))
+    held = frame.repartitionByRange
+    monkeypatch.setattr(frame, "repartitionByRange", lambda self, *a: dealt.append(self.columns) or held(self, *a))
+    cells = spark.range(300).select(F.concat(F.lit("chr"), (F.col("id") % 3 + 9).cast("string")).alias("contig"), F.col("id").cast("int").alias("position"), F.array(F.lit("A"), F.lit("C")).alias("alleles"), F.concat(F.lit("s"), (F.col("id") * 41 % n).cast("string")).alias("s"),
+                                    F.expr("named_struct('a0', 0, 'a1', 1, 'phased', false)").alias("GT"), F.col("id").cast("int").alias("GQ"), F.lit(None).cast("int").alias("DP"), F.array(F.lit(3), F.lit(5)).alias("AD"))
+    cols = spark.range(n).select(F.col("id").alias("col_idx"), F.concat(F.lit("s"), F.col("id").cast("string")).alias("s"))
+    m = MatrixFrame.from_long(cells, cols, ["contig", "position", "alleles"], ["GT", "GQ", "DP", "AD"])
+    names = text.write_matrix(m, f"file://{tmp_path}/w", 3, compression="lz4")
+    assert len(dealt) == 1 and "_cells" in dealt[0] and not {"value", "entries"} & set(dealt[0])  # lines are made after the exchange
+    lines = [r[0] for x in names for r in spark.read.text(f"file://{tmp_path}/w/{x}").collect()]
+    top = next(i for i, x in enumerate(lines) if x.startswith("#CHROM"))
+    assert lines[0] == "##fileformat=VCFv4.2" and lines[top].split("\t")[9:] == [f"s{i}" for i in range(n)]
+    got = [x.split("\t") for x in lines[top + 1 :]]
+    assert [(x[0], int(x[1])) for x in got] == sorted(((f"chr{i % 3 + 9}", i) for i in range(300)), key=lambda x: (int(x[0][3:]), x[1]))
+    assert all(len(x) == 9 + n and {i: c for i, c in enumerate(x[9:]) if c != "./.:.:.:."} == {int(x[1]) * 41 % n: f"0/1:{x[1]}:.:3,5"} for x in got)

@@ -99,27 +99,31 @@ def write_matrix(matrix, path: str, shards: int = 1, compression: str = "none",
     read by regions, and plans/compose.py says how the parts become one file."""
     if index and compression != "block":
         raise ValueError("only block gzip has position indexes")
-    e, samples = F.col("entries"), matrix.sample_ids()
+    m, samples = matrix.cells(), matrix.sample_ids()
 
     def cell(x):
         allele = lambda a: F.coalesce(a.cast("string"), F.lit("."))
         gt = F.when(x["GT"].isNull(), "./.").when(x["GT"]["a1"].isNull(), allele(x["GT"]["a0"])).otherwise(F.concat(allele(x["GT"]["a0"]), F.when(x["GT"]["phased"], "|").otherwise("/"), allele(x["GT"]["a1"])))
         return F.concat_ws(":", gt, F.coalesce(x["GQ"].cast("string"), F.lit(".")), F.coalesce(x["DP"].cast("string"), F.lit(".")), F.coalesce(F.array_join(x["AD"].cast("array<string>"), ","), F.lit(".")))
 
-    line = F.concat_ws("\t", site_lines(matrix.rows), F.lit("GT:GQ:DP:AD"), F.array_join(F.transform(e, cell), "\t"))
+    absent = lambda k: F.repeat(F.lit("\t./.:.:.:."), k)
+    each, rest = m.gaps(lambda x, k: F.concat(absent(k), F.lit("\t"), cell(x["e"])), absent)
+    line = F.concat(site_lines(m.held), F.lit("\tGT:GQ:DP:AD"), F.array_join(each, ""), rest)
     formats = {"GT": ("1", "String"), "GQ": ("1", "Integer"), "DP": ("1", "Integer"), "AD": ("R", "Integer")}
-    head = header(matrix.rows.schema, samples, formats)
-    ci = contig_index(F.col("contig"))
-    body = matrix.rows.select(ci.alias("ci"), "position", line.alias("value"))
-    spark = matrix.rows.sparkSession
+    head = header(matrix.held.schema, samples, formats)
+    spark = matrix.held.sparkSession
+    rows = m.held.withColumns({"_ci": contig_index(F.col("contig")), "_i": F.col("position").cast("long"), "_head": F.lit(None).cast("string")})
+    if compression != "block":
+        top = spark.createDataFrame([(-1, i, x) for i, x in enumerate(head)], "_ci int, _i long, _head string")
+        rows = top.unionByName(rows, allowMissingColumns=True)
+    # rows are dealt and sorted by the cells that are there; lines, with all columns, are made as they are written
+    whole = rows.repartitionByRange(shards, "_ci", "_i").sortWithinPartitions("_ci", "_i").select(F.coalesce("_head", line).alias("value"))
     if compression == "block":
-        names = write_lines(body.repartitionByRange(shards, "ci", "position").sortWithinPartitions("ci", "position"), path, head=head, head_once=True)
+        names = write_lines(whole, path, head=head, head_once=True)
         if index:
             write_index(spark, path)
         return names
-    top = spark.createDataFrame([(-1, i - len(head), x) for i, x in enumerate(head)], "ci int, position int, value string")
-    whole = top.unionByName(body).repartitionByRange(shards, "ci", "position").sortWithinPartitions("ci", "position")
-    whole.select("value").write.mode("overwrite").option("compression", compression).text(path)
+    whole.write.mode("overwrite").option("compression", compression).text(path)
     return [f.rsplit("/", 1)[-1] for f in list_files(spark, path)]
 
 
